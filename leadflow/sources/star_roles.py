@@ -395,5 +395,15 @@ class StarRoles:
             "lines - returned as leads_nd", "closed as appointments_set", "returned as appointments_cancelled",
             "lines / 3 as appointments_issued", "lines / 2 as appointments_issued_cc",
             "lines / 4 as appointments_issued_sale", "closed / 2 as quote_issued", "amount as sold_total",
-            "lines - returned as sold", "returned as cancelled", "amount / 8 as cancelled_amount",
-            "amount / lines as adl", "amount / 7 as ads", "amount / 11 as marketing_expenses")
+            "lines - returned as sold", "lines - returned as sale_sold", "returned as cancelled",
+            "returned as sale_cancelled", "amount / 8 as cancelled_amount", "amount / lines as adl", "amount / 7 as ads", "amount / 11 as marketing_expenses")
+
+    # -- staged tables -----------------------------------------------------
+
+    def _stage_actual_prod_cat(self) -> DataFrame:
+        from ..plans import stage
+        return stage.stage_actual_prod_cat(self)
+
+    def _stage_customer_funnel(self) -> DataFrame:
+        from ..plans import stage
+        return stage.stage_customer_funnel(self)
