@@ -160,10 +160,10 @@ class StarRoles:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
-        self._folder = folder.rstrip("/")
+        self.folder = folder.rstrip("/")
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._folder}/{table}.parquet")
+        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
 
     def __call__(self, role: str, *columns: str) -> DataFrame:
         built = {
