@@ -34,17 +34,20 @@ class Layout:
 
     ``keys`` and ``measures`` map a name to its SQL type.  ``fill`` is the value
     a fact gives to measures it does not carry: 0, or None to leave them NULL.
-    ``day`` is the name of the date column.
+    ``conformed`` names text keys that come in one case already (conformed
+    names, ids, labels); they need no merging.  ``day`` is the date column.
     """
 
     keys: Mapping[str, str]
     measures: Mapping[str, str]
     fill: int | None = 0
+    conformed: tuple[str, ...] = ()
     day: str = "date"
 
     @property
     def text_keys(self) -> list[str]:
-        return [k for k, t in self.keys.items() if t == "string"]
+        """Text keys whose spelling may differ within a group."""
+        return [k for k, t in self.keys.items() if t == "string" and k not in self.conformed]
 
 
 @dataclass(frozen=True)

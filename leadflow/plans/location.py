@@ -35,7 +35,7 @@ def staff_location(tables: Tables, as_of: date, after: date = SINCE) -> DataFram
     at all.  Projects and staff carry no measures; they add the days and places
     (or titles) on which they occur.
     """
-    layout = Layout(KEYS, MEASURES)
+    layout = Layout(KEYS, MEASURES, conformed=("staff",))
     span = (after, as_of)
     zero, one = F.lit(0), F.lit(1)
     leads = mark_matching(

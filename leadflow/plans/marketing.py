@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import COUNT, MONEY, ratio
 from ..operators.attribution import leads_qualified, lookup_default
-from ..operators.facts import Fact, Layout, calendar_left, daily_facts, fact_rows, fact_union, merge_case
+from ..operators.facts import Fact, Layout, daily_facts, fact_rows, fact_union, merge_case
 from ..operators.marketing import full_outer_cost_leads
 from ..sources.warehouse import Tables
 from .care import new_source, not_service_work
@@ -31,12 +31,11 @@ def marketing_cost_by_source(tables: Tables, as_of: date, after: date = SINCE,
     rows = fact_rows(tables("source_cost", "name", "category", "paid_on", "amount"),
                      [Fact(c("paid_on"), {"source": c("name"), "product_category": c("category")},
                            {"cost": c("amount")})], layout, span)
-    sums = merge_case(fact_union([rows], layout), layout)
+    day = daily_facts([rows], layout, span)
     if repeat_total:
-        # After the summing a source and day has one row per category, so this window stays small.
+        # By now a source and day has one row per category, so this window stays small.
         whole = Window.partitionBy("date", F.lower("source"))
-        sums = sums.withColumn("cost", F.sum("cost").over(whole))
-    day = calendar_left(sums, layout, *span)
+        day = day.withColumn("cost", F.sum("cost").over(whole))
     return day.withColumn("cost", F.coalesce("cost", F.lit(0)))
 
 

@@ -71,7 +71,7 @@ def ads_adl_by_staff(tables: Tables, as_of: date, first_year: int = 2019) -> Dat
     """Per day, staff and category: issued, quoted, sold, canceled, ADL and ADS."""
     layout = Layout({"staff": "string", "product_category": "string"},
                     {"issued_unique": COUNT, "quoted": COUNT, "sold": COUNT, "cancelled": COUNT,
-                     "price": MONEY, "sold_total": MONEY, "cancelled_amount": MONEY})
+                     "price": MONEY, "sold_total": MONEY, "cancelled_amount": MONEY}, conformed=("staff",))
     span = (date(first_year - 1, 12, 31), as_of)
     keys = {"staff": conform_name("rep"), "product_category": c("category")}
     rows = [
@@ -140,7 +140,7 @@ def sales_staff_location(tables: Tables, as_of: date) -> DataFrame:
     """
     layout = Layout({"staff": "string", "product_category": "string", "city": "string"},
                     {"issued_unique": COUNT, "sold": COUNT, "cancelled": COUNT, "price": MONEY,
-                     "sold_total": MONEY, "cancelled_amount": MONEY})
+                     "sold_total": MONEY, "cancelled_amount": MONEY}, conformed=("staff",))
     keys = {"staff": conform_name("rep"), "product_category": c("category"), "city": c("city")}
     no_later = c("date") <= F.lit(as_of)
     visits = fact_union([fact_rows(
@@ -169,7 +169,7 @@ def sale_prod_service_cat(tables: Tables) -> DataFrame:
     separate rows, as two rows of the same day and category.
     """
     layout = Layout({"kind": "string", "product_category": "string"},
-                    {"prod": MONEY, "service": MONEY, "std": MONEY})
+                    {"prod": MONEY, "service": MONEY, "std": MONEY}, conformed=("kind",))
     zero = F.lit(0)
     key = {"product_category": c("category")}
     rows = fact_rows(

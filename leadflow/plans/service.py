@@ -32,7 +32,7 @@ def service_ads(tables: Tables) -> DataFrame:
     """
     layout = Layout({"staff": "string"},
                     {"issued_unique": COUNT, "sold": COUNT, "cancelled": COUNT, "price": MONEY,
-                     "sold_total": MONEY, "cancelled_amt": MONEY})
+                     "sold_total": MONEY, "cancelled_amt": MONEY}, conformed=("staff",))
     keys = {"staff": conform_name("rep")}
     rows = [
         fact_rows(tables("appointment", "start_on", "rep", "issued_unique", "issued", "appt_type"),

@@ -93,6 +93,31 @@ def update_if_changed(target: DataFrame, batch: DataFrame, key: Sequence[str], c
     return joined.select(*[_side(k).alias(k) for k in key], _side(column).alias(column), action.alias("action"))
 
 
+def upsert_partitions(spark: SparkSession, folder: str, staging: str, batch: DataFrame, key: Sequence[str],
+                      order: Sequence[str], partition: str) -> DataFrame:
+    """Upsert into a partitioned folder, rewriting only the partitions the batch touches.
+
+    ``partition`` must be fixed per key, such as the month a record was created.
+    The new partitions are first written whole to ``staging``; only then do they
+    replace the old ones, so a run that dies in between is finished by copying
+    ``staging`` again.
+    """
+    # Names of partitions only, as the file index keeps them on the driver anyway;
+    # given as literals they prune the scan.
+    touched = [r[0] for r in batch.select(partition).distinct().collect()]
+    target = spark.read.parquet(folder)
+    affected = target.where(F.col(partition).isin(touched))
+    upsert_by_key(affected, batch, key, order).write.mode("errorifexists").partitionBy(partition).parquet(staging)
+    publish_partitions(spark, staging, folder, partition)
+    return spark.read.parquet(folder)
+
+
+def publish_partitions(spark: SparkSession, staging: str, folder: str, partition: str) -> None:
+    """Replace in ``folder`` the partitions found in ``staging``, leaving all others alone."""
+    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition).parquet(folder))
+
+
 def stage_cast(df: DataFrame, columns: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Rename and cast to a fixed layout of (name, source column, type); bad values become NULL."""
     return df.select(*[F.col(source).try_cast(kind).alias(name) for name, source, kind in columns])
