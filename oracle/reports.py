@@ -119,7 +119,7 @@ R["customer_care"] = sql(["lead", "disq", "appointment"], {"u": f"""
     keys="date product_category source_type", ints=_CARE + " appointments_issued")
 
 _FROM = f"cast({AS_OF} - interval 5 year as date)"
-R["customer_care_by_staff"] = sql(["lead", "disq", "appointment", "staff"], {
+R["customer_care_v2"] = sql(["lead", "disq", "appointment", "staff"], {
     "recent": f"select * from appointment where lead_id is not null and {SET_DAY} between {_FROM} and {AS_OF}",
     "touch": """select lead_id, set_by as staff_id from (
         select lead_id, set_by, row_number() over (partition by lead_id order by set_on, id) as rn from recent) t where rn = 1""",

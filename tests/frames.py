@@ -62,3 +62,20 @@ def rows(df, *columns):
     """Rows as a sorted list of tuples; decimals as floats."""
     got = [tuple(float(v) if isinstance(v, Decimal) else v for v in r) for r in df.select(*columns).collect()]
     return sorted(got, key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
+GOAL_TABLES = {
+    "stage_actual_prod_cat": "date date, product_category string, leads_taken double, leads_nd double, "
+                             "appointments_set double, appointments_cancelled double, appointments_issued_cc double, "
+                             "quote_issued double, sold double, cancelled double",
+    "marketing_daily": "date date, product_category string, per_lead_cost double, total_cost double",
+    "sale_rep_prod_cat": "date date, product_category string, prod double, service double, std double",
+    "product_yearly_goals": "year int, product_category string, leads_taken double, leads_nd double, "
+                            "appointment_set double, appointment_canceled double, appointment_issued double, "
+                            "quoted double, sale_sold double, sale_cancelled double, marketing double, prod double, "
+                            "service double, std double",
+    "goal_distribution": "year int, product_category string, issued_unique double, quoted double, sold double, "
+                         "canceled double, adl double",
+    "leads_nd_daily": "date date, leads_nd double",
+}
+SCHEMAS.update(GOAL_TABLES)
