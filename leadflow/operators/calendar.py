@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +27,18 @@ def calendar(spark: SparkSession, after: date, through: date | Column) -> DataFr
         F.date_add(first, F.col("id").cast("int")).alias("date"))
 
 
+def years_before(day: date, years: int) -> date:
+    """The same day some years earlier; 29 February becomes the 28th."""
+    try:
+        return day.replace(year=day.year - years)
+    except ValueError:
+        return day.replace(year=day.year - years, day=28)
+
+
 def in_calendar(day: Column, after: date, through: date | Column) -> Column:
     """The calendar has no gaps, so membership is a range test that reaches the scan."""
-    return (day > F.lit(after)) & (day <= (through if isinstance(through, Column) else F.lit(through)))
+    last = through if isinstance(through, Column) else F.lit(through)
+    return day.between(F.lit(after + timedelta(days=1)), last)
 
 
 PERIODS = ("R12", "YTD", "today", "yesterday", "last_week_to_date", "this_week_to_date", "R4W")

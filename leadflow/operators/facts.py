@@ -52,12 +52,17 @@ class Layout:
 
 @dataclass(frozen=True)
 class Fact:
-    """One kind of dated event found on a table's rows."""
+    """One kind of dated event found on a table's rows.
+
+    ``parsed`` says that the day is worked out from text: a range test on it
+    cannot reach the scan, so it is made only once, after the parsing.
+    """
 
     day: Column
     keys: Mapping[str, Column] = field(default_factory=dict)
     measures: Mapping[str, Column] = field(default_factory=dict)
     where: Column | None = None
+    parsed: bool = False
 
 
 def fact_rows(df: DataFrame, facts: Sequence[Fact], layout: Layout,
@@ -68,26 +73,24 @@ def fact_rows(df: DataFrame, facts: Sequence[Fact], layout: Layout,
     range) it meets; the facts' conditions are also OR-ed into one filter ahead
     of that, so rows that meet none never leave the scan.
     """
-    structs, conditions = [], []
-    for fact in facts:
-        condition = fact.where if fact.where is not None else F.lit(True)
-        if within is not None:
-            condition = condition & in_calendar(fact.day, *within)
-        values = [fact.day.cast("date").alias(layout.day)]
-        values += [fact.keys.get(k, F.lit(None)).cast(t).alias(k) for k, t in layout.keys.items()]
-        values += [fact.measures.get(m, F.lit(layout.fill)).cast(t).alias(m)
-                   for m, t in layout.measures.items()]
-        structs.append(values)
-        conditions.append(condition)
-    if len(facts) == 1:
-        return df.where(conditions[0]).select(*structs[0])
-    hits = F.array(*[F.when(c, F.struct(*s)) for c, s in zip(conditions, structs)])
-    return (
-        df.where(reduce(or_, conditions))
-        .select(F.explode(hits).alias("hit"))
-        .where(F.col("hit").isNotNull())
-        .select("hit.*")
-    )
+    def condition(fact: Fact, day: Column, ranged: bool = True) -> Column:
+        holds = fact.where if fact.where is not None else F.lit(True)
+        return holds & in_calendar(day, *within) if within is not None and ranged else holds
+
+    def values(fact: Fact, day: Column) -> list[Column]:
+        return ([day.cast("date").alias(layout.day)]
+                + [fact.keys.get(k, F.lit(None)).cast(t).alias(k) for k, t in layout.keys.items()]
+                + [fact.measures.get(m, F.lit(layout.fill)).cast(t).alias(m)
+                   for m, t in layout.measures.items()])
+
+    met = df.where(reduce(or_, [condition(f, f.day, ranged=not f.parsed) for f in facts]))
+    if len(facts) == 1 and not facts[0].parsed:
+        return met.select(*values(facts[0], facts[0].day))
+    met = met.withColumns({f"_day{i}": f.day for i, f in enumerate(facts)})
+    hits = F.array(*[
+        F.when(condition(f, F.col(f"_day{i}")), F.struct(*values(f, F.col(f"_day{i}"))))
+        for i, f in enumerate(facts)])
+    return met.select(F.explode(hits).alias("hit")).where(F.col("hit").isNotNull()).select("hit.*")
 
 
 def sum_measures(layout: Layout) -> list[Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from ..functions.text import ci_in, ci_ne, or_empty, to_day
 from ..operators.attribution import (
     disqualified_prospects, first_touch, lookup_default, mark_matching,
 )
+from ..operators.calendar import in_calendar, years_before
 from ..operators.facts import Fact, Layout, daily_facts, fact_rows, fact_union, merge_case
 from ..sources.warehouse import Tables
 
@@ -62,9 +63,10 @@ def customer_care(tables: Tables, as_of: date, after: date = SINCE) -> DataFrame
                  ~c("turned_away") & new_source() & not_service_work()),
         ], layout, span),
         fact_rows(appointments, [
-            Fact(to_day("set_on"), as_is, {"appointments_set": was_set()}, not_service_work() & new_source()),
+            Fact(to_day("set_on"), as_is, {"appointments_set": was_set()}, not_service_work() & new_source(),
+                 parsed=True),
             Fact(to_day("canceled_on"), as_is, {"appointments_cancelled": was_canceled()},
-                 not_service_work() & new_source()),
+                 not_service_work() & new_source(), parsed=True),
         ], layout, span),
     ]
     day = daily_facts(rows, layout, span)
@@ -79,13 +81,12 @@ def customer_care_by_staff(tables: Tables, as_of: date, years: int = 5) -> DataF
     A lead belongs to whoever set its first appointment.  Facts are first summed
     by staff id; names are looked up on the sums.
     """
-    first_day = F.add_months(F.lit(as_of), -12 * years)
-    recent = lambda day: day.between(first_day, F.lit(as_of))
+    window = (years_before(as_of, years) - timedelta(days=1), as_of)
     appointments = tables("appointment", "id", "lead_id", "set_on", "canceled_on", "appt_type", "set_by",
                           "canceled", "category", "source_type", "team_lead")
-    touched = appointments.where(c("lead_id").isNotNull() & recent(to_day("set_on")))
+    touched = appointments.where(c("lead_id").isNotNull() & in_calendar(to_day("set_on"), *window))
     leads = tables("lead", "id", "prospect_id", "taken_on", "category", "source_type").where(
-        recent(c("taken_on")) & new_source(keep_null=False))
+        in_calendar(c("taken_on"), *window) & new_source(keep_null=False))
     leads = mark_matching(
         leads, disqualified_prospects(tables("prospect", "id", "not_qualified_reason")), "turned_away")
     owners = first_touch(touched).withColumnRenamed("set_by", "staff_id")
@@ -98,14 +99,13 @@ def customer_care_by_staff(tables: Tables, as_of: date, years: int = 5) -> DataF
     rows = [
         fact_rows(owned, [Fact(
             c("taken_on"), {"staff_id": c("staff_id"), "from_lead": F.lit(True), **keys},
-            {"leads_taken": F.lit(1), "leads_nd": flag(~c("turned_away") & not_service_work())})], by_id),
+            {"leads_taken": F.lit(1), "leads_nd": flag(~c("turned_away") & not_service_work())})], by_id, window),
         fact_rows(appointments, [
             Fact(to_day("set_on"), visit, {"appointments_set": was_set()},
-                 c("lead_id").isNotNull() & recent(to_day("set_on")) & not_service_work()
-                 & new_source(keep_null=False)),
+                 c("lead_id").isNotNull() & not_service_work() & new_source(keep_null=False), parsed=True),
             Fact(to_day("canceled_on"), visit, {"appointments_cancelled": was_canceled()},
-                 recent(to_day("canceled_on")) & not_service_work() & new_source()),
-        ], by_id),
+                 not_service_work() & new_source(), parsed=True),
+        ], by_id, window),
     ]
     named = lookup_default(
         fact_union(rows, by_id), tables("staff", "id", "name", "team_lead"), "staff_id", "id",

@@ -55,9 +55,10 @@ def staff_location(tables: Tables, as_of: date, after: date = SINCE) -> DataFram
         ], layout, span),
         fact_rows(tables("appointment", "set_on", "canceled_on", "start_on", "appt_type", "set_by", "canceled",
                          "source_type", "quoted", "issued", *place), [
-            Fact(to_day("set_on"), rep, {"appointments_set": was_set()}, not_service_work() & new_source()),
+            Fact(to_day("set_on"), rep, {"appointments_set": was_set()}, not_service_work() & new_source(),
+                 parsed=True),
             Fact(to_day("canceled_on"), rep, {"appointments_cancelled": was_canceled()},
-                 not_service_work() & new_source()),
+                 not_service_work() & new_source(), parsed=True),
             # Quotes and issues are taken on the same day under the same keys: one fact.
             Fact(c("start_on"), rep, {
                 "quote_issued": F.when(sales_type, F.coalesce("quoted", zero)).otherwise(zero),

@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a join partition from 64 MB on (Spark's own bound is 256 MB).
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -9,6 +9,8 @@ format that has ``MERGE INTO`` use that for the upsert instead.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,20 +20,19 @@ def _struct(names: Sequence[str]) -> Column:
     return F.struct(*[F.col(n) for n in names])
 
 
-def _one_per_key(batch: DataFrame, key: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
+def _one_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
     """One row per key by ``order``, found by a combining aggregate, not a window.
 
-    Keys containing NULL are never duplicates of each other; they stay as they are.
+    Keys containing NULL are never duplicates of each other: each such row is
+    given a number of its own to group by.
     """
     pick = F.max_by if last else F.min_by
-    keyed = F.lit(True)
-    for k in key:
-        keyed = keyed & F.col(k).isNotNull()
-    rest = [c for c in batch.columns if c not in key]
-    chosen = (batch.where(keyed).groupBy(*key)
-              .agg(pick(_struct(rest), _struct(order)).alias("_row"))
-              .select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*batch.columns))
-    return chosen.unionByName(batch.where(~keyed))
+    partial = reduce(or_, [F.col(k).isNull() for k in key])
+    rest = [c for c in rows.columns if c not in key]
+    return (rows.withColumn("_alone", F.when(partial, F.monotonically_increasing_id()))
+            .groupBy(*key, "_alone")
+            .agg(pick(_struct(rest), _struct(order)).alias("_row"))
+            .select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in rows.columns]))
 
 
 def latest_per_key(batch: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -45,6 +46,9 @@ def upsert_by_key(target: DataFrame, batch: DataFrame, key: Sequence[str] | None
     Within the batch the last row by ``order`` wins; target rows the batch does
     not mention stay.  Without a key the batch is appended.  ``order`` columns
     that the target lacks only serve the choice.
+
+    The target is anti-joined with the batch's keys, one row per key: with a
+    small batch Spark broadcasts them and the target is not shuffled at all.
     """
     if not key:
         return target.unionByName(batch.select(*target.columns))

@@ -14,6 +14,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numbers import MONEY
 
@@ -161,9 +162,14 @@ class StarRoles:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._schemas: dict[str, T.StructType] = {}
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        """A table as stored; its schema is inferred once, however often a job reads it."""
+        path = f"{self.folder}/{table}.parquet"
+        if table not in self._schemas:
+            self._schemas[table] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[table]).parquet(path)
 
     def __call__(self, role: str, *columns: str) -> DataFrame:
         built = {
