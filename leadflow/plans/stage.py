@@ -5,8 +5,9 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..sources.sinks import stage_cast, upsert_by_key
+from ..sources.sinks import stage_cast
 from ..sources.warehouse import Tables
 from . import production
 
@@ -47,5 +48,9 @@ def stage_customer_funnel_goal(tables: Tables) -> DataFrame:
 
 
 def vtc_daily_snapshot(tables: Tables, as_of: date, history: DataFrame) -> DataFrame:
-    """History of value to complete with the day's row added or replaced."""
-    return upsert_by_key(history, production.vtc_today(tables, as_of), ["date"], ["date"])
+    """History of value to complete with the day's row added or replaced.
+
+    An upsert whose one key is known beforehand: a filter does it, no join.
+    """
+    others = history.where(~F.col("date").eqNullSafe(F.lit(as_of)))
+    return others.unionByName(production.vtc_today(tables, as_of))
