@@ -4,11 +4,13 @@ Documents are sets of word shingles; two link when ``100 * |A and B| >= percent
 document the component it belongs to, without writing all pairs of a group.
 
 1. Equal sets become one node (a 64-bit hash of the sorted shingle hashes).
-2. Groups: nodes that share a minimum shingle in one of four parts of the hash range are held against the smallest
-   node met there; those that really link to it are grouped with it.  A group of any size costs one test a member.
+2. Groups: nodes that share a minimum shingle in one of four parts of the hash range are held against one node met
+   there, the one whose shingles are the most frequent: among copies of a text that is the text itself rather than a
+   changed copy.  Those that really link to it are grouped with it.  A group of any size costs one test a member.
 3. Token-group matrix: for each group the union of its members' prefix shingles, each with the members' size range.  In any
    fixed order, the first ``n - ceil(t n) + l`` shingles of two linking sets share at least l.  The order is rare
-   words first (hashed counts over all texts); a shingle with a word of one text only cannot be shared.
+   shingles first, then rare words first (hashed counts over all texts); a shingle with a word of one text only cannot
+   be shared.
 4. A query node counts how many of its prefix shingles a foreign group's union holds; only groups that reach l and fit in
    size are opened.  The smaller group asks the larger, each pair of groups once.
 5. Members of opened groups pass an exact bound first (parity bitmaps: differing bits never exceed differing
@@ -77,7 +79,7 @@ def _sign(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        counter = rarity.Counter()
+        counters = {1: rarity.Counter(), 2: rarity.Counter()}  # of words, of shingles
         edges = np.array([0] + [i << (64 - PARTS.bit_length() + 1) for i in range(1, PARTS)], np.uint64)
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text_key")
@@ -87,7 +89,8 @@ def _sign(words: int):
                     h = s.hashes[s.bounds[i]:s.bounds[i + 1]]
                     sh = shingles(h, words)
                     if len(h):
-                        counter.add(np.unique(h))
+                        counters[1].add(np.unique(h))
+                        counters[2].add(sh)
                     at = np.searchsorted(sh, edges)
                     ends = np.append(at[1:], len(sh))
                     rows.append({
@@ -96,12 +99,13 @@ def _sign(words: int):
                         "parity": _parity(sh)})
                 yield pa.RecordBatch.from_pylist(rows, _SIGNED)
         context = TaskContext.get()
-        for row in counter.rows(context.partitionId() if context else 0):
-            yield pa.RecordBatch.from_pylist([{"kind": 1, **row}], _SIGNED)
+        for kind, counter in counters.items():
+            for row in counter.rows(context.partitionId()):
+                yield pa.RecordBatch.from_pylist([{"kind": kind, **row}], _SIGNED)
     return run
 
 
-_PREFIX = pa.schema([("node", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+_PREFIX = pa.schema([("node", pa.int64()), ("common", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
 
 def slack(n: int) -> int:
@@ -109,9 +113,10 @@ def slack(n: int) -> int:
     return 1 if n < 20 else 2
 
 
-def _prefixes(words: int, percent: int, levels):
+def _prefixes(words: int, percent: int, levels, gram_levels):
+    """Prefix shingles of each set that can link with another, and how frequent its shingles are on average."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = levels.value
+        level, gram_level = levels.value, gram_levels.value
         for batch in batches:
             for s in scan(batch.column("text")):
                 every = rarity.level_of(level, s.hashes)
@@ -131,10 +136,12 @@ def _prefixes(words: int, percent: int, levels):
                     if 100 * n < percent * (n + 1):
                         continue  # links with equal sets only
                     overlap = -(-percent * n // 100)
-                    order = np.argsort(rank[first].astype(np.uint16), kind="stable")[:n - overlap + slack(n)]
+                    often = rarity.level_of(gram_level, sh).astype(np.int32)
+                    order = np.argsort((often << 16) + np.minimum(rank[first], 65535), kind="stable")
+                    order = order[:n - overlap + slack(n)]
                     take = order[~alone[first[order]]]
-                    if len(take):
-                        rows.append({"node": _node(sh), "tokens": sh[take].view(np.int64).tolist()})
+                    rows.append({"node": _node(sh), "common": int(1000 * often.mean()),
+                                 "tokens": sh[take].view(np.int64).tolist()})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, _PREFIX)
     return run
@@ -201,8 +208,8 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
         .withColumn("text_key", F.xxhash64("text"))
     signed = saved(texts.mapInArrow(_sign(words), _SIGNED_SQL), "signed")
-    levels = spark.sparkContext.broadcast(
-        rarity.levels(signed.where("kind = 1").select("chunk", "share", "slots", "counts")))
+    levels, gram_levels = (spark.sparkContext.broadcast(
+        rarity.levels(signed.where(F.col("kind") == kind).select("chunk", "share", "slots", "counts"))) for kind in (1, 2))
     rows = signed.where("kind = 0").select("doc_id", "text_key", "n", "node", "keys", "parity")
     nodes = saved(
         rows.where("n > 0").groupBy("node").agg(
@@ -210,9 +217,14 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
             F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("parity").alias("parity"))
         .select("node", "first.doc_id", "first.text_key", "least_id", "n", "keys", "parity"), "nodes")
 
-    met = nodes.select("node", F.explode("keys").alias("key"))
-    heads = met.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1")
-    tries = met.join(heads.select("key", "head"), "key").where("node <> head") \
+    prefixes = saved(texts.select("text").mapInArrow(
+        _prefixes(words, percent, levels, gram_levels), "node bigint, common bigint, tokens array<bigint>")
+        .groupBy("node").agg(F.first("common").alias("common"), F.first("tokens").alias("tokens")), "prefixes")
+
+    met = nodes.join(prefixes, "node").select("node", "common", F.explode("keys").alias("key"))
+    heads = met.groupBy("key").agg(F.max(F.struct("common", "node")).alias("most"), F.count("*").alias("size")) \
+        .where("size > 1").select("key", F.col("most.node").alias("head"))
+    tries = met.join(heads, "key").where("node <> head") \
         .select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
     stars = saved(_links(tries, nodes, texts, words, percent), "star-links")
     grouped = saved(components(stars), "groups")
@@ -222,10 +234,7 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
     members = nodes.select("node", "n").join(grouped, "node", "left").select(
         "node", "n", F.coalesce("label", "node").alias("grp"), F.coalesce("size", F.lit(1)).alias("size"))
     members = saved(members, "members")
-    prefixes = texts.select("text").mapInArrow(_prefixes(words, percent, levels), "node bigint, tokens array<bigint>") \
-        .groupBy("node").agg(F.first("tokens").alias("tokens"))
-    prefixes = saved(prefixes.join(members, "node"), "prefixes")
-    tokens = prefixes.select(F.explode("tokens").alias("token"), "node", "n", "grp", "size")
+    tokens = prefixes.join(members, "node").select(F.explode("tokens").alias("token"), "node", "n", "grp", "size")
     matrix = tokens.groupBy("token", "grp", "size").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     shared = matrix.groupBy("token").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 < g1")
     matrix = saved(matrix.join(shared.select("token"), "token"), "matrix")
