@@ -10,9 +10,11 @@ earlier line goes itself does not matter.  The operator finds every such line.
    together, so that common words do not bring unrelated lines together.  Lines of ``LONG`` words and more, and those
    that can match them, also use each of their first ``n - ceil(t n) + 1`` words as a key.  Words of a single line are
    left out, as are keys that occur once.
-3. Each line is held against the earliest line that shares a key: equal sets match at once, others must pass the length,
-   positional and parity filter and then the comparison of the sets.  A group of any size costs one test per line and key.
-4. Lines not yet found are joined with all earlier lines on their keys, under the same filters, and verified.
+3. Equal sets: the earliest line of a set stands for it.  The rows of a key are read in order.  Up to ``SMALL`` of them,
+   all pairs are put through the length, positional and parity filters; of more, each is held against the earliest one
+   only.  What passes is verified on the sets themselves.
+4. Sets of larger keys that are not found yet are joined with the other sets of their keys, under the same filters, and
+   verified.  In a large group of near copies nearly all go in step 3, at one test per line and key.
 
 Null and blank texts have no lines.  Rows repeated with id and text are one occurrence; different texts under one id
 are ordered by a hash of the text after the line number.  A null id sorts first.
@@ -32,12 +34,17 @@ from leadflow.llm.common import saved
 from leadflow.llm.wordscan import Scan, mix, scan
 
 LONG = 200
-RARE = 1 + 3 * rarity.STEPS  # level of a word in 16 lines
+RARE = 1 + 4 * rarity.STEPS  # level of a word in 32 lines
+SMALL = 64
 
-_LINES = pa.schema([
-    ("doc_id", pa.int64()), ("at", pa.int64()), ("n", pa.int32()), ("set", pa.int64()), ("parity", pa.int64()),
-    ("keys", pa.list_(pa.int64())), ("places", pa.list_(pa.int32()))])
-_LINES_SQL = "doc_id bigint, at bigint, n int, `set` bigint, parity bigint, keys array<bigint>, places array<int>"
+_LINES = pa.schema([("doc_id", pa.int64()), ("at", pa.int64()), ("set", pa.int64()), ("parity", pa.int64()),
+                    ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("places", pa.list_(pa.int32()))])
+_LINES_SQL = "doc_id bigint, at bigint, `set` bigint, parity bigint, n int, keys array<bigint>, places array<int>"
+_KEYED_SQL = "key bigint, doc_id bigint, at bigint, `set` bigint, parity bigint, shape bigint"  # shape: n << 32 | place
+_KEYED = pa.schema([(c, pa.int64()) for c in ("key", "doc_id", "at", "set", "parity", "shape")])
+_MET = pa.schema([(c, pa.int64()) for c in (
+    "set", "doc_id", "at", "of", "odoc_id", "oat", "key", "parity", "shape")])
+_MET_SQL = "`set` bigint, doc_id bigint, at bigint, of bigint, odoc_id bigint, oat bigint, key bigint, parity bigint, shape bigint"
 
 
 def _by_line(s: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -89,15 +96,15 @@ def _ats(s: Scan, where: np.ndarray, line: np.ndarray, keys: np.ndarray) -> np.n
 
 def _sign(percent: int, least_words: int, levels):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = levels.value
+        level, seen = levels.value, {}
         for batch in batches:
             ids = batch.column("doc_id")
             texts = batch.column("text_key").to_numpy()
             for s in scan(batch.column("text")):
                 if len(s.hashes):
-                    yield _rows(s, ids, texts, level)
+                    yield _rows(s, ids, texts, level, seen)
 
-    def _rows(s, ids, texts, level) -> pa.RecordBatch:
+    def _rows(s, ids, texts, level, seen: dict) -> pa.RecordBatch:
         unit, h, where, line = _by_line(s)
         n = np.bincount(unit, minlength=len(where))
         enough = n >= least_words
@@ -110,6 +117,10 @@ def _sign(percent: int, least_words: int, levels):
         scrambled = mix(h ^ np.uint64(0xA5A5A5A55A5A5A5A))
         whole = mix(np.add.reduceat(scrambled, begin) + n.astype(np.uint64))
         parity = np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), begin)
+        # copies inside a task do not bring their keys again
+        new = np.fromiter((seen.setdefault(x, i) == i and not i < 0 for i, x in enumerate(whole.tolist())), bool, len(n))
+        for x in whole[new].tolist():
+            seen[x] = -1
         lv = rarity.level_of(level, h)
         bits = max(1, int(len(n)).bit_length())
         order = np.argsort((unit.astype(np.uint64) << np.uint64(64 - bits))
@@ -120,8 +131,8 @@ def _sign(percent: int, least_words: int, levels):
         out_unit, out_key, out_place = [], [], []
         # one word: rare ones of shorter lines, any of long ones
         short, long_ = n < LONG, 100 * n >= percent * LONG
-        head = (place < (spare + 2)[unit]) & short[unit] & (lv > 0)
-        for chosen, salt in ((head & (lv <= RARE), 1), ((place < (spare + 1)[unit]) & long_[unit] & (lv > 0), 2)):
+        head = (place < (spare + 2)[unit]) & (short & new)[unit] & (lv > 0)
+        for chosen, salt in ((head & (lv <= RARE), 1), ((place < (spare + 1)[unit]) & (long_ & new)[unit] & (lv > 0), 2)):
             out_unit.append(unit[chosen])
             out_key.append(mix(h[chosen] + np.uint64(salt)))
             out_place.append(place[chosen])
@@ -144,26 +155,110 @@ def _sign(percent: int, least_words: int, levels):
         keys = np.concatenate(out_key)[by].view(np.int64)
         places = np.concatenate(out_place)[by].astype(np.int32)
         return pa.RecordBatch.from_arrays([
-            ids.take(pa.array(s.first + where)), pa.array(_ats(s, where, line, texts)), pa.array(n.astype(np.int32)),
-            pa.array(whole.view(np.int64)), pa.array(parity.view(np.int64)),
+            ids.take(pa.array(s.first + where)), pa.array(_ats(s, where, line, texts)),
+            pa.array(whole.view(np.int64)), pa.array(parity.view(np.int64)), pa.array(n.astype(np.int32)),
             pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
             pa.ListArray.from_arrays(pa.array(offsets), pa.array(places))], schema=_LINES)
     return run
 
 
 def _live(levels):
-    """Keys that may occur twice."""
+    """A row for each key that may occur twice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
         for b in batches:
-            keys, places = b.column("keys"), b.column("places")
+            keys = b.column("keys")
             flat = keys.flatten().to_numpy()
             live = rarity.level_of(level, flat.view(np.uint64)) > 0
             parent = np.repeat(np.arange(len(keys)), keys.value_lengths().to_numpy())[live]
-            rows = b.select(["doc_id", "at", "n", "set", "parity"]).take(pa.array(parent))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[live]), pa.array(places.flatten().to_numpy()[live]), *rows.columns],
-                names=["key", "place", *rows.schema.names])
+            place = b.column("places").flatten().to_numpy()[live].astype(np.int64)
+            rows = b.select(["doc_id", "at", "set", "parity"]).take(pa.array(parent))
+            shape = (b.column("n").to_numpy().astype(np.int64)[parent] << 32) | place
+            yield pa.RecordBatch.from_arrays([pa.array(flat[live]), *rows.columns, pa.array(shape)], schema=_KEYED)
+    return run
+
+
+def _may_match(percent: int, x: dict, y: dict, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Length, positional and parity filter of rows i of x against rows j of y."""
+    n, m = x["shape"][i] >> 32, y["shape"][j] >> 32
+    p, q = x["shape"][i] & 0xFFFFFFFF, y["shape"][j] & 0xFFFFFFFF
+    least = -(-percent * (n + m) // (100 + percent))
+    return ((x["set"][i] != y["set"][j])
+            & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+            & (np.minimum(p, q) + np.minimum(n - p, m - q) >= least)
+            & (np.bitwise_count((x["parity"][i] ^ y["parity"][j]).view(np.uint64)) <= n + m - 2 * least))
+
+
+def _meet(percent: int):
+    """Pairs of lines under one key that may match; the rows come ordered by key and position."""
+    names = [f.name for f in _KEYED]
+
+    def columns(batch) -> dict:
+        out = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names if c != "doc_id"}
+        out["doc_id"] = batch.column("doc_id")
+        return out
+
+    def pairs(rows: dict, i: np.ndarray, head: dict, j: np.ndarray) -> pa.RecordBatch:
+        ok = _may_match(percent, rows, head, i, j)
+        i, j = i[ok], j[ok]
+        none = pa.nulls(len(i), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows["set"][i]), rows["doc_id"].take(pa.array(i)), pa.array(rows["at"][i]), pa.array(head["set"][j]),
+             head["doc_id"].take(pa.array(j)), pa.array(head["at"][j]), none, none, none], schema=_MET)
+
+    def large(rows: dict) -> pa.RecordBatch:
+        none = pa.nulls(len(rows["key"]), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows["set"]), rows["doc_id"], pa.array(rows["at"]), none, none, none,
+             pa.array(rows["key"]), pa.array(rows["parity"]), pa.array(rows["shape"])], schema=_MET)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest, big = None, None  # rows of the last key so far; the first row of a large key that goes on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if rest is not None:
+                batch = pa.concat_batches([rest, batch])
+                rest = None
+            key = batch.column("key").to_numpy()
+            begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            size = np.diff(np.append(begin, len(key)))
+            from_ = 0
+            if big is not None and key[0] == big.column("key")[0].as_py():
+                mine = columns(batch.slice(0, size[0]))
+                yield large(mine)
+                i = np.arange(size[0])
+                yield pairs(mine, i, columns(big), np.zeros(len(i), np.int64))
+                from_ = 1
+            if len(begin) > from_:
+                big = None
+                if size[-1] <= SMALL:
+                    rest = batch.slice(begin[-1])
+                    begin, size = begin[:-1], size[:-1]
+                else:
+                    big = batch.slice(begin[-1], 1)
+            begin, size = begin[from_:], size[from_:]
+            if not len(begin):
+                continue
+            rows = columns(batch)
+            for b, n in zip(begin[size > SMALL], size[size > SMALL]):
+                yield large(columns(batch.slice(b, n)))
+                i = np.arange(b + 1, b + n)
+                yield pairs(rows, i, rows, np.full(len(i), b))
+            yield from _within(rows, begin[size <= SMALL], size[size <= SMALL])
+        if rest is not None:
+            rows = columns(rest)
+            yield from _within(rows, np.array([0]), np.array([rest.num_rows]))
+
+    def _within(rows: dict, begin: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+        several = size > 1
+        begin, size = begin[several], size[several]
+        for step in range(1, int(size.max(initial=0))):
+            # rows `step` apart under one key
+            some = size > step
+            count = size[some] - step
+            j = np.repeat(begin[some], count) + (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
+            yield pairs(rows, j + step, rows, j)
     return run
 
 
@@ -223,17 +318,18 @@ def _match(percent: int):
     return run
 
 
-def _may_match(percent: int) -> Column:
-    """Length, positional and parity filter of a line against ``o*``."""
-    least = F.ceil((F.col("n") + F.col("on")) * percent / (100 + percent))
-    length = 100 * F.least("n", "on") >= percent * F.greatest("n", "on")
-    reach = F.least("place", "oplace") + F.least(F.col("n") - F.col("place"), F.col("on") - F.col("oplace"))
-    parity = F.bit_count(F.col("parity").bitwiseXOR(F.col("oparity"))) <= F.col("n") + F.col("on") - 2 * least
-    return length & (reach >= least) & parity
+def _filters(percent: int) -> Column:
+    """``_may_match`` of the columns of a line against those named ``o*``."""
+    n, m = F.shiftright("shape", 32), F.shiftright("oshape", 32)
+    p, q = F.expr("shape & 4294967295"), F.expr("oshape & 4294967295")
+    least = F.ceil((n + m) * percent / (100 + percent))
+    return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
+            & (F.least(p, q) + F.least(n - p, m - q) >= least)
+            & (F.bit_count(F.col("parity").bitwiseXOR(F.col("oparity"))) <= n + m - 2 * least))
 
 
 def _verified(tries: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Of pairs of different sets (with a line of each) those that match: ``set, of``."""
+    """Of pairs of different sets (with a line of each) those that match: ``set, of``, each pair once or both ways."""
     tries = saved(tries.groupBy("set", "of").agg(
         F.min(F.struct("doc_id", "at")).alias("x"), F.min(F.struct("odoc_id", "oat")).alias("y")), "line-tries")
     x = tries.select("set", "of", "x.doc_id", "x.at")
@@ -261,36 +357,36 @@ def repeated_lines(docs: DataFrame, percent: int = 90, least_words: int = 5) ->
         rarity.levels(texts.select("text").mapInArrow(_count, rarity.PART_SCHEMA)))
     lines = saved(texts.mapInArrow(_sign(percent, least_words, levels), _LINES_SQL), "lines")
     often = spark.sparkContext.broadcast(rarity.levels(lines.select("keys").mapInArrow(_count_keys, rarity.PART_SCHEMA)))
-    keyed = lines.mapInArrow(_live(often), "key bigint, place int, doc_id bigint, at bigint, n int, `set` bigint, "
-                                           "parity bigint")
-    first = F.min(F.struct("doc_id", "at", "place", "n", "set", "parity")).alias("o")
-    heads = keyed.groupBy("key").agg(first, F.count("*").alias("size")).where("size > 1").select("key", "o")
-    other = [F.col(f"o.{c}").alias(f"o{c}") for c in ("doc_id", "at", "place", "n", "set", "parity")]
-    met = saved(keyed.join(heads, "key").select(
-        "key", "place", "doc_id", "at", "n", "set", "parity", *other).withColumnRenamed("oset", "of"), "met-lines")
-    later = "not (doc_id <=> odoc_id and at = oat)"
-    line = ["doc_id", "at"]
-    same = met.where("set = of").where(later).select(*line)
-    near = met.where("set <> of").where(_may_match(percent))
-    linked = _verified(near, texts, percent)
-    close = near.join(linked, ["set", "of"], "left_semi").select(*line)
-    # lines after the head of one of their keys; what is left asks all earlier lines of its keys
-    done = saved(same.union(close).distinct(), "repeated-lines")
-    real = [F.coalesce("doc_id", F.lit(-1)).alias("d"), F.col("at").alias("a")]
-    asking = met.where(later).withColumns({"d": F.coalesce("doc_id", F.lit(-1)), "a": F.col("at")}) \
-        .join(done.select(*real), ["d", "a"], "left_anti") \
-        .select("key", "place", "doc_id", "at", "n", "set", "parity")
-    # the earliest line of each set under a key stands for its copies
-    asked = met.where(later).groupBy("key", F.col("set").alias("of")).agg(
-        F.min(F.struct("doc_id", "at", "place", "n", "parity")).alias("o")).select(
-        "key", "of", *[F.col(f"o.{c}").alias(f"o{c}") for c in ("doc_id", "at", "place", "n", "parity")])
-    pairs = asking.join(asked, "key").where(
-        F.struct("odoc_id", "oat") < F.struct("doc_id", "at")).where((F.col("set") == F.col("of")) | _may_match(percent))
-    pairs = saved(pairs.select("doc_id", "at", "set", "odoc_id", "oat", "of").distinct(), "line-pairs")
-    more = _verified(pairs.where("set <> of"), texts, percent)
-    rest = pairs.where("set = of").select(*line).union(
-        pairs.join(more, ["set", "of"], "left_semi").select(*line))
-    return done.union(rest).distinct().select(
+    # of each set the earliest line, which stands for the others
+    position = F.struct("doc_id", "at")
+    sets = saved(lines.groupBy("set").agg(F.min(position).alias("first"), F.count("*").alias("size")), "line-firsts")
+    copies = lines.join(sets.where("size > 1").select("set", "first"), "set").where(position > F.col("first")) \
+        .select("doc_id", "at")
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    met = saved(lines.where(F.size("keys") > 0).mapInArrow(_live(often), _KEYED_SQL).repartition(width, "key")
+                .sortWithinPartitions("key", "doc_id", "at").mapInArrow(_meet(percent), _MET_SQL), "met-lines")
+    links = _verified(met.where("key is null").select("set", "of", "doc_id", "at", "odoc_id", "oat"), texts, percent)
+    links = saved(links, "line-links")
+
+    def later(pairs: DataFrame) -> DataFrame:
+        """The sets that have an earlier match."""
+        mine = sets.select("set", F.col("first").alias("mine"))
+        other = sets.select(F.col("set").alias("of"), F.col("first").alias("other"))
+        both = pairs.join(mine, "set").join(other, "of")
+        return both.select(F.when(F.col("mine") > F.col("other"), F.col("set")).otherwise(F.col("of")).alias("set"))
+
+    done = saved(later(links).distinct(), "late-sets")
+    # larger keys: sets not found yet against all others of the key
+    members = met.where("key is not null").groupBy("key", "set").agg(
+        F.min(F.struct("doc_id", "at", "parity", "shape")).alias("m")).select("key", "set", "m.*")
+    asking = members.join(done, "set", "left_anti")
+    asked = members.select("key", *[F.col(c).alias("of" if c == "set" else f"o{c}")
+                                    for c in ("set", "doc_id", "at", "parity", "shape")])
+    pairs = asking.join(asked, "key").where(F.col("set") != F.col("of")).where(_filters(percent))
+    more = _verified(pairs.select("set", "of", "doc_id", "at", "odoc_id", "oat"), texts, percent)
+    late = done.union(later(more)).distinct()
+    near = sets.join(late, "set").select("first.doc_id", "first.at")
+    return copies.union(near).distinct().select(
         "doc_id", F.expr("at & 4294967295").alias("text_bits"), F.shiftright("at", 32).cast("int").alias("line"))
 
 
