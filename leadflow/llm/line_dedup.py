@@ -10,11 +10,11 @@ earlier line goes itself does not matter.  The operator finds every such line.
    together, so that common words do not bring unrelated lines together.  Lines of ``LONG`` words and more, and those
    that can match them, also use each of their first ``n - ceil(t n) + 1`` words as a key.  Words of a single line are
    left out, as are keys that occur once.
-3. Equal sets: the earliest line of a set stands for it.  The rows of a key are read in order.  Up to ``SMALL`` of them,
-   all pairs are put through the length, positional and parity filters; of more, each is held against the earliest one
-   only.  What passes is verified on the sets themselves.
+3. Equal sets: the earliest line of a set stands for it.  The rows of a key are read in order.  The first ``SMALL`` sets
+   of a key are paired with each other, each further one with the closest of them, all under the length, positional
+   and parity filters.  What passes is verified on the sets themselves.
 4. Sets of larger keys that are not found yet are joined with the other sets of their keys, under the same filters, and
-   verified.  In a large group of near copies nearly all go in step 3, at one test per line and key.
+   verified.  In a large group of near copies nearly all go in step 3, at ``SMALL`` tests per line and key.
 
 Null and blank texts have no lines.  Rows repeated with id and text are one occurrence; different texts under one id
 are ordered by a hash of the text after the line number.  A null id sorts first.
@@ -66,27 +66,19 @@ def _by_line(s: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
-    schema = pa.schema([("chunk", pa.int32()), ("share", pa.int32()), ("slots", pa.binary()), ("counts", pa.binary())])
     counter = rarity.Counter()
     for batch in batches:
         for s in scan(batch.column("text")):
             if len(s.hashes):
                 counter.add(_by_line(s)[1])
-    for row in counter.rows(TaskContext.get().partitionId()):
-        yield pa.RecordBatch.from_pylist([row], schema)
+    yield from counter.batches()
 
 
 def _count_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
-    schema = pa.schema([("chunk", pa.int32()), ("share", pa.int32()), ("slots", pa.binary()), ("counts", pa.binary())])
     counter = rarity.Counter()
     for batch in batches:
         counter.add(batch.column("keys").flatten().to_numpy().view(np.uint64))
-    for row in counter.rows(TaskContext.get().partitionId()):
-        yield pa.RecordBatch.from_pylist([row], schema)
+    yield from counter.batches()
 
 
 def _ats(s: Scan, where: np.ndarray, line: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -178,101 +170,107 @@ def _live(levels):
     return run
 
 
-def _may_match(percent: int, x: dict, y: dict, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Length, positional and parity filter of rows i of x against rows j of y."""
+def _apart(percent: int, x: dict, i: np.ndarray, y: dict, j: np.ndarray) -> np.ndarray:
+    """Differing parity bits of rows i of x and rows j of y; 99 for pairs the length, positional or parity filter rules out."""
     n, m = x["shape"][i] >> 32, y["shape"][j] >> 32
     p, q = x["shape"][i] & 0xFFFFFFFF, y["shape"][j] & 0xFFFFFFFF
     least = -(-percent * (n + m) // (100 + percent))
-    return ((x["set"][i] != y["set"][j])
-            & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-            & (np.minimum(p, q) + np.minimum(n - p, m - q) >= least)
-            & (np.bitwise_count((x["parity"][i] ^ y["parity"][j]).view(np.uint64)) <= n + m - 2 * least))
+    bits = np.bitwise_count((x["parity"][i] ^ y["parity"][j]).view(np.uint64))
+    ok = ((x["set"][i] != y["set"][j])
+          & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+          & (np.minimum(p, q) + np.minimum(n - p, m - q) >= least)
+          & (bits <= n + m - 2 * least))
+    return np.where(ok, bits, 99)
+
+
+def _columns(batch: pa.RecordBatch) -> dict:
+    out = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c != "doc_id"}
+    return out | {"doc_id": batch.column("doc_id")}
+
+
+def _distinct(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The first row of each key and set."""
+    key, set_ = (batch.column(c).to_numpy().view(np.uint64) for c in ("key", "set"))
+    _, first = np.unique(mix(key + mix(set_)), return_index=True)
+    return batch.take(pa.array(np.sort(first)))
+
+
+def _pairs(x: dict, i: np.ndarray, y: dict, j: np.ndarray) -> pa.RecordBatch:
+    none = pa.nulls(len(i), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x["set"][i]), x["doc_id"].take(pa.array(i)), pa.array(x["at"][i]), pa.array(y["set"][j]),
+         y["doc_id"].take(pa.array(j)), pa.array(y["at"][j]), none, none, none], schema=_MET)
+
+
+def _members(x: dict) -> pa.RecordBatch:
+    none = pa.nulls(len(x["key"]), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x["set"]), x["doc_id"], pa.array(x["at"]), none, none, none,
+         pa.array(x["key"]), pa.array(x["parity"]), pa.array(x["shape"])], schema=_MET)
 
 
 def _meet(percent: int):
-    """Pairs of lines under one key that may match; the rows come ordered by key and position."""
-    names = [f.name for f in _KEYED]
-
-    def columns(batch) -> dict:
-        out = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names if c != "doc_id"}
-        out["doc_id"] = batch.column("doc_id")
-        return out
-
-    def pairs(rows: dict, i: np.ndarray, head: dict, j: np.ndarray) -> pa.RecordBatch:
-        ok = _may_match(percent, rows, head, i, j)
-        i, j = i[ok], j[ok]
-        none = pa.nulls(len(i), pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(rows["set"][i]), rows["doc_id"].take(pa.array(i)), pa.array(rows["at"][i]), pa.array(head["set"][j]),
-             head["doc_id"].take(pa.array(j)), pa.array(head["at"][j]), none, none, none], schema=_MET)
-
-    def large(rows: dict) -> pa.RecordBatch:
-        none = pa.nulls(len(rows["key"]), pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(rows["set"]), rows["doc_id"], pa.array(rows["at"]), none, none, none,
-             pa.array(rows["key"]), pa.array(rows["parity"]), pa.array(rows["shape"])], schema=_MET)
+    """Pairs of sets under one key that may match, and the members of larger keys; rows come ordered by key and position."""
+    def within(rows: dict, begin: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """All pairs of the rows begin .. begin + size of each key."""
+        for step in range(1, int(size.max(initial=0))):
+            some = size > step
+            count = size[some] - step
+            j = np.repeat(begin[some], count) + (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
+            ok = _apart(percent, rows, j + step, rows, j) < 99
+            yield _pairs(rows, j[ok] + step, rows, j[ok])
+
+    def with_heads(rows: dict, heads: dict) -> Iterator[pa.RecordBatch]:
+        """Each row with the closest head."""
+        k = len(heads["key"])
+        for at in range(0, len(rows["key"]), 4096):
+            i = np.arange(at, min(at + 4096, len(rows["key"])))
+            bits = _apart(percent, rows, np.repeat(i, k), heads, np.tile(np.arange(k), len(i))).reshape(-1, k)
+            best = bits.argmin(axis=1)
+            ok = bits.min(axis=1, initial=99) < 99
+            yield _pairs(rows, i[ok], heads, best[ok])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, big = None, None  # rows of the last key so far; the first row of a large key that goes on
+        rest = heads = None  # the last key so far: its rows while they are few, else its first rows
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if rest is not None:
-                batch = pa.concat_batches([rest, batch])
-                rest = None
+            batch = _distinct(pa.concat_batches([rest, batch]) if rest is not None else batch)
+            rest = None
             key = batch.column("key").to_numpy()
             begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             size = np.diff(np.append(begin, len(key)))
-            from_ = 0
-            if big is not None and key[0] == big.column("key")[0].as_py():
-                mine = columns(batch.slice(0, size[0]))
-                yield large(mine)
-                i = np.arange(size[0])
-                yield pairs(mine, i, columns(big), np.zeros(len(i), np.int64))
-                from_ = 1
-            if len(begin) > from_:
-                big = None
-                if size[-1] <= SMALL:
-                    rest = batch.slice(begin[-1])
-                    begin, size = begin[:-1], size[:-1]
-                else:
-                    big = batch.slice(begin[-1], 1)
-            begin, size = begin[from_:], size[from_:]
+            if heads is not None:
+                if key[0] == heads.column("key")[0].as_py():
+                    more = _columns(batch.slice(0, size[0]))
+                    yield _members(more)
+                    yield from with_heads(more, _columns(heads))
+                    begin, size = begin[1:], size[1:]
+                if len(begin):
+                    heads = None
             if not len(begin):
                 continue
-            rows = columns(batch)
+            if size[-1] <= SMALL:
+                rest = batch.slice(begin[-1])
+                begin, size = begin[:-1], size[:-1]
+            else:
+                heads = batch.slice(begin[-1], SMALL)
+            yield from within(_columns(batch), begin, np.minimum(size, SMALL))
             for b, n in zip(begin[size > SMALL], size[size > SMALL]):
-                yield large(columns(batch.slice(b, n)))
-                i = np.arange(b + 1, b + n)
-                yield pairs(rows, i, rows, np.full(len(i), b))
-            yield from _within(rows, begin[size <= SMALL], size[size <= SMALL])
+                yield _members(_columns(batch.slice(b, n)))
+                yield from with_heads(_columns(batch.slice(b + SMALL, n - SMALL)), _columns(batch.slice(b, SMALL)))
         if rest is not None:
-            rows = columns(rest)
-            yield from _within(rows, np.array([0]), np.array([rest.num_rows]))
-
-    def _within(rows: dict, begin: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
-        several = size > 1
-        begin, size = begin[several], size[several]
-        for step in range(1, int(size.max(initial=0))):
-            # rows `step` apart under one key
-            some = size > step
-            count = size[some] - step
-            j = np.repeat(begin[some], count) + (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
-            yield pairs(rows, j + step, rows, j)
+            yield from within(_columns(rest), np.array([0]), np.array([rest.num_rows]))
     return run
 
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
-    schema = pa.schema([("chunk", pa.int32()), ("share", pa.int32()), ("slots", pa.binary()), ("counts", pa.binary())])
     counter = rarity.Counter()
     for batch in batches:
         h = _position(batch.column("doc_id"), batch.column("at").to_numpy())
         counter.add(h)
         counter.add(h)  # twice, as the level of a single one is zero
-    for row in counter.rows(TaskContext.get().partitionId()):
-        yield pa.RecordBatch.from_pylist([row], schema)
+    yield from counter.batches()
 
 
 def _position(ids: pa.Array, at: np.ndarray) -> np.ndarray:
@@ -328,24 +326,23 @@ def _filters(percent: int) -> Column:
             & (F.bit_count(F.col("parity").bitwiseXOR(F.col("oparity"))) <= n + m - 2 * least))
 
 
-def _verified(tries: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Of pairs of different sets (with a line of each) those that match: ``set, of``, each pair once or both ways."""
-    tries = saved(tries.groupBy("set", "of").agg(
-        F.min(F.struct("doc_id", "at")).alias("x"), F.min(F.struct("odoc_id", "oat")).alias("y")), "line-tries")
-    x = tries.select("set", "of", "x.doc_id", "x.at")
-    y = tries.select("set", "of", F.col("y.odoc_id").alias("doc_id"), F.col("y.oat").alias("at"))
-    wanted = x.select("doc_id", "at").union(y.select("doc_id", "at"))
-    spark = tries.sparkSession
-    marks = spark.sparkContext.broadcast(rarity.levels(wanted.mapInArrow(_mark, rarity.PART_SCHEMA)))
-    found = texts.mapInArrow(_sets(marks), "doc_id bigint, at bigint, words binary")
-    real = F.struct(F.coalesce("doc_id", F.lit(-1)), "at").alias("line")
-    found = saved(found.select(real, "words").join(wanted.select(real).distinct(), "line")
-                  .dropDuplicates(["line"]), "line-sets")
+def _word_sets(wanted: DataFrame, texts: DataFrame) -> DataFrame:
+    """``set, words`` of the given lines (``set, doc_id, at``)."""
+    wanted = saved(wanted.groupBy("set").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-1)), "at")).alias("line")),
+                   "wanted-lines")
+    places = wanted.select(F.col("line.col1").alias("doc_id"), "line.at")
+    marks = wanted.sparkSession.sparkContext.broadcast(
+        rarity.levels(places.mapInArrow(_mark, rarity.PART_SCHEMA)))
+    found = texts.mapInArrow(_sets(marks), "doc_id bigint, at bigint, words binary").select(
+        F.struct(F.coalesce("doc_id", F.lit(-1)), "at").alias("line"), "words")
+    return saved(found.join(wanted, "line").groupBy("set").agg(F.first("words").alias("words")), "line-sets")
+
 
-    def with_words(side: DataFrame, name: str) -> DataFrame:
-        return side.select("set", "of", real).join(found, "line").select("set", "of", F.col("words").alias(name))
-    return with_words(x, "wx").join(with_words(y, "wy"), ["set", "of"]) \
-        .mapInArrow(_match(percent), "`set` bigint, of bigint")
+def _verified(tries: DataFrame, words: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs ``set, of`` that match."""
+    x = words.select("set", F.col("words").alias("wx"))
+    y = words.select(F.col("set").alias("of"), F.col("words").alias("wy"))
+    return tries.distinct().join(x, "set").join(y, "of").mapInArrow(_match(percent), "`set` bigint, of bigint")
 
 
 def repeated_lines(docs: DataFrame, percent: int = 90, least_words: int = 5) -> DataFrame:
@@ -365,8 +362,9 @@ def repeated_lines(docs: DataFrame, percent: int = 90, least_words: int = 5) ->
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     met = saved(lines.where(F.size("keys") > 0).mapInArrow(_live(often), _KEYED_SQL).repartition(width, "key")
                 .sortWithinPartitions("key", "doc_id", "at").mapInArrow(_meet(percent), _MET_SQL), "met-lines")
-    links = _verified(met.where("key is null").select("set", "of", "doc_id", "at", "odoc_id", "oat"), texts, percent)
-    links = saved(links, "line-links")
+    words = _word_sets(
+        met.select("set", "doc_id", "at").union(met.where("key is null").select("of", "odoc_id", "oat")), texts)
+    links = saved(_verified(met.where("key is null").select("set", "of"), words, percent), "line-links")
 
     def later(pairs: DataFrame) -> DataFrame:
         """The sets that have an earlier match."""
@@ -378,12 +376,11 @@ def repeated_lines(docs: DataFrame, percent: int = 90, least_words: int = 5) ->
     done = saved(later(links).distinct(), "late-sets")
     # larger keys: sets not found yet against all others of the key
     members = met.where("key is not null").groupBy("key", "set").agg(
-        F.min(F.struct("doc_id", "at", "parity", "shape")).alias("m")).select("key", "set", "m.*")
+        F.first(F.struct("parity", "shape")).alias("m")).select("key", "set", "m.*")
     asking = members.join(done, "set", "left_anti")
-    asked = members.select("key", *[F.col(c).alias("of" if c == "set" else f"o{c}")
-                                    for c in ("set", "doc_id", "at", "parity", "shape")])
+    asked = members.select("key", *[F.col(c).alias("of" if c == "set" else f"o{c}") for c in ("set", "parity", "shape")])
     pairs = asking.join(asked, "key").where(F.col("set") != F.col("of")).where(_filters(percent))
-    more = _verified(pairs.select("set", "of", "doc_id", "at", "odoc_id", "oat"), texts, percent)
+    more = _verified(pairs.select("set", "of"), words, percent)
     late = done.union(later(more)).distinct()
     near = sets.join(late, "set").select("first.doc_id", "first.at")
     return copies.union(near).distinct().select(

@@ -8,8 +8,8 @@ document the component it belongs to, without writing all pairs of a group.
    there, the one whose shingles are the most frequent: among copies of a text that is the text itself rather than a
    changed copy.  Those that really link to it are grouped with it.  A group of any size costs one test a member.
 3. Token-group matrix: for each group the union of its members' prefix shingles, each with the members' size range.  In any
-   fixed order, the first ``n - ceil(t n) + l`` shingles of two linking sets share at least l.  The order is rare
-   shingles first, then rare words first (hashed counts over all texts); a shingle with a word of one text only cannot
+   fixed order, the first ``n - ceil(t n) + l`` shingles of two linking sets share at least l.  The order is
+   frequent shingles last, rare words first (hashed counts over all texts); a shingle with a word of one text only cannot
    be shared.
 4. A query node counts how many of its prefix shingles a foreign group's union holds; only groups that reach l and fit in
    size are opened.  The smaller group asks the larger, each pair of groups once.
@@ -38,6 +38,7 @@ from leadflow.llm.wordscan import grams, scan, shingles
 
 PARTS = 4
 LEAST_BITS = 512
+GRAM_BITS = 20
 
 _SIGNED = pa.schema([
     ("kind", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("node", pa.int64()),
@@ -79,7 +80,7 @@ def _sign(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        counters = {1: rarity.Counter(), 2: rarity.Counter()}  # of words, of shingles
+        counters = {1: rarity.Counter(), 2: rarity.Counter(GRAM_BITS)}  # of words, of shingles
         edges = np.array([0] + [i << (64 - PARTS.bit_length() + 1) for i in range(1, PARTS)], np.uint64)
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text_key")
@@ -117,6 +118,7 @@ def _prefixes(words: int, percent: int, levels, gram_levels):
     """Prefix shingles of each set that can link with another, and how frequent its shingles are on average."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, gram_level = levels.value, gram_levels.value
+        usual = int(np.median(gram_level)) + rarity.STEPS  # twice what chance puts into a counter
         for batch in batches:
             for s in scan(batch.column("text")):
                 every = rarity.level_of(level, s.hashes)
@@ -137,7 +139,7 @@ def _prefixes(words: int, percent: int, levels, gram_levels):
                         continue  # links with equal sets only
                     overlap = -(-percent * n // 100)
                     often = rarity.level_of(gram_level, sh).astype(np.int32)
-                    order = np.argsort((often << 16) + np.minimum(rank[first], 65535), kind="stable")
+                    order = np.argsort((np.maximum(often - usual, 0) << 16) + np.minimum(rank[first], 65535), kind="stable")
                     order = order[:n - overlap + slack(n)]
                     take = order[~alone[first[order]]]
                     rows.append({"node": _node(sh), "common": int(1000 * often.mean()),
@@ -208,8 +210,9 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
         .withColumn("text_key", F.xxhash64("text"))
     signed = saved(texts.mapInArrow(_sign(words), _SIGNED_SQL), "signed")
-    levels, gram_levels = (spark.sparkContext.broadcast(
-        rarity.levels(signed.where(F.col("kind") == kind).select("chunk", "share", "slots", "counts"))) for kind in (1, 2))
+    levels, gram_levels = (spark.sparkContext.broadcast(rarity.levels(
+        signed.where(F.col("kind") == kind).select("chunk", "share", "slots", "counts"), bits))
+        for kind, bits in ((1, rarity.BITS), (2, GRAM_BITS)))
     rows = signed.where("kind = 0").select("doc_id", "text_key", "n", "node", "keys", "parity")
     nodes = saved(
         rows.where("n > 0").groupBy("node").agg(
