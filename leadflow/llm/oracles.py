@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from leadflow.llm.decontaminate import LEAST, NAME, UNITS, WINDOW
+from leadflow.llm.licences import CONTAINS, HINT, RULES, SENTENCES
+
 _RULES = {
     "short": "n_words < 50",
     "repeats": "100 * n_repeat_words > 50 * n_words",
@@ -61,4 +64,82 @@ select page_id, cast(payload_bytes as bigint) as payload_bytes, p.payload_digest
 from payloads p left join holders h on p.payload_digest = h.payload_digest
 """
 
-ORACLE: dict[str, str] = {"op3_quality_rules": _OP3, "op5_warc": _OP5}
+_ENDS = r"[.!?;:]+\s+|[.!?;:]+$"
+_KNOWN = ", ".join(f"('{text}', '{key}')" for key, text in SENTENCES.items())
+_SHORTER = " ".join(f"when name = '{b}' and '{a}' in (select name from found g where g.n = f.n) then false"
+                    for a, b in CONTAINS.items())
+_RULE_ROWS = ", ".join("('{}', '{}')".format(name, "," + ",(.*,)?".join(steps) + ",") for name, steps in RULES)
+
+_OP4 = rf"""
+with known(sentence, sid) as (values {_KNOWN}),
+rules(name, pattern) as (values {_RULE_ROWS}),
+texts as (select row_number() over () as n, doc_id, coalesce(text, '') as text from documents),
+hinted as (select * from texts where regexp_matches(text, '{HINT}')),
+cut as (
+  select n, 'line' as how, string_split_regex(text, '{_ENDS}|\n') as s from hinted
+  union all
+  select n, 'paragraph', string_split_regex(regexp_replace(regexp_replace(text, '\n[ \t]*\n\s*', '. ', 'g'), '\n', ' ', 'g'),
+                                            '{_ENDS}') from hinted),
+plain as (
+  select n, how, i, trim(regexp_replace(lower(s[i]), '[^a-z0-9]+', ' ', 'g')) as sentence
+  from (select n, how, s, unnest(range(1, len(s) + 1)) as i from cut)),
+seen as (
+  select n, how, count(*) as k, ',' || string_agg(sid, ',' order by i) || ',' as ids
+  from plain join known using (sentence) group by n, how),
+found as (select distinct n, name from seen, rules where regexp_matches(ids, pattern)),
+kept as (select n, name from found f where case {_SHORTER} else true end),
+counts as (select n, max(k) as k from seen group by n),
+named as (select n, string_agg(name, ',' order by name) as licences from kept group by n)
+select doc_id, cast(coalesce(k, 0) as bigint) as n_sentences, coalesce(licences, '') as licences
+from texts left join counts using (n) left join named using (n)
+"""
+
+_UNIT_LIST = ", ".join(f"'{u}'" for u in UNITS)
+
+
+def _templates(table: str, key: str) -> str:
+    """Rows of words and template words with their positions."""
+    joined = r"regexp_replace(coalesce(text, ''), '([0-9])[.,]([0-9])', '\1\2', 'g')"
+    named = rf"regexp_replace({joined}, '([^.!?:\s]\s+)(\p{{Lu}})', '\1{NAME}\2', 'g')"
+    words = rf"string_split(trim(regexp_replace(lower({named}), '[^\p{{L}}\p{{N}}{NAME}]+', ' ', 'g')), ' ')"
+    return f"""
+  select {key}, w, list_transform(w, lambda x, i: case
+    when regexp_matches(x, '^[0-9]+$') then '<num>' when starts_with(x, '{NAME}') then '<name>'
+    when x in ({_UNIT_LIST}) and i > 1 and regexp_matches(coalesce(w[i - 1], ''), '^[0-9]+$') then '<unit>' else x end) as t
+  from (select {key}, {words} as w from {table})"""
+
+
+def _window_rows(source: str, key: str) -> str:
+    return f"""
+  select {key}, i as at, w[i:i + {WINDOW - 1}] as w, t[i:i + {WINDOW - 1}] as t
+  from (select {key}, w, t, unnest(range(1, len(t) - {WINDOW} + 2)) as i from {source})"""
+
+
+_LITERAL = "len(list_filter(t, lambda x: x not in ('<num>', '<name>', '<unit>')))"
+_OP8 = f"""
+with docs as ({_templates("documents", "doc_id")}), items as ({_templates("benchmark", "item_id")}),
+doc_windows as ({_window_rows("docs", "doc_id")}),
+item_windows as (select * from ({_window_rows("items", "item_id")}) where 2 * {_LITERAL} >= {WINDOW}),
+sizes as (select item_id, count(*) as size from item_windows group by item_id),
+met as (
+  select doc_id, item_id, b.at as of, a.at - b.at as shift, a.w as ours, b.w as theirs, a.t as t
+  from doc_windows a join item_windows b on a.t = b.t),
+slots as (
+  select distinct doc_id, item_id, shift, t[j] as kind, theirs[j] as theirs, ours[j] as ours
+  from (select *, unnest(range(1, {WINDOW + 1})) as j from met) where t[j] in ('<num>', '<name>', '<unit>')),
+torn as (
+  select distinct doc_id, item_id, shift from slots group by doc_id, item_id, shift, kind, theirs having count(*) > 1),
+hits as (
+  select doc_id, item_id, count(distinct of) as hits from met anti join torn using (doc_id, item_id, shift)
+  group by doc_id, item_id),
+leaks as (select doc_id, item_id, hits from hits join sizes using (item_id) where hits >= least({LEAST}, size)),
+found as (
+  select doc_id, string_agg(cast(item_id as varchar), ',' order by item_id) as item_ids, sum(hits) as n_windows
+  from leaks group by doc_id)
+select doc_id, n_windows is not null as contaminated, coalesce(item_ids, '') as item_ids,
+       cast(coalesce(n_windows, 0) as bigint) as n_windows
+from documents left join found using (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_quality_rules": _OP3, "op4_license_scans": _OP4, "op5_warc": _OP5, "op8_decontamination": _OP8}

@@ -12,7 +12,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadflow.llm import host_rules, html_text, line_dedup, ngram_join, suffix_tree, warc
+from leadflow.llm import (decontaminate, host_rules, html_text, licences, line_dedup, ngram_join, pieces, suffix_tree, toxicity,
+                          warc)
 from leadflow.llm.common import table
 
 _shipped: set[str] = set()
@@ -53,6 +54,11 @@ def _op3(spark: SparkSession, d: str) -> DataFrame:
     return host_rules.judge(table(spark, d, "documents")).drop("host")
 
 
+def _op4(spark: SparkSession, d: str) -> DataFrame:
+    return licences.licence_scan(table(spark, d, "documents")).select(
+        "doc_id", "n_sentences", F.array_join("licences", ",").alias("licences"))
+
+
 def _op5(spark: SparkSession, d: str) -> DataFrame:
     index = warc.write_archives(table(spark, d, "pages"), warc.archive_folder(spark))
     return warc.read_records(index, with_payload=False).drop("payload", "url")
@@ -64,6 +70,22 @@ def _op6(spark: SparkSession, d: str) -> DataFrame:
                       F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+def _op7(spark: SparkSession, d: str) -> DataFrame:
+    coded = pieces.encode_texts(table(spark, d, "documents"), verify=True)
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
+                        "round_trip", "parity")
+
+
+def _op8(spark: SparkSession, d: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.select("doc_id", "contaminated", F.array_join(F.col("item_ids").cast("array<string>"), ",").alias("item_ids"),
+                        "n_windows")
+
+
+def _op9(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.scored(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def _op10(spark: SparkSession, d: str) -> DataFrame:
     return html_text.extract_main_text(table(spark, d, "pages"))
 
@@ -72,7 +94,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": _on(_op1),
     "op2_lm_scoring": _on(_op2),
     "op3_quality_rules": _on(_op3),
+    "op4_license_scans": _on(_op4),
     "op5_warc": _on(_op5),
     "op6_line_dedup": _on(_op6),
+    "op7_sentencepiece": _on(_op7),
+    "op8_decontamination": _on(_op8),
+    "op9_toxicity": _on(_op9),
     "op10_html_extraction": _on(_op10),
 }
