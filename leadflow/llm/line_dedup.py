@@ -4,7 +4,7 @@ A line is the set of its distinct lower-cased words; lines with fewer than ``lea
 when an earlier line (smaller doc_id, then smaller line number) has ``100 * |A and B| >= percent * |A or B|``; whether that
 earlier line goes itself does not matter.  The operator finds every such line.
 
-1. Rarity: hashed counts of lines by word, over all lines.
+1. Rarity: hashed counts of each word over all texts.
 2. Signatures: a line's words ordered rare first.  Two matching lines share at least two of their first
    ``n - ceil(t n) + 2`` words.  If the rarest shared word is rare, it is a key alone; if not, the two rarest shared are a key
    together, so that common words do not bring unrelated lines together.  Lines of ``LONG`` words and more, and those
@@ -69,8 +69,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counter = rarity.Counter()
     for batch in batches:
         for s in scan(batch.column("text")):
-            if len(s.hashes):
-                counter.add(_by_line(s)[1])
+            counter.add(s.hashes)
     yield from counter.batches()
 
 
@@ -268,11 +267,17 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counter = rarity.Counter()
     for batch in batches:
         h = _position(batch.column("doc_id"), batch.column("at").to_numpy())
-        counter.add(h)
-        counter.add(h)  # twice, as the level of a single one is zero
+        for marks in (h, _position(batch.column("doc_id"), _of_text(batch.column("at").to_numpy()))):
+            counter.add(marks)
+            counter.add(marks)  # twice, as the level of a single one is zero
     yield from counter.batches()
 
 
+def _of_text(at: np.ndarray) -> np.ndarray:
+    """Stands for the text a position is in."""
+    return (at & 0xFFFFFFFF) | (1 << 62)
+
+
 def _position(ids: pa.Array, at: np.ndarray) -> np.ndarray:
     numbers = ids.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
     return mix(mix(numbers) + at.view(np.uint64))
@@ -285,6 +290,8 @@ def _sets(levels):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
         for batch in batches:
+            whole = _position(batch.column("doc_id"), _of_text(batch.column("text_key").to_numpy()))
+            batch = batch.filter(pa.array(rarity.level_of(level, whole) > 0))
             ids = batch.column("doc_id")
             texts = batch.column("text_key").to_numpy()
             for s in scan(batch.column("text")):
@@ -304,6 +311,23 @@ def _sets(levels):
     return run
 
 
+WIDE = [f"p{i}" for i in range(4)]
+
+
+def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """256 parity bits of each word set."""
+    for b in batches:
+        out = np.zeros((b.num_rows, len(WIDE)), np.uint64)
+        for i, words in enumerate(b.column("words")):
+            h = np.frombuffer(words.as_buffer(), np.uint64)
+            bit = np.uint64(1) << ((h >> np.uint64(8)) & np.uint64(63))
+            for part in range(len(WIDE)):
+                out[i, part] = np.bitwise_xor.reduce(bit[(h >> np.uint64(14)) & np.uint64(3) == part], initial=np.uint64(0))
+        yield pa.RecordBatch.from_arrays(
+            [b.column("set"), b.column("words"), *[pa.array(out[:, i].view(np.int64)) for i in range(len(WIDE))]],
+            names=["set", "words", *WIDE])
+
+
 def _match(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -317,13 +341,13 @@ def _match(percent: int):
 
 
 def _filters(percent: int) -> Column:
-    """``_may_match`` of the columns of a line against those named ``o*``."""
+    """Length, positional and parity filters of the columns of a set against those named ``o*``, with wide parity."""
     n, m = F.shiftright("shape", 32), F.shiftright("oshape", 32)
     p, q = F.expr("shape & 4294967295"), F.expr("oshape & 4294967295")
     least = F.ceil((n + m) * percent / (100 + percent))
-    return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
-            & (F.least(p, q) + F.least(n - p, m - q) >= least)
-            & (F.bit_count(F.col("parity").bitwiseXOR(F.col("oparity"))) <= n + m - 2 * least))
+    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"o{c}"))) for c in WIDE), F.lit(0))
+    return ((100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least(p, q) + F.least(n - p, m - q) >= least)
+            & (apart <= n + m - 2 * least))
 
 
 def _word_sets(wanted: DataFrame, texts: DataFrame) -> DataFrame:
@@ -335,7 +359,8 @@ def _word_sets(wanted: DataFrame, texts: DataFrame) -> DataFrame:
         rarity.levels(places.mapInArrow(_mark, rarity.PART_SCHEMA)))
     found = texts.mapInArrow(_sets(marks), "doc_id bigint, at bigint, words binary").select(
         F.struct(F.coalesce("doc_id", F.lit(-1)), "at").alias("line"), "words")
-    return saved(found.join(wanted, "line").groupBy("set").agg(F.first("words").alias("words")), "line-sets")
+    found = found.join(wanted, "line").groupBy("set").agg(F.first("words").alias("words"))
+    return saved(found.mapInArrow(_wide, "`set` bigint, words binary, " + ", ".join(f"{c} bigint" for c in WIDE)), "line-sets")
 
 
 def _verified(tries: DataFrame, words: DataFrame, percent: int) -> DataFrame:
@@ -375,10 +400,10 @@ def repeated_lines(docs: DataFrame, percent: int = 90, least_words: int = 5) ->
 
     done = saved(later(links).distinct(), "late-sets")
     # larger keys: sets not found yet against all others of the key
-    members = met.where("key is not null").groupBy("key", "set").agg(
-        F.first(F.struct("parity", "shape")).alias("m")).select("key", "set", "m.*")
+    members = met.where("key is not null").groupBy("key", "set").agg(F.first("shape").alias("shape")) \
+        .join(words.select("set", *WIDE), "set")
     asking = members.join(done, "set", "left_anti")
-    asked = members.select("key", *[F.col(c).alias("of" if c == "set" else f"o{c}") for c in ("set", "parity", "shape")])
+    asked = members.select("key", *[F.col(c).alias("of" if c == "set" else f"o{c}") for c in ("set", "shape", *WIDE)])
     pairs = asking.join(asked, "key").where(F.col("set") != F.col("of")).where(_filters(percent))
     more = _verified(pairs.select("set", "of"), words, percent)
     late = done.union(later(more)).distinct()
@@ -387,16 +412,6 @@ def repeated_lines(docs: DataFrame, percent: int = 90, least_words: int = 5) ->
         "doc_id", F.expr("at & 4294967295").alias("text_bits"), F.shiftright("at", 32).cast("int").alias("line"))
 
 
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        out = []
-        for text, lines in zip(b.column("text"), b.column("__lines")):
-            text, gone = text.as_py(), set(lines.as_py())
-            out.append("\n".join(x for i, x in enumerate((text or "").split("\n")) if i not in gone))
-        i = b.schema.get_field_index("text")
-        yield b.set_column(i, "text", pa.array(out, pa.string()))
-
-
 def drop_repeated_lines(docs: DataFrame, percent: int = 90, least_words: int = 5) -> DataFrame:
     """``docs`` without the repeated lines, with ``n_lines`` and ``n_dropped`` beside; rows without any are as they were."""
     gone = repeated_lines(docs, percent, least_words).groupBy("doc_id", "text_bits").agg(
@@ -404,8 +419,10 @@ def drop_repeated_lines(docs: DataFrame, percent: int = 90, least_words: int = 5
     keyed = docs.withColumns({
         "__id": F.col("doc_id").cast("bigint"),
         "__key": F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))})
-    joined = keyed.join(gone, [F.col("__id").eqNullSafe(F.col("__of")), F.col("__key") == F.col("__bits")], "left") \
-        .select(*docs.columns, F.coalesce("__lines", F.array().cast("array<int>")).alias("__lines"),
-                F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint").alias("n_lines"))
-    cut = joined.mapInArrow(_without, joined.schema)
-    return cut.select(*docs.columns, "n_lines", F.size("__lines").cast("bigint").alias("n_dropped"))
+    joined = keyed.join(gone, [F.col("__id").eqNullSafe(F.col("__of")), F.col("__key") == F.col("__bits")], "left")
+    lines = F.split(F.coalesce("text", F.lit("")), "\n")
+    left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("__lines", i)), "\n")
+    return joined.select(
+        *[F.when(F.col("__lines").isNull(), F.col("text")).otherwise(left).alias("text") if c == "text" else F.col(f"`{c}`")
+          for c in docs.columns],
+        F.size(lines).cast("bigint").alias("n_lines"), F.coalesce(F.size("__lines"), F.lit(0)).cast("bigint").alias("n_dropped"))
