@@ -38,7 +38,7 @@ from leadflow.llm.wordscan import grams, scan, shingles
 
 PARTS = 4
 LEAST_BITS = 512
-GRAM_BITS = 20
+GRAM_BITS = 22
 
 _SIGNED = pa.schema([
     ("kind", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("node", pa.int64()),
