@@ -8,7 +8,8 @@ document the component it belongs to, without writing all pairs of a group.
    there, the one whose shingles are the most frequent: among copies of a text that is the text itself rather than a
    changed copy.  Those that really link to it are grouped with it.  A group of any size costs one test a member.
 3. Token-group matrix: for each group the union of its members' prefix shingles, each with the members' size range.  In any
-   fixed order, the first ``n - ceil(t n) + l`` shingles of two linking sets share at least l.  The order is
+   fixed order, the first ``n - ceil(t n) + l`` shingles of the larger and ``n - ceil(2t/(1+t) n) + l`` of the smaller of two
+   linking sets share at least l.  The order is
    frequent shingles last, rare words first (hashed counts over all texts); a shingle with a word of one text only cannot
    be shared.
 4. A query node counts how many of its prefix shingles a foreign group's union holds; only groups that reach l and fit in
@@ -106,7 +107,8 @@ def _sign(words: int):
     return run
 
 
-_PREFIX = pa.schema([("node", pa.int64()), ("common", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+_PREFIX = pa.schema([("node", pa.int64()), ("common", pa.int64()), ("short", pa.int32()),
+                     ("tokens", pa.list_(pa.int64()))])
 
 
 def slack(n: int) -> int:
@@ -141,8 +143,11 @@ def _prefixes(words: int, percent: int, levels, gram_levels):
                     often = rarity.level_of(gram_level, sh).astype(np.int32)
                     order = np.argsort((np.maximum(often - usual, 0) << 16) + np.minimum(rank[first], 65535), kind="stable")
                     order = order[:n - overlap + slack(n)]
-                    take = order[~alone[first[order]]]
-                    rows.append({"node": _node(sh), "common": int(1000 * often.mean()),
+                    shared = ~alone[first[order]]
+                    take = order[shared]
+                    # as the smaller of two sets it needs no more than these
+                    least = n - -(-2 * percent * n // (100 + percent)) + slack(n)
+                    rows.append({"node": _node(sh), "common": int(1000 * often.mean()), "short": int(shared[:least].sum()),
                                  "tokens": sh[take].view(np.int64).tolist()})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, _PREFIX)
@@ -221,8 +226,8 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
         .select("node", "first.doc_id", "first.text_key", "least_id", "n", "keys", "parity"), "nodes")
 
     prefixes = saved(texts.select("text").mapInArrow(
-        _prefixes(words, percent, levels, gram_levels), "node bigint, common bigint, tokens array<bigint>")
-        .groupBy("node").agg(F.first("common").alias("common"), F.first("tokens").alias("tokens")), "prefixes")
+        _prefixes(words, percent, levels, gram_levels), "node bigint, common bigint, short int, tokens array<bigint>")
+        .groupBy("node").agg(*[F.first(c).alias(c) for c in ("common", "short", "tokens")]), "prefixes")
 
     met = nodes.join(prefixes, "node").select("node", "common", F.explode("keys").alias("key"))
     heads = met.groupBy("key").agg(F.max(F.struct("common", "node")).alias("most"), F.count("*").alias("size")) \
@@ -237,14 +242,18 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
     members = nodes.select("node", "n").join(grouped, "node", "left").select(
         "node", "n", F.coalesce("label", "node").alias("grp"), F.coalesce("size", F.lit(1)).alias("size"))
     members = saved(members, "members")
-    tokens = prefixes.join(members, "node").select(F.explode("tokens").alias("token"), "node", "n", "grp", "size")
-    matrix = tokens.groupBy("token", "grp", "size").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    tokens = prefixes.join(members, "node").select(F.posexplode("tokens").alias("place", "token"), "node", "n", "grp", "size",
+                                                   "short").withColumn("short", F.col("place") < F.col("short")).drop("place")
+    matrix = tokens.groupBy("token", "grp", "size").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.min(F.when(F.col("short"), F.col("n"))).alias("short_lo"))
     shared = matrix.groupBy("token").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 < g1")
     matrix = saved(matrix.join(shared.select("token"), "token"), "matrix")
     asking = tokens.join(matrix.select("token").distinct(), "token", "left_semi")
-    asked = matrix.select("token", F.col("grp").alias("of"), F.col("size").alias("of_size"), "lo", "hi")
+    asked = matrix.select("token", F.col("grp").alias("of"), F.col("size").alias("of_size"), "lo", "hi", "short_lo")
+    # a shared shingle counts if it is in the short prefix of the smaller and the long prefix of the larger set
     opened = (asking.join(asked, "token")
               .where("size < of_size or (size = of_size and grp < of)")
+              .where("(short and hi >= n) or short_lo <= n")
               .where(f"100 * hi >= {percent} * n and 100 * n >= {percent} * lo")
               .groupBy("node", "n", "of").agg(F.count("*").alias("met"), F.min("lo").alias("lo"))
               .where("met >= 2 or n < 20 or lo < 20"))
