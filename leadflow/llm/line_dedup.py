@@ -13,7 +13,7 @@ earlier line goes itself does not matter.  The operator finds every such line.
 3. Equal sets: the earliest line of a set stands for it.  The rows of a key are read in order.  The first ``SMALL`` sets
    of a key are paired with each other, each further one with the closest of them, all under the length, positional
    and parity filters.  What passes is verified on the sets themselves.
-4. Sets of larger keys that are not found yet are joined with the other sets of their keys, under the same filters, and
+4. Sets of larger keys that are not found yet are joined with the earlier sets of their keys, under the same filters, and
    verified.  In a large group of near copies nearly all go in step 3, at ``SMALL`` tests per line and key.
 
 Null and blank texts have no lines.  Rows repeated with id and text are one occurrence; different texts under one id
@@ -401,10 +401,10 @@ def repeated_lines(docs: DataFrame, percent: int = 90, least_words: int = 5) ->
     done = saved(later(links).distinct(), "late-sets")
     # larger keys: sets not found yet against all others of the key
     members = met.where("key is not null").groupBy("key", "set").agg(F.first("shape").alias("shape")) \
-        .join(words.select("set", *WIDE), "set")
+        .join(words.select("set", *WIDE), "set").join(sets.select("set", "first"), "set")
     asking = members.join(done, "set", "left_anti")
-    asked = members.select("key", *[F.col(c).alias("of" if c == "set" else f"o{c}") for c in ("set", "shape", *WIDE)])
-    pairs = asking.join(asked, "key").where(F.col("set") != F.col("of")).where(_filters(percent))
+    asked = members.select("key", *[F.col(c).alias("of" if c == "set" else f"o{c}") for c in ("set", "shape", "first", *WIDE)])
+    pairs = asking.join(asked, "key").where("ofirst < first").where(_filters(percent))
     more = _verified(pairs.select("set", "of"), words, percent)
     late = done.union(later(more)).distinct()
     near = sets.join(late, "set").select("first.doc_id", "first.at")
