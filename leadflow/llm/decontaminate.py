@@ -2,8 +2,9 @@
 
 1. Template: a text's words (letters and digits, lower case) in order, with numbers, units after a number and names
    (capitalised words inside a sentence) replaced by typed placeholders.
-2. Windows of ``WINDOW`` template words are hashed; those of the texts are hash-joined with those of the benchmark, which
-   is broadcast in blocks of at most ``BLOCK`` windows.  Windows with fewer than half their words literal are not used.
+2. Windows of ``WINDOW`` template words are hash-joined with those of the benchmark, which is broadcast in blocks of about
+   ``BLOCK`` windows: first on the longest literal word of the window, then on the whole window, so that only windows
+   around such words are cut out of a text.  Windows with fewer than half their words literal are not used.
 3. Slots: on each alignment of a text with an item (same distance of positions), a benchmark value must stand for
    one value of the text throughout, so that a question with other numbers is caught and a chance mixture is not.
 4. A text is contaminated by an item if ``LEAST`` of the item's windows (or all, if it has fewer) match on consistent
@@ -38,22 +39,21 @@ def _words(text: Column) -> Column:
 def _template(words: Column) -> Column:
     def canonical(word: Column, at: Column) -> Column:
         before = F.get(words, at - 1)
-        return (F.when(word.rlike("^[0-9]+$"), F.lit("<num>"))
+        digit = (word >= "0") & (word < ":")  # by the first byte, before the costlier test
+        return (F.when(digit & word.rlike("^[0-9]+$"), F.lit("<num>"))
                 .when(word.startswith(NAME), F.lit("<name>"))
                 .when(word.isin(UNITS) & before.rlike("^[0-9]+$"), F.lit("<unit>"))
                 .otherwise(word))
     return F.transform(words, canonical)
 
 
-def _windows(template: Column) -> Column:
-    """Hash of the window from each position on."""
+def _starts(template: Column) -> Column:
+    """Positions at which a window begins."""
     last = F.size(template) - WINDOW
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(template, i + 1, WINDOW)))) \
-        .otherwise(F.array().cast("array<bigint>"))
+    return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
-def _literal(template: Column) -> Column:
-    return F.size(F.filter(template, lambda w: ~w.isin("<num>", "<name>", "<unit>")))
+PLACEHOLDERS = ("<num>", "<name>", "<unit>")
 
 
 def _cut(words: Column, at: Column) -> Column:
@@ -61,13 +61,17 @@ def _cut(words: Column, at: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``item_id, of, of_words, of_template, hash, n_windows`` of each usable window."""
+    """``item_id, of, of_words, of_template, anchor, anchor_at, n_windows`` of each usable window."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), _words(F.col("text")).alias("w"))
     items = items.withColumn("t", _template(F.col("w")))
-    rows = items.select("item_id", "w", "t", F.posexplode(_windows(F.col("t"))).alias("of", "hash"))
+    rows = items.select("item_id", "w", "t", F.explode(_starts(F.col("t"))).alias("of"))
     rows = rows.select("item_id", "of", _cut(F.col("w"), F.col("of")).alias("of_words"),
-                       _cut(F.col("t"), F.col("of")).alias("of_template"), "hash")
-    rows = rows.where(_literal(F.col("of_template")) * 2 >= WINDOW)
+                       _cut(F.col("t"), F.col("of")).alias("of_template"))
+    literal = F.filter(F.transform("of_template", lambda w, i: F.struct(F.char_length(w).alias("size"), w.alias("word"), i.alias("at"))),
+                       lambda x: ~x["word"].isin(*PLACEHOLDERS))
+    rows = rows.withColumn("literal", literal).where(F.size("literal") * 2 >= WINDOW)
+    rows = rows.withColumn("longest", F.array_max("literal")).select(
+        "item_id", "of", "of_words", "of_template", F.col("longest.word").alias("anchor"), F.col("longest.at").alias("anchor_at"))
     size = rows.groupBy(F.col("item_id").alias("sized")).agg(F.count("*").alias("n_windows"))
     return rows.join(size, F.col("item_id").eqNullSafe(F.col("sized"))).drop("sized")
 
@@ -75,26 +79,25 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, text_key, item_id, n_windows`` of every text and item that match."""
     known = saved(benchmark_windows(benchmark).withColumn(
-        "block", F.pmod(F.xxhash64("hash"), F.lit(1 << 20))), "benchmark-windows")
+        "block", F.pmod(F.xxhash64("of_template"), F.lit(1 << 20))), "benchmark-windows")
     n = known.count()
     blocks = 1 + n // BLOCK
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.select("doc_id", F.xxhash64("text").alias("text_key"), _words(F.col("text")).alias("words"))
     texts = texts.withColumn("template", _template(F.col("words")))
-    rows = texts.select("doc_id", "text_key", "words", "template", F.posexplode(_windows(F.col("template"))).alias("at", "hash"))
+    rows = texts.select("doc_id", "text_key", "words", "template", F.posexplode("template").alias("p", "anchor"))
     met = None
     for block in range(blocks):
         some = F.broadcast(known.where(F.col("block") % blocks == block).drop("block"))  # about BLOCK windows
-        part = rows.join(some, "hash").select(
+        part = rows.join(some, "anchor").withColumn("at", F.col("p") - F.col("anchor_at")) \
+            .where("at >= 0").where(_cut(F.col("template"), F.col("at")) == F.col("of_template")).select(
             "doc_id", "text_key", "item_id", "n_windows", "of", (F.col("at") - F.col("of")).alias("shift"), "of_words",
-            "of_template", _cut(F.col("words"), F.col("at")).alias("words"),
-            _cut(F.col("template"), F.col("at")).alias("template"))
+            "of_template", _cut(F.col("words"), F.col("at")).alias("words"))
         met = part if met is None else met.union(part)
-    met = met.where(F.col("template") == F.col("of_template"))
     slots = F.filter(
         F.zip_with(F.arrays_zip("of_template", "of_words"), F.col("words"), lambda x, y: F.struct(
             x["of_template"].alias("kind"), x["of_words"].alias("theirs"), y.alias("ours"))),
-        lambda s: s["kind"].isin("<num>", "<name>", "<unit>"))
+        lambda s: s["kind"].isin(*PLACEHOLDERS))
     keys = ["doc_id", "text_key", "item_id", "n_windows"]
     met = met.select(*keys, "shift", "of", slots.alias("slots"))
     lines = met.groupBy(*keys, "shift").agg(
