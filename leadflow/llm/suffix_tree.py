@@ -50,6 +50,16 @@ _SCORED_SQL = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint
 GAIN = 100  # kinds: n for counts of n-word runs, GAIN + n for tests of n-word contexts
 
 
+def _shut(data: bytes) -> bytes:
+    """Mostly small numbers, which compress well."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _opened(value: pa.Scalar) -> bytes:
+    data = value.as_py()
+    return pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of a batch that go to one block as one compressed value."""
     options = pa.ipc.IpcWriteOptions(compression="zstd")
@@ -115,8 +125,8 @@ class _Block:
             mine = [i for k, _, i in rows if k == kind]
             dtype = np.bool_ if kind >= GAIN else np.int64
             self.replies[kind] = (
-                np.concatenate([np.frombuffer(data[i].as_buffer(), dtype) for i in mine]),
-                np.concatenate([np.frombuffer(owner[i].as_buffer(), np.bool_) for i in mine]))
+                np.concatenate([np.frombuffer(_opened(data[i]), dtype) for i in mine]),
+                np.concatenate([np.frombuffer(_opened(owner[i]), np.bool_) for i in mine]))
 
     def _add_level(self, k: int, hashes: np.ndarray, at: np.ndarray) -> None:
         self.keys[k], self.which[k] = np.unique(hashes, return_inverse=True)
@@ -132,7 +142,7 @@ class _Block:
         cuts = np.searchsorted(parts, np.arange((1 << range_bits) + 1))
         short = keys if k == 1 else (keys >> np.uint64(32 - range_bits)).astype(np.uint32)
         return [{"part": p, "block": self.block, "kind": kind, "keys": short[i:j].tobytes(),
-                 "values": values[i:j].tobytes()}
+                 "values": _shut(values[i:j].tobytes())}
                 for p, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
 
     def send_counts(self, k: int, range_bits: int) -> list[dict]:
@@ -226,7 +236,7 @@ def _answer(gain: float):
             mine = sorted((i for i, k in enumerate(kinds) if k == kind), key=lambda i: blocks[i])
             word = kind % GAIN == 1
             keys = [np.frombuffer(sent["keys"][i].as_buffer(), np.uint64 if word else np.uint32) for i in mine]
-            values = [np.frombuffer(sent["values"][i].as_buffer(), np.float64 if kind >= GAIN else np.int64)
+            values = [np.frombuffer(_opened(sent["values"][i]), np.float64 if kind >= GAIN else np.int64)
                       for i in mine]
             distinct, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
             total = np.bincount(which, weights=np.concatenate(values))
@@ -237,8 +247,8 @@ def _answer(gain: float):
             seen = int((total > 0).sum()) if kind == 1 else 0
             at = 0
             for i, k in zip(mine, keys):
-                rows.append({"block": blocks[i], "kind": kind, "part": part, "data": data[at:at + len(k)].tobytes(),
-                             "owner": owner[at:at + len(k)].tobytes(), "tokens": tokens, "distinct": seen})
+                rows.append({"block": blocks[i], "kind": kind, "part": part, "data": _shut(data[at:at + len(k)].tobytes()),
+                             "owner": _shut(owner[at:at + len(k)].tobytes()), "tokens": tokens, "distinct": seen})
                 tokens = seen = 0  # counted once
                 at += len(k)
         return pa.Table.from_pylist(rows, _REPLY)
