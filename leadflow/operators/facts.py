@@ -55,7 +55,8 @@ class Fact:
     """One kind of dated event found on a table's rows.
 
     ``parsed`` says that the day is worked out from text: a range test on it
-    cannot reach the scan, so it is made only once, after the parsing.
+    cannot reach the scan, so it is made only once, after the parsing.  ``days``
+    names the date columns a day is picked from, if it is no plain column.
     """
 
     day: Column
@@ -63,6 +64,7 @@ class Fact:
     measures: Mapping[str, Column] = field(default_factory=dict)
     where: Column | None = None
     parsed: bool = False
+    days: tuple[Column, ...] = ()
 
 
 def fact_rows(df: DataFrame, facts: Sequence[Fact], layout: Layout,
@@ -71,7 +73,10 @@ def fact_rows(df: DataFrame, facts: Sequence[Fact], layout: Layout,
 
     A row yields one output row for each fact whose condition (and calendar
     range) it meets; the facts' conditions are also OR-ed into one filter ahead
-    of that, so rows that meet none never leave the scan.
+    of that, so rows that meet none never leave the scan.  That filter implies
+    that some day is in the calendar, which is stated apart: text tests cannot
+    be pushed, and OR-ed with them no range would reach the scan.  It is
+    written with another comparison, or Catalyst factors it back into the OR.
     """
     def condition(fact: Fact, day: Column, ranged: bool = True) -> Column:
         holds = fact.where if fact.where is not None else F.lit(True)
@@ -84,6 +89,10 @@ def fact_rows(df: DataFrame, facts: Sequence[Fact], layout: Layout,
                    for m, t in layout.measures.items()])
 
     met = df.where(reduce(or_, [condition(f, f.day, ranged=not f.parsed) for f in facts]))
+    if within is not None and not any(f.parsed for f in facts):
+        days = [day for f in facts for day in f.days or (f.day,)]
+        after, through = within
+        met = met.where(reduce(or_, [(day > F.lit(after)) & (day <= through) for day in days]))
     if len(facts) == 1 and not facts[0].parsed:
         return met.select(*values(facts[0], facts[0].day))
     met = met.withColumns({f"_day{i}": f.day for i, f in enumerate(facts)})

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import COUNT, ratio, safe_ratio
-from ..operators.calendar import by_period, year_end
+from ..operators.calendar import by_period, year_end, years_before
 from ..sources.warehouse import Tables
 from . import care, goals, sales
 
@@ -16,12 +16,13 @@ c = F.col
 
 
 def kpi_vs_goal(stacked: DataFrame, measures: list[str], by: list[str]) -> DataFrame:
-    """Actual, goal, percent achieved and met/missed, from rows stacked by ``type``."""
+    """Actual, goal, percent achieved and met/missed (NULL without a goal), from rows stacked by ``type``."""
     sums = stacked.groupBy(*by).agg(*[
         F.sum(F.when(c("type") == t, c(m))).alias(f"{t}_{m}") for m in measures for t in ("actual", "goal")])
     return sums.withColumns({
         **{f"pct_{m}": safe_ratio(c(f"actual_{m}") * 100, f"goal_{m}") for m in measures},
-        **{f"status_{m}": F.when(c(f"actual_{m}") >= c(f"goal_{m}"), "met").otherwise("missed") for m in measures},
+        **{f"status_{m}": F.when(c(f"actual_{m}") >= c(f"goal_{m}"), "met")
+           .when(c(f"goal_{m}").isNotNull(), "missed") for m in measures},
     })
 
 
@@ -65,6 +66,6 @@ def weekly_trend(tables: Tables, as_of: date, after: date) -> DataFrame:
 
 
 def periods(tables: Tables, as_of: date, after: date) -> DataFrame:
-    """Sold and canceled totals for every dashboard period, from one pass."""
-    day = sales.sale_sold_canceled(tables, as_of, after)
+    """Sold and canceled totals for every dashboard period, from one pass over the twelve months they lie in."""
+    day = sales.sale_sold_canceled(tables, as_of, max(after, years_before(as_of, 1)))
     return by_period(day, "date", as_of, ["sale_sold", "sale_cancelled", "total_sale", "cancelled_amt"])

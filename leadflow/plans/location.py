@@ -80,8 +80,16 @@ def staff_location(tables: Tables, as_of: date, after: date = SINCE) -> DataFram
 
 
 def location_rollup(tables: Tables, as_of: date, after: date = SINCE) -> DataFrame:
-    """Totals by state, city and zip with subtotals; ``level`` 0 is the zip, 7 the grand total."""
+    """Totals by state, city and zip with subtotals; ``level`` 0 is the zip, 7 the grand total.
+
+    Places that differ in case only are one; the smallest spelling is shown.
+    """
     place = staff_location(tables, as_of, after)
     measures = ("leads_taken", "appointments_set", "sale_sold", "sale_cancelled")
-    return (place.rollup("state", "city", "zip")
-            .agg(F.grouping_id().alias("level"), *[F.sum(m).alias(m) for m in measures]))
+    names = ("state", "city", "zip")
+    sums = (place.withColumns({f"_{n}": F.lower(n) for n in names}).rollup(*[f"_{n}" for n in names])
+            .agg(F.grouping_id().alias("level"), *[F.min(n).alias(n) for n in names],
+                 *[F.sum(m).alias(m) for m in measures]))
+    # level counts the names summed over, as bits from zip (1) to state (4)
+    shown = {n: F.when(c("level").bitwiseAND(F.lit(4 >> i)) == 0, c(n)) for i, n in enumerate(names)}
+    return sums.withColumns(shown).select(*names, "level", *measures)

@@ -127,7 +127,7 @@ def sale_sold_canceled(tables: Tables, as_of: date, after: date = SINCE) -> Data
             "total_sale": F.when(sold, c("total_sales")).otherwise(zero),
             "sale_cancelled": F.when(canceled, c("canceled").cast("int")).otherwise(zero),
             "cancelled_amt": F.when(canceled, c("canceled_amt")).otherwise(zero),
-        }, ci_not_in("sale_type", SERVICE_SALE_TYPES))], layout, span)
+        }, ci_not_in("sale_type", SERVICE_SALE_TYPES), days=(c("sold_on"), c("canceled_date")))], layout, span)
     return daily_facts([rows], layout, span)
 
 

@@ -97,28 +97,64 @@ def update_if_changed(target: DataFrame, batch: DataFrame, key: Sequence[str], c
     return joined.select(*[_side(k).alias(k) for k in key], _side(column).alias(column), action.alias("action"))
 
 
+def _is_among(column: str, values: Sequence) -> Column:
+    """``column in values`` with NULL as a value like any other."""
+    known = F.col(column).isin([v for v in values if v is not None])
+    return known | F.col(column).isNull() if None in values else known
+
+
+def _with_type(df: DataFrame, spark: SparkSession, path: str, column: str) -> DataFrame:
+    """Parquet at ``path``; the type of the partition column is that of ``df``, not guessed from folder names."""
+    found = spark.read.parquet(path).schema
+    for part in found:
+        if part.name == column:
+            part.dataType = df.schema[column].dataType
+    return spark.read.schema(found).parquet(path)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def finished(spark: SparkSession, folder: str) -> bool:
+    """Whether a write to ``folder`` has been completed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def upsert_partitions(spark: SparkSession, folder: str, staging: str, batch: DataFrame, key: Sequence[str],
                       order: Sequence[str], partition: str) -> DataFrame:
     """Upsert into a partitioned folder, rewriting only the partitions the batch touches.
 
-    ``partition`` must be fixed per key, such as the month a record was created.
-    The new partitions are first written whole to ``staging``; only then do they
-    replace the old ones, so a run that dies in between is finished by copying
-    ``staging`` again.
+    Touched are the partitions of the batch's rows, NULL among them, and those that hold one of its keys so far: a
+    record that moves leaves its old partition.  Finding the latter reads the key columns of the target, nothing else.
+
+    The new partitions are first written whole to ``staging``, a folder of this batch alone; only then do they replace
+    the old ones.  A run that died in between goes on from a finished ``staging`` when called again.
     """
+    target = _with_type(batch, spark, folder, partition)
+    keys = batch.select(*key).distinct()
+    held = target.select(*key, partition).join(keys, list(key), "left_semi").select(partition)
     # Names of partitions only, as the file index keeps them on the driver anyway;
     # given as literals they prune the scan.
-    touched = [r[0] for r in batch.select(partition).distinct().collect()]
-    target = spark.read.parquet(folder)
-    affected = target.where(F.col(partition).isin(touched))
-    upsert_by_key(affected, batch, key, order).write.mode("errorifexists").partitionBy(partition).parquet(staging)
-    publish_partitions(spark, staging, folder, partition)
-    return spark.read.parquet(folder)
-
-
-def publish_partitions(spark: SparkSession, staging: str, folder: str, partition: str) -> None:
-    """Replace in ``folder`` the partitions found in ``staging``, leaving all others alone."""
-    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    touched = [r[0] for r in batch.select(partition).union(held).distinct().collect()]
+    affected = target.where(_is_among(partition, touched))
+    if not finished(spark, staging):
+        upsert_by_key(affected, batch, key, order).write.mode("overwrite").partitionBy(partition).parquet(staging)
+    staged = _with_type(batch, spark, staging, partition)
+    left = [r[0] for r in staged.select(partition).distinct().collect()]
+    gone = affected.where(~F.coalesce(_is_among(partition, left), F.lit(False)))
+    emptied = [r[0] for r in gone.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "")).distinct().collect()]
+    publish_partitions(spark, staged, folder, partition)
+    for path in emptied:
+        _remove(spark, path)
+    return _with_type(batch, spark, folder, partition)
+
+
+def publish_partitions(spark: SparkSession, staged: DataFrame, folder: str, partition: str) -> None:
+    """Replace in ``folder`` the partitions found in ``staged``, leaving all others alone."""
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition).parquet(folder))
 
 

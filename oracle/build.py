@@ -7,6 +7,7 @@ from .roles import ctes
 AS_OF = "date '2001-08-01'"
 AFTER = "date '1994-12-31'"
 YEAR_END = "date '2001-12-31'"
+# Word lists that must equal the business rules.
 SVC = "('annual maintenance', 'service opportunity', 'added protection')"
 FIELD = "('new', 'rehash', 'reset', 'radon crm pickup')"
 SETS = "('new', 'reset', 'radon crm pickup')"

@@ -247,10 +247,9 @@ O["vtc_by_status"] = sql(["project"], {}, """
     keys="status", ints="projects", doubles="vtc")
 O["project_status_counts"] = sql(["project"], {}, """
     select cast(date_trunc('month', start_on) as date) as month, count(*) as projects,
-           count_if(lower(status) <> 'canceled' and pct_complete >= 100) as completed,
-           count_if(lower(status) <> 'canceled' and pct_complete < 100) as pending,
-           count_if(lower(status) = 'canceled') as canceled,
-           100 * cast(count_if(lower(status) <> 'canceled' and pct_complete >= 100) as double) / count(*) as completed_pct
-    from project group by 1""", keys="month", ints="projects completed pending canceled", doubles="completed_pct")
+           count_if(state = 'done') as completed, count_if(state = 'open') as pending, count_if(state = 'off') as canceled,
+           100 * cast(count_if(state = 'done') as double) / count(*) as completed_pct
+    from (select start_on, case when lower(status) = 'canceled' then 'off' when pct_complete >= 100 then 'done' else 'open' end as state
+          from project) s group by 1""", keys="month", ints="projects completed pending canceled", doubles="completed_pct")
 
 OPERATORS = O

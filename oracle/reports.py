@@ -155,13 +155,14 @@ _KPI_STEPS = {
         where not exists (select 1 from disq where lower(disq.id) = lower(lead.prospect_id)) and {NEW_SOURCE} and {NOT_WORK})""",
         "source_type", "leads"),
     "cal": days(),
+    "leads": "select * from nd where date in (select date from cal)",
+    # Cost outside the calendar keeps its amount and loses its day; a day without leads shows once without source.
     "kpi": """
-        select cal.date, coalesce(l.source_type, c.source_type) as source_type, coalesce(l.leads, 0) as leads_nd, coalesce(c.cost, 0) as total_cost
-        from cal left join nd l on cal.date = l.date
-        left join cost c on cal.date = c.date and lower(l.source_type) = lower(c.source_type)
+        select case when coalesce(leads.date, cost.date) in (select date from cal) then coalesce(leads.date, cost.date) end as date,
+               coalesce(leads.source_type, cost.source_type) as source_type, coalesce(leads, 0) as leads_nd, coalesce(cost, 0) as total_cost
+        from leads full join cost on leads.date = cost.date and lower(leads.source_type) = lower(cost.source_type)
         union all
-        select cal.date, c.source_type, 0, c.cost from cal right join cost c on cal.date = c.date
-        left join nd l on cal.date = l.date and lower(c.source_type) = lower(l.source_type) where l.date is null""",
+        select date, null, 0, 0 from cal anti join leads using (date)""",
 }
 _KPI_ROLES = ["source_cost", "marketing_source", "lead", "disq"]
 R["marketing_kpi"] = sql(_KPI_ROLES, _KPI_STEPS, "select * from kpi", keys="date source_type", ints="leads_nd", doubles="total_cost")
@@ -227,9 +228,11 @@ R["staff_location"] = sql(_LOC_ROLES, _LOC_STEPS,
     "select *, appointments_set - appointments_cancelled as appointments_issued_cc from loc",
     keys="date " + _LOC_KEYS, ints=_LOC + " appointments_issued_cc")
 R["location_rollup"] = sql(_LOC_ROLES, _LOC_STEPS, """
-    select state, city, zip, grouping(state, city, zip) as level, sum(leads_taken) as leads_taken,
-           sum(appointments_set) as appointments_set, sum(sale_sold) as sale_sold, sum(sale_cancelled) as sale_cancelled
-    from loc group by rollup (state, city, zip)""",
+    select case when level < 4 then state end as state, case when level < 2 then city end as city, case when level < 1 then zip end as zip,
+           level, leads_taken, appointments_set, sale_sold, sale_cancelled
+    from (select min(state) as state, min(city) as city, min(zip) as zip, grouping(s, c, z) as level, sum(leads_taken) as leads_taken,
+                 sum(appointments_set) as appointments_set, sum(sale_sold) as sale_sold, sum(sale_cancelled) as sale_cancelled
+          from (select *, lower(state) as s, lower(city) as c, lower(zip) as z from loc) f group by rollup (s, c, z)) r""",
     keys="state city zip", ints="level leads_taken appointments_set sale_sold sale_cancelled")
 
 # -- goals -------------------------------------------------------------------
@@ -299,19 +302,19 @@ _CATEGORY_GOALS = {
     "appointments_cancelled": "appointment_canceled", "appointments_issued": "appointment_issued",
     "quote_issued": "quoted", "sold": "sale_sold", "cancelled": "sale_cancelled", "total_cost": "marketing",
     "prod": "prod", "service": "service", "std": "std"}
+_REPEATED = ["per_lead_cost", "total_cost", "prod", "service", "std"]
 R["product_category"] = sql(["product_yearly_goals", "actual_prod_cat", "marketing_daily", "sale_rep_prod_cat"], {
-    "ma": "select date, lower(product_category) as pc, coalesce(sum(per_lead_cost), 0) as per_lead_cost, coalesce(sum(total_cost), 0) as total_cost from marketing_daily group by 1, 2",
-    "sa": "select date, lower(product_category) as pc, coalesce(sum(prod), 0) as prod, coalesce(sum(service), 0) as service, coalesce(sum(std), 0) as std from sale_rep_prod_cat group by 1, 2",
-    "actual": """
-        select st.date, 'actual' as type, min(st.product_category) as product_category, sum(leads_taken) as leads_taken, sum(leads_nd) as leads_nd,
-               sum(appointments_set) as appointments_set, sum(appointments_cancelled) as appointments_cancelled,
-               sum(appointments_issued_cc) as appointments_issued, sum(quote_issued) as quote_issued, sum(sold) as sold,
-               sum(cancelled) as cancelled, sum(coalesce(ma.total_cost, 0)) as total_cost, sum(coalesce(sa.prod, 0)) as prod,
-               sum(coalesce(sa.service, 0)) as service, sum(coalesce(sa.std, 0)) as std,
-               sum(coalesce(ma.per_lead_cost, 0)) as per_lead_cost
-        from actual_prod_cat st left join ma on st.date = ma.date and lower(st.product_category) = ma.pc
-        left join sa on st.date = sa.date and lower(st.product_category) = sa.pc
-        group by st.date, lower(st.product_category)""",
+    "spend": "select date, lower(product_category) as folded, sum(per_lead_cost) as per_lead_cost, sum(total_cost) as total_cost from marketing_daily group by all",
+    "revenue": "select date, lower(product_category) as folded, sum(prod) as prod, sum(service) as service, sum(std) as std from sale_rep_prod_cat group by all",
+    "steps": """select date, lower(product_category) as folded, min(product_category) as product_category, count(*) as times,
+        sum(leads_taken) as leads_taken, sum(leads_nd) as leads_nd, sum(appointments_set) as appointments_set,
+        sum(appointments_cancelled) as appointments_cancelled, sum(appointments_issued_cc) as appointments_issued,
+        sum(quote_issued) as quote_issued, sum(sold) as sold, sum(cancelled) as cancelled
+        from actual_prod_cat group by date, lower(product_category)""",
+    # A day's spend and revenue count once for every funnel row of the category.
+    "actual": "select * exclude (" + ", ".join(_REPEATED) + "), 'actual' as type, " + ", ".join(
+        f"times * coalesce({m}, 0) as {m}" for m in _REPEATED)
+    + " from steps left join spend using (date, folded) left join revenue using (date, folded)",
     "goal": even(_CATEGORY_GOALS)},
     f"""select date, type, product_category, {', '.join(f'cast({m} as double) as {m}' for m in _CATEGORY_GOALS)}, cast(per_lead_cost as double) as per_lead_cost from actual
         union all select date, 'goal', product_category, {', '.join(_CATEGORY_GOALS)}, total_cost / nullif(leads_nd, 0) from goal""",
@@ -329,39 +332,38 @@ R["sale_prod_service_cat"] = sql(["sale", "product_yearly_goals"], {
        union all select date, 'goal', product_category, prod, service, std from goal""",
     keys="date type product_category", doubles="prod service std")
 
+_MONEY = ["prod", "service", "std"]
 _PSS = {
-    "p": f"select foreman_sale_date as date, sum(foreman_basis) as prod from sale where lower(sale_type) not in {SVC} and foreman_sale_date is not null group by 1",
-    "s": f"""select sold_on as date, sum(case when lower(sale_type) in {SVC} then total_sales else 0 end) as service,
-        sum(case when lower(sale_type) not in {SVC} and lower(department) = 'sales' then total_sales else 0 end) as sold from sale group by 1""",
-    "k": f"select canceled_date as date, sum(canceled_amt) as cancelled from sale where {SALES_DEAL} group by 1",
-    "cal": days(YEAR_END),
-    "actual": """select cal.date, cast(coalesce(prod, 0) as double) as prod, cast(coalesce(service, 0) as double) as service,
-        cast(coalesce(sold, 0) - coalesce(cancelled, 0) as double) as std, coalesce(sold, 0) - coalesce(cancelled, 0) as exact_std,
-        coalesce(prod, 0) as exact_prod, coalesce(service, 0) as exact_service
-        from cal left join p on cal.date = p.date left join s on cal.date = s.date left join k on cal.date = k.date""",
-    "monthly": """select cast(year(date) as int) as year, cast(month(date) as int) as month, cast(sum(exact_prod) as double) as prod,
-        cast(sum(exact_service) as double) as service, cast(sum(exact_std) as double) as std from actual group by 1, 2""",
-    "means": """select year, month, avg(prod) over w as prod, avg(service) over w as service, avg(std) over w as std from monthly
-        window w as (partition by month order by year rows between 3 preceding and 1 preceding)""",
-    "totals": "select year, sum(prod) as prod, sum(service) as service, sum(std) as std from means group by 1",
-    "pct": """select a.year, a.month, a.prod / nullif(t.prod, 0) * 100 as prod, a.service / nullif(t.service, 0) * 100 as service,
-        a.std / nullif(t.std, 0) * 100 as std from means a join totals t on a.year = t.year""",
-    "goal": """select cal.date, y.prod * (q.prod / 100) / day(last_day(cal.date)) as prod, y.service * (q.service / 100) / day(last_day(cal.date)) as service,
-        y.std * (q.std / 100) / day(last_day(cal.date)) as std
-        from yearly_goals y join pct q on y.year = q.year join cal on year(cal.date) = q.year and month(cal.date) = q.month
-        where lower(y.type) = 'goal'""",
+    "marked": f"select *, lower(sale_type) in {SVC} as is_service, lower(sale_type) not in {SVC} as is_standard, lower(department) = 'sales' as is_sales from sale",
+    # Each sale is looked at three times: by its production day, its sale day and its cancel day.
+    "moves": """select case look when 1 then foreman_sale_date when 2 then sold_on when 3 then canceled_date end as date,
+        sum(foreman_basis) filter (look = 1 and is_standard) as prod,
+        sum(total_sales) filter (look = 2 and is_service) as service,
+        sum(case look when 2 then total_sales when 3 then -canceled_amt end) filter (is_standard and is_sales) as std
+        from marked cross join (values (1), (2), (3)) looks(look) group by 1""",
+    "exact": "select date, " + ", ".join(f"coalesce({m}, 0) as {m}" for m in _MONEY) + f" from ({days(YEAR_END)}) d left join moves using (date)",
+    "actual": "select date, " + ", ".join(f"cast({m} as double) as {m}" for m in _MONEY) + " from exact",
+    "months": "select date_trunc('month', date) as first_day, " + ", ".join(f"cast(sum({m}) as double) as {m}" for m in _MONEY) + " from exact group by 1",
+    "usual": "select first_day, " + ", ".join(f"avg({m}) over earlier as {m}" for m in _MONEY) + """ from months
+        window earlier as (partition by month(first_day) order by first_day rows between 3 preceding and 1 preceding)""",
+    "pct": "select first_day, cast(year(first_day) as int) as year, cast(month(first_day) as int) as month, " + ", ".join(
+        f"{m} / nullif(sum({m}) over (partition by year(first_day)), 0) * 100 as {m}" for m in _MONEY) + " from usual",
+    "goal": "select cast(unnest(range(cast(first_day as timestamp), first_day + interval 1 month, interval 1 day)) as date) as date, " + ", ".join(
+        f"{m}" for m in _MONEY) + " from (select first_day, " + ", ".join(
+        f"y.{m} * (pct.{m} / 100) / day(last_day(first_day)) as {m}" for m in _MONEY)
+        + " from pct join yearly_goals y on y.year = pct.year where lower(y.type) = 'goal') by_month",
     "stacked": """select date, 'actual' as type, prod, service, std from actual
         union all select date, 'goal', prod, service, std from goal""",
 }
 R["sale_prod_service"] = sql(["sale", "yearly_goals"], _PSS, "select * from stacked", keys="date type", doubles="prod service std")
-R["seasonal_share"] = sql(["sale"], {k: v for k, v in _PSS.items() if k not in ("goal", "stacked")}, "select * from pct",
+R["seasonal_share"] = sql(["sale"], {k: v for k, v in _PSS.items() if k not in ("goal", "stacked", "actual")}, "select * from pct",
                           ints="year month", doubles="prod service std")
 _VS = ["prod", "service", "std"]
 R["kpi_vs_goal"] = sql(["sale", "yearly_goals"], {**_PSS, "g": "select cast(date_trunc('month', date) as date) as month, " + ", ".join(
     f"sum(case when type = '{t}' then {c} end) as {t}_{c}" for c in _VS for t in ("actual", "goal")) + " from stacked group by 1"},
     "select *, " + ", ".join(
         f"case when goal_{c} = 0 then 0 else actual_{c} * 100 / goal_{c} end as pct_{c}, "
-        f"case when actual_{c} >= goal_{c} then 'met' else 'missed' end as status_{c}" for c in _VS) + " from g",
+        f"case when goal_{c} is null then null when actual_{c} >= goal_{c} then 'met' else 'missed' end as status_{c}" for c in _VS) + " from g",
     keys="month status_prod status_service status_std",
     doubles=" ".join(f"actual_{c} goal_{c} pct_{c}" for c in _VS))
 
@@ -381,22 +383,23 @@ _CHAIN = """
            round(round(round(leads_nd, 5) * (b_set / 100), 5) * (b_can / 100), 5) as step3,
            round(round(round(leads_nd, 5) * (b_set / 100), 5) * (b_iss / 100), 5) as step4
     from leads_nd_daily, (select leads_taken as b_taken, appointment_set as b_set, appointment_canceled as b_can, appointment_issued as b_iss from rates) b"""
+_DAILY = ["leads_taken", "leads_nd", "appointments_set", "appointments_cancelled", "appointments_issued_cc",
+          "appointments_issued_sale", "quote_issued", "sale_sold", "sale_cancelled", "adl"]
 R["fact_table_goal"] = sql(["leads_nd_daily", "rates", "product_yearly_goals", "goal_distribution", "monthly_distribution", "customer_funnel"], {
     "chain": _CHAIN,
-    "mg": """select cast(year(date) as int) as year, cast(month(date) as int) as month, sum(lead_taken) as lt, sum(step1) as nd, sum(step2) as st, sum(step3) as ca, sum(step4) as iss
-             from chain group by 1, 2""",
-    "fg": """select mg.year, mg.month, pg.product_category, lt * pg.leads_taken as leads_taken, nd * pg.leads_nd as leads_nd,
-                    st * pg.appointment_set as appointments_set, ca * pg.appointment_canceled as appointments_cancelled,
-                    iss * pg.appointment_issued as appointments_issued_cc
-             from mg join product_yearly_goals pg on mg.year = pg.year""",
-    "cal": days(YEAR_END),
-    "dv": """select cal.date, product_category, day(last_day(cal.date)) as n, leads_taken, leads_nd, appointments_set, appointments_cancelled, appointments_issued_cc
-             from fg join cal on year(cal.date) = fg.year and month(cal.date) = fg.month""",
-    "fr": daily("goal_distribution", {c: (c, "sales_value") for c in ("issued_unique", "quoted", "sold", "canceled", "adl")}, "product_category"),
-    "goal": """select dv.date, dv.product_category, leads_taken / n as leads_taken, leads_nd / n as leads_nd, appointments_set / n as appointments_set,
-                      appointments_cancelled / n as appointments_cancelled, appointments_issued_cc / n as appointments_issued_cc,
-                      issued_unique as appointments_issued_sale, quoted as quote_issued, sold as sale_sold, canceled as sale_cancelled, adl
-               from dv join fr on dv.date = fr.date and lower(dv.product_category) = lower(fr.product_category)"""},
+    "months": "select date_trunc('month', date) as first_day, " + ", ".join(f"sum({s}) as {s}" for s in ("lead_taken", "step1", "step2", "step3", "step4"))
+    + " from chain group by 1",
+    # Everything is constant within a month, so one join at month grain, then the days.
+    "by_month": f"""select first_day, p.product_category, lead_taken * p.leads_taken as leads_taken, step1 * p.leads_nd as leads_nd,
+        step2 * p.appointment_set as appointments_set, step3 * p.appointment_canceled as appointments_cancelled,
+        step4 * p.appointment_issued as appointments_issued_cc, share * d.issued_unique as appointments_issued_sale,
+        share * d.quoted as quote_issued, share * d.sold as sale_sold, share * d.canceled as sale_cancelled, share * d.adl as adl
+        from (select *, make_date(cast(year as int), cast(month as int), 1) as first_day, sales_value as share from monthly_distribution) m
+        join months using (first_day) join product_yearly_goals p on p.year = year(first_day)
+        join goal_distribution d on d.year = p.year and lower(d.product_category) = lower(p.product_category)
+        where first_day between {AFTER} + interval 1 day and {YEAR_END}""",
+    "goal": "select cast(unnest(range(cast(first_day as timestamp), first_day + interval 1 month, interval 1 day)) as date) as date, "
+    "product_category, " + ", ".join(f"{m} / day(last_day(first_day)) as {m}" for m in _DAILY) + " from by_month"},
     """select date, 'goal' as type, null as sale_rep, product_category, null as source_name, null as source_type, null as team_lead,
               leads_taken, leads_nd, appointments_set, appointments_cancelled, appointments_issued_cc, appointments_issued_sale,
               quote_issued, 0 as sold_total, sale_sold, sale_cancelled, 0 as sale_cancelled_amount, 0 as ads, adl from goal

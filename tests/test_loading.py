@@ -156,3 +156,28 @@ def test_pairs_and_cells(spark):
     assert rows(sheets.load_pairs(df, "team", "employee"), "team", "employee") == [("t", "e")]
     cells = sheets.kpi_cells(spark.createDataFrame([("0.123456789012", None)], "a string, b string"), ["a", "b"], datetime(2024, 3, 1))
     assert rows(cells, "a", "b", "created") == [(0.123456789, None, datetime(2024, 3, 1))]
+
+
+def _parts(spark, old, batch):
+    root = scratch_path(spark, "parts")
+    spark.createDataFrame(old, "id int, t string, month int").write.partitionBy("month").parquet(f"{root}/t")
+    new = spark.createDataFrame(batch, "id int, t string, month int, seq int")
+    got = sinks.upsert_partitions(spark, f"{root}/t", f"{root}/staging", new, ["id"], ["seq"], "month")
+    return root, new, sorted((tuple(r) for r in got.select("id", "t", "month").collect()), key=str)
+
+
+def test_upsert_partitions_keeps_the_null_partition(spark):
+    _, _, got = _parts(spark, [(1, "a", None), (2, "b", None), (3, "c", 1)], [(2, "B", None, 1), (4, "d", None, 1)])
+    assert got == [(1, "a", None), (2, "B", None), (3, "c", 1), (4, "d", None)]
+
+
+def test_upsert_partitions_moves_keys(spark):
+    """A key leaves its old partition, also when nothing else is left there."""
+    _, _, got = _parts(spark, [(1, "a", 1), (2, "b", 1), (3, "c", 2)], [(1, "A", 5, 1), (3, "C", None, 1), (3, "x", 2, 0)])
+    assert got == [(1, "A", 5), (2, "b", 1), (3, "C", None)]
+
+
+def test_upsert_partitions_goes_on_from_staging(spark):
+    root, new, got = _parts(spark, [(1, "a", 1), (3, "c", 2)], [(1, "A", 2, 1)])
+    again = sinks.upsert_partitions(spark, f"{root}/t", f"{root}/staging", new, ["id"], ["seq"], "month")
+    assert rows(again, "id", "t", "month") == got == [(1, "A", 2), (3, "c", 2)]

@@ -41,3 +41,15 @@ def test_catalog_tables_rename(spark):
     spark.createDataFrame([("1", "x")], "Id string, Kind__c string").createOrReplaceTempView("raw_lead")
     lead = CatalogTables(spark, {"lead": "raw_lead"}, {"lead": {"id": "Id", "source_type": "Kind__c"}})
     assert rows(lead("lead", "id", "source_type"), "id", "source_type") == [("1", "x")]
+
+
+def test_state_is_found_without_a_catalog(spark):
+    """Another session with other views finds the table; the same run again keeps what it has published."""
+    root = scratch_path(spark, "state")
+    one = spark.createDataFrame([(1,)], "id int")
+    pipeline.Run(spark, root, "r1", prefix="state1_").publish("t", one)
+    later = pipeline.Run(spark.newSession(), root, "r2", prefix="state2_")
+    assert later.old("t").count() == 1 and later.old("other") is None
+    assert later.publish("t", later.old("t").union(later.old("t"))).count() == 2
+    assert pipeline.Run(spark, root, "r2", prefix="state3_").publish("t", one).count() == 2
+    assert pipeline.Run(spark, root, "r3", prefix="state3_").publish("t", one.limit(0)).count() == 2

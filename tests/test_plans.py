@@ -5,8 +5,8 @@ from datetime import datetime
 
 import pytest
 
-from __spark_entry__ import queries
-from leadflow.plans import care, sales
+from __spark_entry__ import kpi_queries
+from leadflow.plans import care, dashboard, sales
 from leadflow.session import scratch_path
 from leadflow.sources.load import incremental_pull
 from leadflow.sources.warehouse import PathTables
@@ -21,9 +21,9 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in WRITERS])
+@pytest.mark.parametrize("name", [n for n in kpi_queries() if n not in WRITERS])
 def test_no_cross_join_no_python_no_global_sort(spark, name):
-    text = plan(queries()[name](spark, FOLDER))
+    text = plan(kpi_queries()[name](spark, FOLDER))
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "MapInArrow",
                    "rangepartitioning"):
         assert banned not in text, banned
@@ -69,16 +69,16 @@ def test_one_shuffle_for_all_facts(spark, lake):
 
 
 def test_qualified_leads_use_an_anti_join(spark):
-    assert "LeftAnti" in plan(queries()["leads_qualified"](spark, FOLDER))
+    assert "LeftAnti" in plan(kpi_queries()["leads_qualified"](spark, FOLDER))
 
 
 def test_first_touch_needs_no_window(spark):
-    text = plan(queries()["first_touch"](spark, FOLDER))
+    text = plan(kpi_queries()["first_touch"](spark, FOLDER))
     assert "Window" not in text and "partial_min" in text
 
 
 def test_goals_join_no_calendar(spark):
-    text = plan(queries()["sale_sale_goal"](spark, FOLDER))
+    text = plan(kpi_queries()["sale_sale_goal"](spark, FOLDER))
     assert "Generate explode(" in text and "Range (" not in text
 
 
@@ -86,3 +86,12 @@ def test_incremental_filter_reaches_the_scan(spark):
     orders = spark.read.parquet(f"{FOLDER}/orders.parquet").select("o_orderkey", "o_orderdate")
     text = plan(incremental_pull(orders, "o_orderdate", datetime(2000, 1, 1)))
     assert "GreaterThanOrEqual(o_orderdate,2000-01-01T00:00" in text
+
+
+def test_ranges_reach_the_sale_scan(spark, lake):
+    """Facts with different text tests, and a day picked from two columns."""
+    for df in (sales.sale_prod_service_actual(lake, day(1), day(5)), sales.sale_sold_canceled(lake, day(5), day(1)),
+               dashboard.periods(lake, day(5), day(1))):
+        scan, = scans(plan(df), "sale")
+        pushed = scan.split("PushedFilters", 1)[1]
+        assert pushed.startswith(": [Or(") and "LessThanOrEqual" in pushed
