@@ -82,7 +82,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.select("doc_id", F.xxhash64("text").alias("text_key"), _words(F.col("text")).alias("words"))
     texts = texts.withColumn("template", _template(F.col("words")))
-    rows = texts.select("doc_id", "text_key", "words", "template", F.posexplode(_windows(F.col("template"))).alias("at", "hash"))
+    # The windows are made ahead of the explode, which then runs in generated code and carries the word lists along
+    # without copying them for each window; the slice keeps Spark from testing the list ahead, making it twice.
+    texts = texts.withColumn("hashes", _windows(F.col("template")))
+    rows = texts.select("doc_id", "text_key", "words", "template",
+                        F.posexplode(F.slice("hashes", 1, 2**31 - 1)).alias("at", "hash"))
     met = None
     for block in range(blocks):
         some = F.broadcast(known.where(F.col("block") % blocks == block).drop("block"))  # about BLOCK windows
