@@ -3,7 +3,9 @@
 A text is cut into sentences twice: with every line feed as an end (a notice on a line of its own), and with line feeds
 inside a paragraph as spaces (a notice wrapped over lines).  A normalised sentence (lower case, other than letters and
 digits as one space) that is known becomes its identifier; a licence is found if its rule, an ordered list of
-identifiers, occurs in that order, with anything between, in one of the two sequences.
+identifiers, occurs in that order, with anything between, in one of the two sequences.  Notices with an end inside a
+sentence (SPDX lines, GPL, MPL) are listed by the pieces that the cut makes of them; two identifiers joined by a comma
+are one step of a rule, the second right after the first (an SPDX tag and its value).
 
 Everything is a projection of the row: no join, no exchange, so a source with any share of the rows is no matter.  Null
 and empty texts have no sentence.  Rows are independent of each other.
@@ -74,6 +76,28 @@ SENTENCES = {
     "cc-by-nc-4-long": "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
     "cc-by-nd-4": "licensed under cc by nd 4 0",
     "cc0": "licensed under cc0 1 0",
+    # pieces of notices that the cut parts
+    "spdx": "spdx license identifier",
+    "spdx-apache2": "apache 2 0",
+    "spdx-mit": "mit",
+    "spdx-gpl3": "gpl 3 0 or later",
+    "spdx-gpl2": "gpl 2 0 or later",
+    "spdx-bsd3": "bsd 3 clause",
+    "spdx-bsd2": "bsd 2 clause",
+    "spdx-mpl2": "mpl 2 0",
+    "gpl-program": "this program is free software",
+    "gpl-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by "
+                 "the free software foundation",
+    "gpl3-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by "
+                  "the free software foundation either version 3 of the license or at your option any later version",
+    "gpl2-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by "
+                  "the free software foundation either version 2 of the license or at your option any later version",
+    "gpl3-either": "either version 3 of the license or at your option any later version",
+    "gpl2-either": "either version 2 of the license or at your option any later version",
+    "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty",
+    "gpl-implied": "without even the implied warranty of merchantability or fitness for a particular purpose",
+    "mpl2-terms": "this source code form is subject to the terms of the mozilla public license v",
+    "mpl2-copy-http": "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
     "unlicense": "this is free and unencumbered software released into the public domain",
     "reserved": "all rights reserved",
 }
@@ -97,11 +121,18 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("CC-BY-NC-4.0", ("cc-by-nc-4",)), ("CC-BY-NC-4.0", ("cc-by-nc-4-long",)),
     ("CC-BY-ND-4.0", ("cc-by-nd-4",)), ("CC0-1.0", ("cc0",)), ("Unlicense", ("unlicense",)),
     ("All rights reserved", ("reserved",)),
+    *((name, (f"spdx,spdx-{value}",)) for name, value in (
+        ("Apache-2.0", "apache2"), ("MIT", "mit"), ("GPL-3.0", "gpl3"), ("GPL-2.0", "gpl2"), ("BSD-3-Clause", "bsd3"),
+        ("BSD-2-Clause", "bsd2"), ("MPL-2.0", "mpl2"))),
+    *((f"GPL-{n}.0", ("gpl-program", *terms, "gpl-hope", "gpl-implied")) for n in (3, 2)
+      for terms in ((f"gpl{n}-terms",), ("gpl-terms", f"gpl{n}-either"))),
+    ("MPL-2.0", ("mpl2-terms", "mpl2-copy")), ("MPL-2.0", ("mpl2-terms", "mpl2-copy-http")),
 )
 # the longer form of a licence replaces the shorter one it contains
 CONTAINS = {"BSD-3-Clause": "BSD-2-Clause"}
 # a word of every known sentence: texts without any of them have no known sentence
-HINT = r"(?i)licen[cs]e|permission|redistribut|warrant|copyright|rights reserved|obtain|compliance|public domain|mpl"
+HINT = r"(?i)licen[cs]e|permission|redistribut|warrant|copyright|rights reserved|obtain|compliance|public domain|mpl" \
+       r"|free software|apache|gpl|bsd|(?:^|[^a-z0-9])mit(?:[^a-z0-9]|$)"
 END = r"[.!?;:]+\s+|[.!?;:]+$"
 
 
@@ -114,13 +145,16 @@ def _identifiers(sentences: Column) -> Column:
 
 def _follows(ids: Column, steps: tuple[str, ...]) -> Column:
     """Whether the steps occur in this order."""
+    if len(steps) == 1 and "," in steps[0]:
+        tag, value = steps[0].split(",")
+        return F.exists(F.transform(ids, lambda x, i: (x == value) & (F.get(ids, i - 1) == tag)), lambda x: x)
     wanted = F.array(*[F.lit(s) for s in steps], F.lit(None).cast("string"))
     reached = F.aggregate(ids, F.lit(0), lambda at, x: F.when(x == F.element_at(wanted, at + 1), at + 1).otherwise(at))
     return reached == len(steps)
 
 
 def licence_scan(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the number of known sentences, and the licences found, sorted."""
+    """``doc_id``, the number of known sentences and pieces, and the licences found, sorted."""
     text = F.coalesce("text", F.lit(""))
     paragraphs = F.regexp_replace(F.regexp_replace(text, r"\n[ \t]*\n\s*", ". "), "\n", " ")
     none = F.array().cast("array<string>")

@@ -162,6 +162,111 @@ def test_licences(spark, none):
     assert licences.licence_scan(none).count() == 0
 
 
+GPL_3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+GPL_2 = GPL_3.replace("software:", "software;").replace("Foundation,", "Foundation;").replace("version 3", "version 2")
+MPL_2 = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+APACHE_2 = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+MIT = """The MIT License (MIT)
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+BSD_2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+BSD_3 = BSD_2 + """
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+NOTICES = [
+    (GPL_3, "GPL-3.0"), (GPL_2, "GPL-2.0"), (GPL_2.replace("version 2", "version 3"), "GPL-3.0"),
+    (GPL_3.replace("version 3", "version 2"), "GPL-2.0"), ("# " + GPL_3.replace("\n", "\n# "), "GPL-3.0"),
+    (GPL_3.replace("software:", "software,").replace("WARRANTY;", "WARRANTY,"), "GPL-3.0"),
+    (GPL_2.replace("software;", "software,").replace("Foundation;", "Foundation,").replace("WARRANTY;", "WARRANTY,"), "GPL-2.0"),
+    (MPL_2, "MPL-2.0"), (MPL_2.replace("https", "http"), "MPL-2.0"), (MPL_2.replace("v. 2.0", "v.2.0"), "MPL-2.0"),
+    (APACHE_2, "Apache-2.0"), (APACHE_2[APACHE_2.index("you may"):], "Apache-2.0"), ("Licensed under the Apache License, Version 2.0", "Apache-2.0"),
+    (MIT, "MIT"), (MIT[MIT.index("Permission"):], "MIT"), (MIT[:MIT.index("The above")], "MIT"),
+    (MIT[MIT.index("Permission"):MIT.index("THE SOFTWARE")], "MIT"), ("Released under the MIT License.", "MIT"),
+    ("Licensed under the MIT License.", "MIT"), ("This project is licensed under the MIT License.", "MIT"),
+    (BSD_2, "BSD-2-Clause"), (BSD_3, "BSD-3-Clause"), (ISC, "ISC"),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    *[(f"Licensed under the GNU {kind}General Public License, version {n}.", name) for kind, n, name in (
+        ("", 3, "GPL-3.0"), ("", 2, "GPL-2.0"), ("Lesser ", 3, "LGPL-3.0"), ("Affero ", 3, "AGPL-3.0"))],
+    *[(f"Licensed under CC {x} 4.0.", f"CC-{x}-4.0") for x in ("BY", "BY-SA", "BY-NC", "BY-ND")],
+    *[(f"This work is licensed under a Creative Commons Attribution{x} 4.0 International License.", name) for x, name in (
+        ("", "CC-BY-4.0"), ("-ShareAlike", "CC-BY-SA-4.0"), ("-NonCommercial", "CC-BY-NC-4.0"))],
+    ("Licensed under CC0 1.0", "CC0-1.0"), ("All rights reserved.", "All rights reserved"),
+    ("This is free and unencumbered software released into the public domain.", "Unlicense"),
+    *[(f"{a}SPDX-License-Identifier:{b}{x}{c}", name) for x, name in (
+        ("Apache-2.0", "Apache-2.0"), ("MIT", "MIT"), ("GPL-3.0-or-later", "GPL-3.0"), ("GPL-2.0-or-later", "GPL-2.0"),
+        ("BSD-3-Clause", "BSD-3-Clause"), ("BSD-2-Clause", "BSD-2-Clause"), ("MPL-2.0", "MPL-2.0"))
+      for a, b, c in (("// ", " ", "\nint x;"), ("/* ", "  ", " */"), ("", "", ""))],
+    # no licence: a value without its tag, a tag whose value comes after another one, a sentence without its other pieces
+    ("MIT\n\nnothing of a license", ""), ("BSD-3-Clause\nSPDX-License-Identifier: none", ""),
+    ("This program is free software: you can use it.", "")]
+
+
+def test_original_notices(spark):
+    import duckdb
+
+    rows = [(i, text) for i, (text, _) in enumerate(NOTICES)]
+    got = {r.doc_id: (r.n_sentences, ",".join(r.licences))
+           for r in licences.licence_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(text, got[i][1]) for i, text in rows] == NOTICES
+    with duckdb.connect() as c:
+        c.sql("create table documents(doc_id bigint, text varchar)")
+        c.executemany("insert into documents values (?, ?)", rows)
+        assert {i: (n, names) for i, n, names in c.sql(ORACLE["op4_license_scans"]).fetchall()} == got
+
+
+def test_every_licence_rule_is_alive(spark):
+    """Each rule occurs in the sentences of a notice."""
+    table = spark.createDataFrame([(text,) for text, _ in NOTICES], "text string")
+    paragraphs = F.regexp_replace(F.regexp_replace("text", r"\n[ \t]*\n\s*", ". "), "\n", " ")
+    sentences = [licences._identifiers(x) for x in (F.split("text", licences.END + "|\n"), F.split(paragraphs, licences.END))]
+    table = table.select(F.explode(F.array(*sentences)).alias("ids")).localCheckpoint()
+    alive = table.agg(*[F.max(licences._follows(F.col("ids"), steps)) for _, steps in licences.RULES]).first()
+    assert [rule for rule, found in zip(licences.RULES, alive) if not found] == []
+
+
 def test_warc(spark):
     big = "<p>" + "x" * 1200
     rows = [(1, "http://a/1", big), (2, None, big), (3, "http://a/3\r\nX: y", big), (4, "u", None), (5, "u", "small"),
