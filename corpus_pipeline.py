@@ -8,16 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadflow.llm import decontaminate, line_dedup, ngram_join, pieces, toxicity
-from leadflow.llm.common import saved, table
+from leadflow.llm.common import WORD, saved, table
 from leadflow.llm.queries import ship
 
-#: Share of its words that a document must keep in line dedup: with less it is a copy of what came earlier.
-LEAST_LEFT = 0.2
-
-
-def _n_words(text: str):
-    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go."""
@@ -26,11 +19,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that match earlier ones go, and documents of which hardly anything is left."""
+    """Lines that match earlier ones go, and documents of which no word is left."""
     ship(spark)
-    before = docs.withColumn("__words", _n_words("text"))
-    cut = line_dedup.drop_repeated_lines(before)
-    kept = cut.where((F.col("n_dropped") == 0) | (_n_words("text") > LEAST_LEFT * F.col("__words")))
+    cut = line_dedup.drop_repeated_lines(docs)
+    kept = cut.where((F.col("n_dropped") == 0) | F.col("text").rlike(WORD))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
                                .cast(docs.schema["n_chars"].dataType))

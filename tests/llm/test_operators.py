@@ -11,6 +11,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from leadflow.llm import (decontaminate, host_rules, html_text, licences, line_dedup, ngram_join, pieces, suffix_tree,
                           toxicity, warc)
 from leadflow.llm.oracles import ORACLE
@@ -98,6 +99,15 @@ def test_line_dedup(docs, none):
     assert line_dedup.drop_repeated_lines(none).count() == 0
 
 
+def test_pipeline_keeps_what_lines_leave(spark):
+    shared = "a passage of several words that many documents share and nobody wrote twice " * 3
+    own = "just these words are new"
+    rows = [(1, shared), (2, f"{own}\n{shared}"), (3, shared), (4, f"{shared}\n \n"), (5, ""), (6, None)]
+    table = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, n_chars long")
+    kept = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_lines(spark, table, "").collect()}
+    assert kept == {1: (shared, len(shared)), 2: (own, len(own)), 5: ("", 0), 6: (None, 0)}
+
+
 def test_suffix_tree(docs, none):
     rows = [(zlib.crc32(str("" if i is None else i).encode()) % 5 == 1, [*words(t), None]) for i, t in TEXTS]
     train = [w for held, w in rows if not held]
