@@ -1,8 +1,9 @@
 """Line dedup by an exact set-similarity join.
 
-A line is the set of its distinct lower-cased words; lines with fewer than ``least_words`` are left alone.  A line goes
-when an earlier line (smaller doc_id, then smaller line number) has ``100 * |A and B| >= percent * |A or B|``; whether that
-earlier line goes itself does not matter.  The operator finds every such line.
+A line is the set of its distinct lower-cased words.  A line goes when an earlier line (smaller doc_id, then smaller line
+number) has ``100 * |A and B| >= percent * |A or B|``; whether that earlier line goes itself does not matter.  A line with
+fewer than ``least_words`` in its set says too little for that: it is its words in order, as they are written, and goes when
+an earlier line is the same.  The operator finds every such line.  Lines without words stay.
 
 1. Rarity: hashed counts of each word over all texts.
 2. Signatures: a line's words ordered rare first.  Two matching lines share at least two of their first
@@ -10,7 +11,7 @@ earlier line goes itself does not matter.  The operator finds every such line.
    together, so that common words do not bring unrelated lines together.  Lines of ``LONG`` words and more, and those
    that can match them, also use each of their first ``n - ceil(t n) + 1`` words as a key.  Words of a single line are
    left out, as are keys that occur once.
-3. Equal sets: the earliest line of a set stands for it.  The rows of a key are read in order.  The first ``SMALL`` sets
+3. Equal sets (for short lines: equal words in order): the earliest line of a set stands for it.  The rows of a key are read in order.  The first ``SMALL`` sets
    of a key are paired with each other, each further one with the closest of them, all under the length, positional
    and parity filters.  What passes is verified on the sets themselves.
 4. Sets of larger keys that are not found yet are joined with the earlier sets of their keys, under the same filters, and
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from leadflow.llm import rarity
 from leadflow.llm.common import saved
-from leadflow.llm.wordscan import Scan, mix, scan
+from leadflow.llm.wordscan import Scan, mix, scan, written
 
 LONG = 200
 RARE = 1 + 4 * rarity.STEPS  # level of a word in 32 lines
@@ -47,8 +48,8 @@ _MET = pa.schema([(c, pa.int64()) for c in (
 _MET_SQL = "`set` bigint, doc_id bigint, at bigint, of bigint, odoc_id bigint, oat bigint, key bigint, parity bigint, shape bigint"
 
 
-def _by_line(s: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words by line: unit of each, hash, and for each unit its text and line number."""
+def _by_line(s: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words by line: unit of each, hash, and for each unit its text, line number and first word."""
     breaks = np.flatnonzero(s.data == 10)
     text = np.repeat(np.arange(len(s.bounds) - 1), np.diff(s.bounds))
     before = np.searchsorted(breaks, s.starts)
@@ -62,7 +63,7 @@ def _by_line(s: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     unit, h = unit[order], s.hashes[order]
     new = np.ones(len(h), bool)
     new[1:] = (unit[1:] != unit[:-1]) | (h[1:] != h[:-1])
-    return unit[new], h[new], where, line
+    return unit[new], h[new], where, line, first
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,6 +86,14 @@ def _ats(s: Scan, where: np.ndarray, line: np.ndarray, keys: np.ndarray) -> np.n
     return (line.astype(np.int64) << 32) | (keys[s.first + where] & 0xFFFFFFFF)
 
 
+def _in_order(s: Scan, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each line, the words from ``begin`` on, one hash of its words in order, as they are written."""
+    to = np.cumsum(size)
+    place = np.arange(size.sum()) - np.repeat(to - size, size)
+    h = written(s, place + np.repeat(begin, size))
+    return mix(np.add.reduceat(mix(h + mix(place + 1)), to - size) ^ np.uint64(0x3C3C3C3CC3C3C3C3))
+
+
 def _sign(percent: int, least_words: int, levels):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = levels.value, {}
@@ -93,17 +102,19 @@ def _sign(percent: int, least_words: int, levels):
             texts = batch.column("text_key").to_numpy()
             for s in scan(batch.column("text")):
                 if len(s.hashes):
-                    yield _rows(s, ids, texts, level, seen)
+                    yield from _rows(s, ids, texts, level, seen)
 
-    def _rows(s, ids, texts, level, seen: dict) -> pa.RecordBatch:
-        unit, h, where, line = _by_line(s)
+    def _rows(s, ids, texts, level, seen: dict) -> Iterator[pa.RecordBatch]:
+        unit, h, where, line, first = _by_line(s)
         n = np.bincount(unit, minlength=len(where))
         enough = n >= least_words
+        if not enough.all():
+            yield _short(s, ids, texts, where, line, n, first, ~enough)
         keep = enough[unit]
         unit, h = (np.cumsum(enough) - 1)[unit[keep]], h[keep]
         where, line, n = where[enough], line[enough], n[enough]
         if not len(n):
-            return pa.RecordBatch.from_pylist([], _LINES)
+            return
         begin = np.concatenate([[0], np.cumsum(n)[:-1]])
         scrambled = mix(h ^ np.uint64(0xA5A5A5A55A5A5A5A))
         whole = mix(np.add.reduceat(scrambled, begin) + n.astype(np.uint64))
@@ -145,11 +156,22 @@ def _sign(percent: int, least_words: int, levels):
         offsets = np.concatenate([[0], np.cumsum(np.bincount(out_unit, minlength=len(n)))]).astype(np.int32)
         keys = np.concatenate(out_key)[by].view(np.int64)
         places = np.concatenate(out_place)[by].astype(np.int32)
-        return pa.RecordBatch.from_arrays([
+        yield pa.RecordBatch.from_arrays([
             ids.take(pa.array(s.first + where)), pa.array(_ats(s, where, line, texts)),
             pa.array(whole.view(np.int64)), pa.array(parity.view(np.int64)), pa.array(n.astype(np.int32)),
             pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
             pa.ListArray.from_arrays(pa.array(offsets), pa.array(places))], schema=_LINES)
+
+    def _short(s, ids, texts, where, line, n, first, short: np.ndarray) -> pa.RecordBatch:
+        """Lines of few distinct words: no keys, only the set that equal lines share."""
+        whole = _in_order(s, first[short], np.diff(np.append(first, len(s.hashes)))[short])
+        where, line, n = where[short], line[short], n[short]
+        none = pa.array(np.zeros(len(n) + 1, np.int32))
+        return pa.RecordBatch.from_arrays([
+            ids.take(pa.array(s.first + where)), pa.array(_ats(s, where, line, texts)),
+            pa.array(whole.view(np.int64)), pa.array(np.zeros(len(n), np.int64)), pa.array(n.astype(np.int32)),
+            pa.ListArray.from_arrays(none, pa.array([], pa.int64())),
+            pa.ListArray.from_arrays(none, pa.array([], pa.int32()))], schema=_LINES)
     return run
 
 
@@ -297,7 +319,7 @@ def _sets(levels):
             for s in scan(batch.column("text")):
                 if not len(s.hashes):
                     continue
-                unit, h, where, line = _by_line(s)
+                unit, h, where, line, _ = _by_line(s)
                 at = _ats(s, where, line, texts)
                 owners = ids.take(pa.array(s.first + where))
                 marked = np.flatnonzero(rarity.level_of(level, _position(owners, at)) > 0)

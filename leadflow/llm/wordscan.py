@@ -53,7 +53,7 @@ class Scan(NamedTuple):
     """Words of consecutive texts ``first .. first + len(bounds) - 2``.
 
     ``hashes``, ``starts``, ``ends`` (byte positions in ``data``) hold the words of all texts one after the other;
-    those of text i are ``bounds[i]:bounds[i+1]``; its bytes are ``data[offsets[i]:offsets[i+1]]``.
+    those of text i are ``bounds[i]:bounds[i+1]``; its bytes are ``data[offsets[i]:offsets[i+1]]``, and in ``raw`` as written.
     """
 
     first: int
@@ -63,6 +63,7 @@ class Scan(NamedTuple):
     bounds: np.ndarray
     data: np.ndarray
     offsets: np.ndarray
+    raw: np.ndarray
 
 
 def _column(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -85,7 +86,7 @@ def scan(texts: pa.Array, lower: bool = True, slice_bytes: int = SLICE_BYTES) ->
         to = int(np.searchsorted(offsets, offsets[at] + slice_bytes, "right")) - 1
         to = min(max(to, at + 1), n)
         piece = data[offsets[at]:offsets[to]]
-        yield Scan(at, *_words(_LOWER[piece] if lower else piece, offsets[at:to + 1] - offsets[at]))
+        yield Scan(at, *_words(_LOWER[piece] if lower else piece, offsets[at:to + 1] - offsets[at]), piece)
         at = to
 
 
@@ -108,6 +109,18 @@ def _words(data: np.ndarray, offsets: np.ndarray):
     return hashes, starts, ends, np.searchsorted(starts, offsets), data, offsets
 
 
+def written(s: Scan, words: np.ndarray) -> np.ndarray:
+    """Hashes of some words of a scan as they are written, not lowered."""
+    size = s.ends[words] - s.starts[words]
+    ends = np.cumsum(size)
+    starts = ends - size
+    n = int(size.sum())
+    data = s.raw[np.arange(n) + np.repeat(s.starts[words] - starts, size)]
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _powers(_STEP, n), out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _powers(_UNSTEP, n)[starts] + size.astype(np.uint64))
+
+
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n consecutive words."""
     if len(hashes) < n:

@@ -99,6 +99,17 @@ def test_line_dedup(docs, none):
     assert line_dedup.drop_repeated_lines(none).count() == 0
 
 
+def test_short_lines(spark):
+    long_ = "ha " * 400 + "ho"
+    rows = [(1, f"Read more\nHome\n\n{long_}\nbest regards Ann"), (2, "Read  more\nread more\n\nhome\nmore Read"), (3, None),
+            (4, f"{long_} ho\n{long_}\nHome"), (5, "\u4f60\u597d\u4e16\u754c\n\u4f60\u597d\u4e16\u754c"),
+            (6, "https://a.b/c\nHOME\nRead more Home"), (7, "https://a.b/c\n \n\t")]
+    got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert Counter((r.doc_id, r.text, r.n_dropped) for r in got.collect()) == Counter([
+        (1, rows[0][1], 0), (2, "read more\n\nhome\nmore Read", 1), (3, None, 0), (4, f"{long_} ho", 2),
+        (5, rows[4][1][:4], 1), (6, rows[5][1], 0), (7, " \n\t", 1)])
+
+
 def test_pipeline_keeps_what_lines_leave(spark):
     shared = "a passage of several words that many documents share and nobody wrote twice " * 3
     own = "just these words are new"
