@@ -2,7 +2,8 @@
 
 1. Deobfuscation: words with digits or symbols between letters (1d10t), letters set apart (i d i o t) and letters drawn
    out (idiooot) become lattices of what each character may stand for.  The Viterbi path under a character bigram model
-   and the costs of the channel is the word that was meant.  Other words are left as they are.
+   and the costs of the channel is the word that was meant.  Other words are left as they are.  The model counts every
+   pair of letters in all texts that are not held out, labelled or not; the distinct pairs alone reach the driver.
 2. Features: whole words and their first 4 to 7 letters (so that endings do not matter).
 3. The classifier is fitted on a bounded sample: at most ``per_class`` labelled texts of each label, picked by a hash of the
    id among those not held out.  Part of it finds features whose share of toxic texts is beyond chance (likelihood
@@ -119,16 +120,55 @@ def signals(text: str, characters: CharacterModel, lexicon: Lexicon, known: dict
     return [*top, np.log1p(len(found)), min(1.0, 10 * len(found) / (len(words) + 1)), 1.0]
 
 
+_LOW = 0x300  # codes below are counted in a table, pairs with others by sorting
+_LETTERS: list[np.ndarray] = []
+
+
+def _is_letter() -> np.ndarray:
+    """For each code point whether ``_WORD`` takes it."""
+    if not _LETTERS:
+        table = np.zeros(0x110000, bool)
+        for m in _WORD.finditer("".join(map(chr, range(len(table))))):
+            table[m.start():m.end()] = True
+        _LETTERS.append(table)
+    return _LETTERS[0]
+
+
 def _letter_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[str] = Counter()
+    letters, low, high = _is_letter(), np.zeros(_LOW * _LOW, np.int64), Counter()
+
+    def count(texts: list[str]) -> None:
+        codes = np.frombuffer("\n".join(["", *texts, ""]).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = np.where(letters[codes], codes, 0).astype(np.int64)  # 0 bounds a word
+        a, b = codes[:-1], codes[1:]
+        dense = (a < _LOW) & (b < _LOW)
+        low[:] += np.bincount(a[dense] * _LOW + b[dense], minlength=len(low))
+        pairs, n = np.unique((a[~dense] << 21) | b[~dense], return_counts=True)
+        for pair, k in zip(pairs.tolist(), n.tolist()):
+            high[pair] += k
+
     for batch in batches:
+        some, size = [], 0
         for text in batch.column("text"):
-            for word, n in Counter(_WORD.findall((text.as_py() or "").lower())).items():
-                word = f"^{word}$"
-                for i in range(len(word) - 1):
-                    counts[word[i:i + 2]] += n
-    yield pa.RecordBatch.from_pydict({"pair": pa.array(list(counts), pa.string()),
-                                      "n": pa.array(list(counts.values()), pa.int64())})
+            some.append(text.as_py() or "")
+            size += len(some[-1])
+            if size > 1 << 20:
+                count(some)
+                some, size = [], 0
+        count(some)
+    seen = np.flatnonzero(low)
+    counts = {(int(i) // _LOW, int(i) % _LOW): int(low[i]) for i in seen if i}  # 0 is no letter beside no letter
+    counts.update({(pair >> 21, pair & 0x1FFFFF): k for pair, k in high.items()})
+    yield pa.RecordBatch.from_pydict({
+        "pair": pa.array([(chr(a) if a else "^") + (chr(b) if b else "$") for a, b in counts], pa.string()),
+        "n": pa.array(list(counts.values()), pa.int64())})
+
+
+def letter_pairs(docs: DataFrame) -> dict[str, int]:
+    """Counts of letter pairs in all texts not held out; as many as their alphabets have, whatever the number of texts."""
+    rows = docs.where(fold_of(F.col("doc_id").cast("bigint")) != 0).select(F.col("text").cast("string").alias("text")) \
+        .mapInArrow(_letter_counts, "pair string, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    return {r.pair: r.n for r in rows.collect()}
 
 
 def _feature_counts(characters):
@@ -173,7 +213,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[dict, dict, np.ndarray]:
-    """Character model, feature weights and curve, from at most ``per_class`` labelled texts of each label."""
+    """Character model of all texts not held out; feature weights and curve from at most ``per_class`` labelled texts of each
+    label."""
     known = labels.select(F.col("doc_id").cast("bigint").alias("id"), F.col("toxic").cast("int").alias("toxic")) \
         .where("id is not null and toxic in (0, 1)").where(fold_of(F.col("id")) != 0) \
         .groupBy("id").agg(F.max("toxic").alias("toxic"))
@@ -185,8 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple
     sample = saved(texts.join(picked, "id").withColumn("half", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(3)) == 0),
                    "labelled-texts")
     spark = docs.sparkSession
-    characters = {r.pair: r.n for r in sample.select("text").mapInArrow(_letter_counts, "pair string, n bigint")
-                  .groupBy("pair").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pair").limit(MOST_FEATURES).collect()}
+    characters = letter_pairs(docs)
     shared = spark.sparkContext.broadcast(characters)
     learn = sample.where("not half").select("text", "toxic")
     toxic, clean = learn.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0))).first()

@@ -381,3 +381,16 @@ def test_toxicity(spark, none):
     assert toxicity.scored(table, marks.limit(0)).where("predicted = 1").count() == 0
     assert toxicity.scored(table.limit(0), marks).count() == 0
     assert sorted(r.doc_id for r in toxicity.without_toxic(table, marks).where("doc_id >= 1000").collect()) == [1000, 1001, 1003]
+
+
+def test_letter_pairs(spark, none):
+    texts = [f"Plain words, number {i}: t\u00e9st\u00b2 _a_b \u0416\u0429\u0456 \u4f60\u597d x1y \U0001d11e" for i in range(40)] + [None, ""]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    expected = Counter()
+    for i, text in enumerate(texts):
+        if zlib.crc32(str(i).encode()) % 5:
+            for word in re.findall(r"[^\W\d_]+", (text or "").lower()):
+                expected.update(a + b for a, b in zip("^" + word, word + "$"))
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    assert toxicity.fit(table, labels)[0] == expected  # one text at most is labelled
+    assert toxicity.letter_pairs(none) == {}
