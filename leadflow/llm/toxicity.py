@@ -30,6 +30,7 @@ from leadflow.llm.common import fold_of, saved
 PER_CLASS = 8000
 MOST_FEATURES = 20000
 KEEP = 1 << 19
+LONG = 80  # longer words are decoded each time instead of being remembered
 
 # fixed values: what characters stand for
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -38,7 +39,7 @@ _SIGNS = "0-9@$!|+(€£"
 _MIXED = re.compile(rf"(?<!\S)[^\W\d_]*(?:[{_SIGNS}]+[^\W\d_]+)+[{_SIGNS}]*(?=[^\w\s]*(?!\S))")
 _MIXED_HINT = re.compile(rf"[{_SIGNS}][^\W\d_]")
 _APART = re.compile(rf"(?<!\S)(?:[^\W_]|[@$!|+])(?:([ .\-_*])(?:[^\W_]|[@$!|+])(?:\1(?:[^\W_]|[@$!|+]))+)(?!\w)")
-_DRAWN = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
+_DRAWN = re.compile(r"(?<![^\W\d_])[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
 _WORD = re.compile(r"[^\W\d_]+")
 SUBSTITUTED, DROPPED = 1.5, 1.0  # costs of the channel, in nats
 
@@ -57,21 +58,34 @@ class CharacterModel:
         return -np.log((self.pairs.get(a + b, 0) + 0.1) / (self.first[a] + 0.1 * self.size))
 
     def decode(self, word: str) -> str:
-        """The word most likely meant by these characters."""
-        states = {"^": (0.0, "")}  # by last letter: cost, letters
+        """The word most likely meant by these characters; work and memory are linear in its length."""
+        settled: list[str] = []  # letters that all ways share
+        states: dict[str, tuple[float, tuple | None]] = {"^": (0.0, None)}  # by last letter: cost, letters since, last first
         for i, c in enumerate(word):
             options = [(c, 0.0)] if c.isalpha() else [(x, SUBSTITUTED) for x in LEET.get(c, "")]
             repeated = i > 0 and c == word[i - 1]
-            following: dict[str, tuple[float, str]] = {}
+            following: dict[str, tuple[float, tuple | None]] = {}
             for last, (cost, letters) in states.items():
-                moves = [(x, cost + extra + self.cost(last, x), letters + x) for x, extra in options]
+                moves = [(x, cost + extra + self.cost(last, x), (letters, x)) for x, extra in options]
                 if not options or repeated:
                     moves.append((last, cost + DROPPED, letters))
                 for x, total, out in moves:
                     if x not in following or total < following[x][0]:
                         following[x] = (total, out)
             states = following
-        return min((cost + self.cost(last, "$"), out) for last, (cost, out) in states.items())[1]
+            if len(states) == 1:
+                (last, (cost, letters)), = states.items()
+                settled.append(_spelt(letters))
+                states = {last: (cost, None)}
+        return "".join(settled) + min((cost + self.cost(last, "$"), _spelt(out)) for last, (cost, out) in states.items())[1]
+
+
+def _spelt(letters: tuple | None) -> str:
+    out = []
+    while letters:
+        letters, x = letters
+        out.append(x)
+    return "".join(reversed(out))
 
 
 def restore(text: str, model: CharacterModel, known: dict[str, str] | None = None) -> str:
@@ -79,6 +93,8 @@ def restore(text: str, model: CharacterModel, known: dict[str, str] | None = Non
     known = {} if known is None else known
 
     def meant(word: str) -> str:
+        if len(word) > LONG:
+            return model.decode(word)
         if word not in known:
             if len(known) > KEEP:
                 known.clear()
@@ -89,8 +105,8 @@ def restore(text: str, model: CharacterModel, known: dict[str, str] | None = Non
     if any(s in text for s in (" ", ".", "-", "_", "*")):
         text = _APART.sub(lambda m: meant(m[0].replace(m[1], "")), text)
     if _MIXED_HINT.search(text):
-        text = _MIXED.sub(lambda m: meant(m[0]) if len(m[0]) <= 40 else m[0], text)
-    return _DRAWN.sub(lambda m: meant(m[0]) if len(m[0]) <= 80 else m[0], text)
+        text = _MIXED.sub(lambda m: meant(m[0]), text)
+    return _DRAWN.sub(lambda m: meant(m[0]), text)
 
 
 def features(word: str) -> list[str]:

@@ -366,6 +366,16 @@ def test_restore():
         == "you idiot, idiot and idiot worthless 555-1234"
 
 
+def test_restore_long_words():
+    pairs = Counter()
+    for w in ("idiot", "friend"):
+        pairs.update(a + b for a, b in zip("^" + w, w + "$"))
+    model = toxicity.CharacterModel(pairs)
+    for n in (3, 39, 90, 20_000):
+        assert toxicity.restore(f"you {'i' * n}diot, id1{'0' * n}t and {'1' * n}diot", model) == "you idiot, idiot and idiot"
+    assert toxicity.restore("1!" * 20_000 + "d", model).endswith("id")
+
+
 def test_toxicity(spark, none):
     rows, labels = [], []
     for i in range(600):
@@ -383,6 +393,14 @@ def test_toxicity(spark, none):
     assert sorted(r.doc_id for r in toxicity.without_toxic(table, marks).where("doc_id >= 1000").collect()) == [1000, 1001, 1003]
 
 
+def test_toxic_long_words(spark):
+    rows = [(i, f"some plain words number{i % 50} " + ("you idiot" if i % 3 == 0 else "you friend") + " here") for i in range(600)]
+    rows += [(1000, f"you {'i' * 90}diot"), (1001, f"you id1{'0' * 40}t"), (1002, f"you {'f' * 90}riend")]
+    marks = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(r.doc_id for r in toxicity.without_toxic(table, marks).where("doc_id >= 1000").collect()) == [1002]
+
+
 def test_letter_pairs(spark, none):
     texts = [f"Plain words, number {i}: t\u00e9st\u00b2 _a_b \u0416\u0429\u0456 \u4f60\u597d x1y \U0001d11e" for i in range(40)] + [None, ""]
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
