@@ -5,8 +5,10 @@
    no length.  Where a page names its content (article, main), lines outside have no length either.
 2. The length of a line block is the sum of the text lengths of ``WINDOW`` lines from a line on.
 3. A surge point is where it rises from nothing; the dive point after it is where it falls back to nothing.  The text
-   between is kept if some block in it reaches a fifth of the page's longest (``SURGE``): on a page that does not name
-   its content, small islands between menus are not the article.
+   between is kept if some block in it has ``ISLAND`` characters, or a fifth (``SURGE``) of the page's longest on pages of
+   short lines: on a page that does not name its content, smaller islands between menus are not the article.  However
+   long the longest block is, it asks no more than that of the others.  In a named content all that has a length is
+   kept, so there the elements, classes and ids decide, and the blocks do not.
 
 Lines of links alone count as empty outside a named content.  A null or empty page has an empty text.  Pages cut off in the
 middle of a tag, unclosed and wrongly nested elements are read as far as they go.
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 3
 SURGE = 0.2
+ISLAND = 86  # characters in a block, about one sentence
 
 # fixed values: elements of the HTML standard
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
@@ -153,7 +156,7 @@ def main_text(page: str | None) -> str:
         return ""
     sums = np.concatenate([[0], np.cumsum(np.pad(lengths, (0, WINDOW)))])
     blocks = sums[WINDOW:WINDOW + len(lengths)] - sums[:len(lengths)]
-    enough = 0 if named else SURGE * blocks.max()
+    enough = 0 if named else min(ISLAND, SURGE * blocks.max())
     kept, at = [], 0
     while at < len(lengths):
         if not lengths[at]:

@@ -317,6 +317,14 @@ def test_html(page, text):
     assert html_text.main_text(page) == text
 
 
+def test_html_islands_beside_a_long_paragraph():
+    paragraph = "long text " * 1000
+    notice = "<div class='ad'>a</div><div class='ad'>b</div><div class='ad'>c</div>"
+    more = "The article goes on behind the advert with a paragraph of its own that has some hundred characters in it."
+    page = f"<div><p>{paragraph}</p>{notice}<p>{more}</p><p>And ends.</p>{notice}<p>Top</p></div>"
+    assert html_text.main_text(page) == f"{paragraph.strip()}\n{more}\nAnd ends."
+
+
 def test_html_table(spark):
     pages = spark.createDataFrame([(1, "u", None), (1, "u", "<p>é</p>")], "page_id long, url string, html string")
     assert sorted((r.text, r.n_chars) for r in html_text.extract_main_text(pages).collect()) == [("", 0), ("é", 1)]
