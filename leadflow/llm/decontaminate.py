@@ -3,11 +3,12 @@
 1. Template: a text's words (letters and digits, lower case) in order, with numbers, units after a number and names
    (capitalised words inside a sentence) replaced by typed placeholders.
 2. Windows of ``WINDOW`` template words are hashed; those of the texts are hash-joined with those of the benchmark, which
-   is broadcast in blocks of at most ``BLOCK`` windows.  Windows with fewer than half their words literal are not used.
+   is broadcast in blocks of at most ``BLOCK`` windows.  Windows with fewer than half their words literal (arithmetic,
+   lists of names) would match too much as templates; they are hashed by their words and match verbatim only.
 3. Slots: on each alignment of a text with an item (same distance of positions), a benchmark value must stand for
    one value of the text throughout, so that a question with other numbers is caught and a chance mixture is not.
-4. A text is contaminated by an item if ``LEAST`` of the item's windows (or all, if it has fewer) match on consistent
-   alignments.
+4. A text is contaminated by an item if ``LEAST`` of the item's windows (or all, if it has fewer) match, templates on
+   consistent alignments, or if ``LEAST`` of its template windows (or all of them) do.
 
 Items of fewer words than a window cannot be matched.  Null and empty texts match nothing.  Repeated rows get the same
 answer, repeated items count as items of their own id.  An empty benchmark leaves everything clean.
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from leadflow.llm.common import saved
 
 WINDOW, LEAST, BLOCK = 8, 3, 1 << 20
+# as many placeholders as make a window verbatim may lie in one window
+CROWDED = rf"(?:<(?:num|name|unit)>(?: [^< ]+){{0,{WINDOW // 2 - 1}}} ){{{WINDOW // 2}}}<"
 NAME = "\ue001"  # marks a capitalised word inside a sentence
 
 # fixed values: units of measure
@@ -57,19 +60,29 @@ def _literal(template: Column) -> Column:
     return F.size(F.filter(template, lambda w: ~w.isin("<num>", "<name>", "<unit>")))
 
 
+def _keys(words: Column, template: Column) -> Column:
+    """Hash of the window from each position on: of its template, or of its words where few of them are literal."""
+    last = F.size(template) - WINDOW
+    mixed = F.transform(F.sequence(F.lit(0), last), lambda i: F.when(
+        _literal(_cut(template, i)) * 2 >= WINDOW, F.xxhash64(_cut(template, i))).otherwise(F.xxhash64(_cut(words, i), F.lit(1))))
+    crowded = F.array_join(template, " ").rlike(CROWDED)  # rare in prose, which is spared the test of each window
+    return F.when((last >= 0) & crowded, mixed).otherwise(_windows(template))
+
+
 def _cut(words: Column, at: Column) -> Column:
     return F.slice(words, at + 1, WINDOW)
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``item_id, of, of_words, of_template, hash, n_windows`` of each usable window."""
+    """``item_id, of, of_words, of_template, hash, verbatim, n_windows, n_templates`` of each window."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), _words(F.col("text")).alias("w"))
     items = items.withColumn("t", _template(F.col("w")))
-    rows = items.select("item_id", "w", "t", F.posexplode(_windows(F.col("t"))).alias("of", "hash"))
+    rows = items.select("item_id", "w", "t", F.posexplode(_keys(F.col("w"), F.col("t"))).alias("of", "hash"))
     rows = rows.select("item_id", "of", _cut(F.col("w"), F.col("of")).alias("of_words"),
                        _cut(F.col("t"), F.col("of")).alias("of_template"), "hash")
-    rows = rows.where(_literal(F.col("of_template")) * 2 >= WINDOW)
-    size = rows.groupBy(F.col("item_id").alias("sized")).agg(F.count("*").alias("n_windows"))
+    rows = rows.withColumn("verbatim", _literal(F.col("of_template")) * 2 < WINDOW)
+    size = rows.groupBy(F.col("item_id").alias("sized")).agg(
+        F.count("*").alias("n_windows"), F.count_if(~F.col("verbatim")).alias("n_templates"))
     return rows.join(size, F.col("item_id").eqNullSafe(F.col("sized"))).drop("sized")
 
 
@@ -84,31 +97,41 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = texts.withColumn("template", _template(F.col("words")))
     # The windows are made ahead of the explode, which then runs in generated code and carries the word lists along
     # without copying them for each window; the slice keeps Spark from testing the list ahead, making it twice.
-    texts = texts.withColumn("hashes", _windows(F.col("template")))
+    texts = texts.withColumn("hashes", _keys(F.col("words"), F.col("template")))
     rows = texts.select("doc_id", "text_key", "words", "template",
                         F.posexplode(F.slice("hashes", 1, 2**31 - 1)).alias("at", "hash"))
     met = None
     for block in range(blocks):
         some = F.broadcast(known.where(F.col("block") % blocks == block).drop("block"))  # about BLOCK windows
         part = rows.join(some, "hash").select(
-            "doc_id", "text_key", "item_id", "n_windows", "of", (F.col("at") - F.col("of")).alias("shift"), "of_words",
+            "doc_id", "text_key", "item_id", "n_windows", "n_templates", "verbatim", "of", (F.col("at") - F.col("of")).alias("shift"), "of_words",
             "of_template", _cut(F.col("words"), F.col("at")).alias("words"),
             _cut(F.col("template"), F.col("at")).alias("template"))
         met = part if met is None else met.union(part)
-    met = met.where(F.col("template") == F.col("of_template"))
+    met = met.where(F.when(F.col("verbatim"), F.col("words") == F.col("of_words"))
+                    .otherwise(F.col("template") == F.col("of_template")))
     slots = F.filter(
         F.zip_with(F.arrays_zip("of_template", "of_words"), F.col("words"), lambda x, y: F.struct(
             x["of_template"].alias("kind"), x["of_words"].alias("theirs"), y.alias("ours"))),
         lambda s: s["kind"].isin("<num>", "<name>", "<unit>"))
-    keys = ["doc_id", "text_key", "item_id", "n_windows"]
-    met = met.select(*keys, "shift", "of", slots.alias("slots"))
+    keys = ["doc_id", "text_key", "item_id", "n_windows", "n_templates"]
+    met = met.select(*keys, "shift", "of", "verbatim", F.when(~F.col("verbatim"), slots).alias("slots"))
     lines = met.groupBy(*keys, "shift").agg(
-        F.collect_set("of").alias("ofs"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+        F.collect_set(F.when(~F.col("verbatim"), F.col("of"))).alias("ofs"),
+        F.collect_set(F.when(F.col("verbatim"), F.col("of"))).alias("same"),
+        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     bound = F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["theirs"])))
-    steady = lines.where(F.size(bound) == F.size("slots"))
-    hits = steady.groupBy(*keys).agg(F.size(F.array_distinct(F.flatten(F.collect_list("ofs")))).cast("bigint").alias("hits"))
-    return hits.where(F.col("hits") >= F.least(F.lit(LEAST), F.col("n_windows"))).select(
-        "doc_id", "text_key", "item_id", F.col("hits").alias("n_windows"))
+    steady = lines.withColumn("ofs", F.when(F.size(bound) == F.size("slots"), F.col("ofs")).otherwise(
+        F.array().cast("array<int>")))
+
+    def distinct(column: str) -> Column:
+        return F.size(F.array_distinct(F.flatten(F.collect_list(column)))).cast("bigint")
+
+    hits = steady.groupBy(*keys).agg(distinct("ofs").alias("of_templates"), distinct("same").alias("of_same"))
+    total = F.col("of_templates") + F.col("of_same")
+    return hits.where((total >= F.least(F.lit(LEAST), F.col("n_windows"))) | (F.col("of_templates") > 0)
+                      & (F.col("of_templates") >= F.least(F.lit(LEAST), F.col("n_templates")))).select(
+        "doc_id", "text_key", "item_id", total.alias("n_windows"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -365,6 +365,20 @@ def test_decontamination(spark, none):
     assert sorted(r.doc_id for r in decontaminate.without_leaks(table, bench).collect()) == [2, 3, 4]
 
 
+def test_decontamination_of_placeholders(spark):
+    sum_ = "What is 12 + 7 * 3 - 5 / 2 + 9"
+    names = "the guests were Anna, Bob, Carl, Dora, Emil, Fred and Gina"
+    half = "Add 4 km 7 m 9 cm 2 mm 8 kg together and tell us how much that is"
+    bench = spark.createDataFrame([(1, sum_), (2, names), (3, half), (4, None)], "item_id long, text string")
+    rows = [(1, f"Intro here. {sum_} and more"), (2, sum_.replace("12", "13").replace("9", "8")), (3, f"They say {names}."),
+            (4, half.replace("8", "5")), (5, "1 2 3 4 5 6 7 8 9 10 11 12 13"), (6, names.replace("Dora", "Doris")),
+            (7, f"{half}. {sum_}"), (8, None), (9, "prose without any number or name in it at all")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontaminate.contamination(table, bench)
+    assert {r.doc_id: r.item_ids for r in got.where("contaminated").collect()} == {1: [1], 3: [2], 4: [3], 7: [1, 3]}
+    assert sorted(r.doc_id for r in decontaminate.without_leaks(table, bench).collect()) == [2, 5, 6, 8, 9]
+
+
 def test_restore():
     pairs = Counter()
     for w in ("idiot", "worthless", "hello", "world"):
