@@ -10,7 +10,9 @@ A context seen at least twice becomes a state if the leave-one-out log-likelihoo
 under s than under its parent by ``gain`` nats (a divergence test that a context with accidental followers fails).
 A text is scored with the longest suffix state at each position.
 
-The counts of all word runs that the tests need are exact and gathered from all training texts.  How:
+The counts of all word runs that the tests need are gathered from all training texts, none left out; those of single words
+are exact, and those of longer runs but for the few that share a key (below).  Contexts end at ``depth`` words whatever
+the test would say of longer ones; each word more is one more round.  How:
 texts lie in blocks of some megabytes (by a hash of the row).  In each round a block sends its distinct words
 or word runs, sorted and cut into ranges, to one task per range; that task adds up what all blocks sent and answers each
 block in the order it asked, so an answer is a plain array.  A frequent word is one entry per block.  Runs of two words
