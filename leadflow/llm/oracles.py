@@ -141,5 +141,44 @@ select doc_id, n_windows is not null as contaminated, coalesce(item_ids, '') as
 from documents left join found using (doc_id)
 """
 
+_OP13 = r"""
+with recursive texts as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+marks as (
+  select doc_id as id, coalesce(max(cast(quality = 1 as int)), 0) as good, coalesce(max(cast(toxic = 1 as int)), 0) as toxic
+  from labels where doc_id is not null group by doc_id),
+flags as (
+  select part, doc_id, cast(len(w) < 200 as int) + 2 * cast(100 * len(list_distinct(w)) < 50 * len(w) as int)
+         + 4 * cast(100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) as int)
+         + 8 * cast(regexp_matches(text, '[#$%&*|]') as int)
+         + 16 * cast(coalesce(doc_id > min(doc_id) over (partition by text), false) as int) as failed from texts),
+counts as (
+  select part, failed, count(*) as n, sum(coalesce(good, 0)) as good, sum(coalesce(toxic, 0)) as toxic
+  from flags left join marks on doc_id = id group by part, failed),
+orders(filter_order) as (
+  select '' union all
+  select filter_order || x from orders, (values ('A'), ('B'), ('C'), ('D'), ('E')) f(x) where not contains(filter_order, x)),
+steps as (
+  select filter_order, step, cast(1 << (instr('ABCDE', filter_order[step]) - 1) as int) as bit,
+         coalesce(list_sum(list_transform(range(1, step), lambda j: 1 << (instr('ABCDE', filter_order[j]) - 1))), 0)::int as before
+  from (select filter_order, unnest(range(1, 6))::int as step from orders where length(filter_order) = 5)),
+walked as (
+  select part, filter_order, step, bit,
+         sum(n) filter (failed & (before | bit) = 0) as kept,
+         sum(n) filter (failed & bit > 0 and failed & before = 0) as removed,
+         sum(n) filter (failed & bit > 0 and failed & before > 0) as redundant,
+         sum(n) filter (failed = bit) as unique_fails,
+         sum(good) filter (failed & bit > 0 and failed & before = 0) as good_lost,
+         sum(toxic) filter (failed & bit > 0 and failed & before = 0) as toxic_lost
+  from counts, steps group by part, filter_order, step, bit)
+select part, filter_order, step, cast(coalesce(kept, 0) as bigint) as kept, cast(coalesce(removed, 0) as bigint) as removed,
+       cast(coalesce(redundant, 0) as bigint) as redundant, cast(coalesce(unique_fails, 0) as bigint) as unique_fails,
+       cast(coalesce(good_lost, 0) as bigint) as good_lost, cast(coalesce(toxic_lost, 0) as bigint) as toxic_lost,
+       cast(sum(coalesce(removed, 0)) over (partition by part, bit) as bigint) as shapley
+from walked
+"""
+
 ORACLE: dict[str, str] = {
-    "op3_quality_rules": _OP3, "op4_license_scans": _OP4, "op5_warc": _OP5, "op8_decontamination": _OP8}
+    "op3_quality_rules": _OP3, "op4_license_scans": _OP4, "op5_warc": _OP5, "op8_decontamination": _OP8,
+    "op13_filter_audit": _OP13}
