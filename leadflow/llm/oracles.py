@@ -141,6 +141,37 @@ select doc_id, n_windows is not null as contaminated, coalesce(item_ids, '') as
 from documents left join found using (doc_id)
 """
 
+_OP12 = r"""
+with texts as (
+  select row_number() over () as d, coalesce(lang, 'und') as lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+pieces as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+  from (select lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) as piece from texts)),
+totals as (select lang, sum(len(w)) as n from pieces group by lang),
+starts as (select lang, w, unnest(range(1, len(w) + 1)) as i from pieces),
+grams as (
+  select lang, w[i:i + m - 1] as g from (select lang, w, i, unnest(range(1, 6)) as m from starts) where i + m - 1 <= len(w)),
+counts as (select lang, g, count(*) as f from grams group by lang, g having count(*) >= 100),
+cuts as (
+  select lang, g, f as a, unnest(range(1, len(g))) as k from counts where len(g) > 1),
+scores as (
+  select c.lang, c.g, c.a, c.k, l.f as l, r.f as r, n,
+         cast((1000::hugeint * c.a * n) // (l.f::hugeint * r.f) as bigint) as score
+  from cuts c join totals t on c.lang = t.lang join counts l on c.lang = l.lang and l.g = c.g[1:c.k]
+  join counts r on c.lang = r.lang and r.g = c.g[c.k + 1:]),
+lowest as (
+  select * from scores qualify row_number() over (partition by lang, g order by score, k) = 1),
+named as (select *, array_to_string(g, ' ') as phrase, len(g) as m from lowest),
+apart as (
+  select * from named s where not exists (
+    select 1 from named b where b.lang = s.lang and b.m > s.m and 100 * b.a >= 100 * s.a
+      and contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ')))
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r,
+       cast(n as bigint) as n, score
+from apart qualify rank <= 2000
+"""
+
 _OP13 = r"""
 with recursive texts as (
   select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
@@ -181,4 +212,4 @@ from walked
 
 ORACLE: dict[str, str] = {
     "op3_quality_rules": _OP3, "op4_license_scans": _OP4, "op5_warc": _OP5, "op8_decontamination": _OP8,
-    "op13_filter_audit": _OP13}
+    "op12_collocations": _OP12, "op13_filter_audit": _OP13}

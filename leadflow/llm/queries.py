@@ -12,8 +12,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadflow.llm import (decontaminate, filter_audit, host_rules, html_text, licences, line_dedup, ngram_join, pieces, suffix_tree,
-                          toxicity, warc)
+from leadflow.llm import (collocations, decontaminate, filter_audit, host_rules, html_text, licences, line_dedup, ngram_join,
+                          pieces, private, suffix_tree, toxicity, warc)
 from leadflow.llm.common import table
 
 _shipped: set[str] = set()
@@ -90,6 +90,14 @@ def _op10(spark: SparkSession, d: str) -> DataFrame:
     return html_text.extract_main_text(table(spark, d, "pages"))
 
 
+def _op11(spark: SparkSession, d: str) -> DataFrame:
+    return private.personal_data(table(spark, d, "documents"))
+
+
+def _op12(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(table(spark, d, "documents"))
+
+
 def _op13(spark: SparkSession, d: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, d, "documents"), table(spark, d, "labels"))
 
@@ -105,5 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": _on(_op8),
     "op9_toxicity": _on(_op9),
     "op10_html_extraction": _on(_op10),
+    "op11_pii": _on(_op11),
+    "op12_collocations": _on(_op12),
     "op13_filter_audit": _on(_op13),
 }
