@@ -6,8 +6,8 @@ phrase, and its weight, the number of paths through it, is the phrase's count.
 
 1. Survey: words a language, and hashed counters of fixed size of words and of path prefixes.  Counters only overstate,
    so a word counted less than ``least`` times by them is in no phrase of ``least`` occurrences: paths end before it.
-2. Shards: each task sorts the paths of a million words at a time, builds their automaton (a path shares the states of
-   its common prefix with the path before) and cuts it by prefix range.
+2. Shards: each task sorts the paths of half a million words at a time, builds their automaton (a path shares the states
+   of its common prefix with the path before) and cuts it by prefix range.  The most common words go by short codes.
 3. Ranges: a range's automata are united, weights of equal paths added.  A path belongs to the range of its shortest
    prefix that is not heavy (or of all of it), so a heavy word or pair is spread over many ranges; weights of heavy
    prefixes are then added up over the ranges.  The number of ranges follows the number of words.
@@ -38,10 +38,11 @@ from leadflow.llm.wordscan import _column, _words, mix
 LONGEST = 5
 LEAST = 100
 BEST = 2000
-SHARD_WORDS = 1 << 20
-RANGE_WORDS = 1 << 21
-SLICE = 1 << 20
+SHARD_WORDS = 1 << 19
+RANGE_WORDS = 1 << 20
+SLICE = 1 << 18
 PREFIX_BITS = 22
+COMMON = 1 << 15  # words with a code of two bytes; it bounds a broadcast and decides on sizes alone
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 _BYTES = np.arange(256, dtype=np.uint8)
@@ -92,13 +93,18 @@ def _chain(key: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 # -- the survey ----------------------------------------------------------------
 
-_SURVEY = pa.schema([("kind", pa.string()), ("lang", pa.string()), ("n", pa.int64()), *rarity.PART])
+_SURVEY = pa.schema([("kind", pa.string()), ("lang", pa.string()), ("word", pa.int64()), ("n", pa.int64()), *rarity.PART])
+
+
+def _most(often: dict[int, int]) -> dict[int, int]:
+    """The ``COMMON`` words met most often."""
+    return dict(sorted(often.items(), key=lambda x: (-x[1], x[0]))[:COMMON])
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    words, prefixes, totals = rarity.Counter(), rarity.Counter(PREFIX_BITS), {}
+    words, prefixes, totals, often = rarity.Counter(), rarity.Counter(PREFIX_BITS), {}, {}
     for batch in batches:
         langs = batch.column("lang").to_pylist()
         per_text = np.zeros(len(langs), np.int64)
@@ -106,6 +112,11 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             per_text += np.bincount(of, minlength=len(langs))
             words.add(h)
             prefixes.add(h)
+            some, times = np.unique(h, return_counts=True)
+            for word, n in zip(some[times > 1].tolist(), times[times > 1].tolist()):
+                often[word] = often.get(word, 0) + n
+            if len(often) > 8 * COMMON:
+                often = _most(often)
             key, at = h, np.arange(len(h))
             for d, have in enumerate(_follow(first)[:-1], 1):
                 more = have[at]
@@ -116,6 +127,10 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             totals[lang] = totals.get(lang, 0) + n
     partition = TaskContext.get().partitionId()
     yield pa.RecordBatch.from_pylist([{"kind": "lang", "lang": k, "n": n} for k, n in totals.items()], _SURVEY)
+    often = _most(often)
+    yield pa.RecordBatch.from_pydict({
+        "kind": ["common"] * len(often), "lang": [None] * len(often), "word": pa.array(np.array(list(often), np.uint64).view(np.int64)),
+        "n": list(often.values()), **{f.name: [None] * len(often) for f in rarity.PART}}, _SURVEY)
     for kind, counter in (("word", words), ("prefix", prefixes)):
         for row in counter.rows(partition):
             yield pa.RecordBatch.from_pylist([{"kind": kind, **row}], _SURVEY)
@@ -172,27 +187,34 @@ class CountAutomaton:
             keys.append(key)
         return keys
 
-    def taken(self, some: np.ndarray) -> bytes:
-        """The automaton of some of the paths (in order), as bytes."""
+    def coded(self, common: np.ndarray) -> np.ndarray:
+        """For each word of the alphabet its place among the common ones (sorted), or none (-1)."""
+        at = np.minimum(np.searchsorted(common, self.words), max(len(common) - 1, 0))
+        return np.where(common[at] == self.words, at, -1) if len(common) else np.full(len(self.words), -1)
+
+    def taken(self, some: np.ndarray, coded: np.ndarray, n_common: int) -> bytes:
+        """The automaton of some of the paths (in order), as bytes: common words by their code, others spelt as hashes."""
         columns = [c[some] for c in self.columns]
         used = np.unique(np.concatenate(columns))
-        used = used[used > 0]
-        kind = np.uint16 if len(used) < 65535 else np.uint32
+        used = used[used > 0] - 1
+        own = used[coded[used] < 0]
+        kind = np.uint16 if n_common + len(own) < 65535 else np.uint32
         code = np.zeros(len(self.words) + 1, kind)
-        code[used] = np.arange(1, len(used) + 1, dtype=kind)
+        code[1:] = coded + 1
+        code[own + 1] = np.arange(n_common + 1, n_common + len(own) + 1, dtype=kind)
         fresh = np.zeros(len(some), np.uint8)
         same = np.ones(max(len(some) - 1, 0), bool)
         for c in columns[:-1]:
             same &= c[1:] == c[:-1]
             fresh[1:] += same
-        body = [self.words[used - 1].tobytes(), fresh.tobytes(), self.weights[some].astype(np.uint32).tobytes()]
+        body = [self.words[own].tobytes(), fresh.tobytes(), self.weights[some].astype(np.uint32).tobytes()]
         body += [code[c[fresh <= d]].tobytes() for d, c in enumerate(columns)]
         packed = pa.Codec("zstd").compress(b"".join(body), asbytes=True)
-        return struct.pack("<IIBI", len(used), len(some), np.dtype(kind).itemsize, sum(map(len, body))) + packed
+        return struct.pack("<IIBI", len(own), len(some), np.dtype(kind).itemsize, sum(map(len, body))) + packed
 
     @staticmethod
     def read(block: bytes) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-        """Alphabet, columns and weights of an automaton's bytes."""
+        """Words without code, columns of codes and weights of an automaton's bytes."""
         n_words, n, width, size = struct.unpack_from("<IIBI", block)
         body = pa.Codec("zstd").decompress(block[13:], size, asbytes=True)
         at = 8 * n_words
@@ -209,14 +231,13 @@ class CountAutomaton:
         return words, columns, weights
 
     @classmethod
-    def union(cls, blocks: list[bytes]) -> CountAutomaton:
+    def union(cls, blocks: list[bytes], common: np.ndarray) -> CountAutomaton:
         """One automaton of all paths, weights of equal ones added."""
         parts = [cls.read(b) for b in blocks]
-        words = np.unique(np.concatenate([w for w, _, _ in parts]))
-        columns = []
-        for d in range(LONGEST):
-            columns.append(np.concatenate([
-                np.append(np.uint32(0), (np.searchsorted(words, w) + 1).astype(np.uint32))[c[d]] for w, c, _ in parts]))
+        words = np.unique(np.concatenate([common, *[w for w, _, _ in parts]]))
+        ids = lambda w: (np.searchsorted(words, w) + 1).astype(np.uint32)
+        known = np.append(np.uint32(0), ids(common))
+        columns = [np.concatenate([np.append(known, ids(w))[c[d]] for w, c, _ in parts]) for d in range(LONGEST)]
         return cls(words, columns, np.concatenate([x for _, _, x in parts]))
 
     def states(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -278,7 +299,7 @@ class Ranges:
 _SHARD = pa.schema([("lang", pa.string()), ("range", pa.int32()), ("block", pa.binary()), ("hash", pa.int64()), ("word", pa.string())])
 
 
-def _shards(frequent, ranges, shard_words: int):
+def _shards(frequent, ranges, common, shard_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, dealt, seen = frequent.value, ranges.value, set()
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -306,10 +327,10 @@ def _shards(frequent, ranges, shard_words: int):
                 parts.append((h, starts, coded[of]))
                 size += len(h)
                 if size >= shard_words:
-                    yield _blocks(parts, list(codes), dealt)
+                    yield _blocks(parts, list(codes), dealt, common.value)
                     parts, size = [], 0
         if parts:
-            yield _blocks(parts, list(codes), dealt)
+            yield _blocks(parts, list(codes), dealt, common.value)
     return run
 
 
@@ -320,7 +341,8 @@ def _words_batch(langs: list[str], hashes: np.ndarray, words: list[str]) -> pa.R
         pa.array(hashes.view(np.int64)), pa.array(words, pa.string())], schema=_SHARD)
 
 
-def _blocks(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], langs: list[str], ranges: Ranges) -> pa.RecordBatch:
+def _blocks(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], langs: list[str], ranges: Ranges,
+            common: np.ndarray) -> pa.RecordBatch:
     """The automaton of a shard, cut by language and range."""
     h, first, lang = (np.concatenate(x) for x in zip(*parts))
     words, where, ids = np.unique(h, return_index=True, return_inverse=True)
@@ -333,6 +355,7 @@ def _blocks(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], langs: list[
         columns.append(column)
     automaton = CountAutomaton(words, columns, np.ones(len(ids), np.int64))
     lang = lang[where][automaton.columns[0] - 1]
+    coded = automaton.coded(common)
     rows = []
     padded = np.append(np.uint64(0), words)
     for code in np.unique(lang).tolist():
@@ -342,7 +365,7 @@ def _blocks(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], langs: list[
         order = np.argsort(dealt, kind="stable")
         cuts = np.flatnonzero(np.diff(dealt[order])) + 1
         for some in np.split(order, cuts):
-            rows.append({"lang": langs[code], "range": int(dealt[some[0]]), "block": automaton.taken(paths[some])})
+            rows.append({"lang": langs[code], "range": int(dealt[some[0]]), "block": automaton.taken(paths[some], coded, len(common))})
     return pa.RecordBatch.from_pylist(rows, _SHARD)
 
 
@@ -364,12 +387,12 @@ def _lists(rows: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width, pa.int32()), pa.array(rows.reshape(-1)))
 
 
-def _states(ranges, least: int):
+def _states(ranges, common, least: int):
     """States of a range's united automaton that reach ``least``, and heavy ones with their share of the weight."""
     def run(table: pa.Table) -> pa.Table:
         dealt: Ranges = ranges.value
         lang = table["lang"][0].as_py()
-        automaton = CountAutomaton.union([b.as_buffer().to_pybytes() for b in table["block"]])
+        automaton = CountAutomaton.union([b.as_buffer().to_pybytes() for b in table["block"]], common.value)
         padded = np.append(np.uint64(0), automaton.words)
         out = []
         for depth, at, weights in automaton.states():
@@ -427,7 +450,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shard_words: int = SHA
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    survey = saved(texts.mapInArrow(_survey, "kind string, lang string, n bigint, chunk int, share int, slots binary, counts binary"), "survey")
+    survey = saved(texts.mapInArrow(
+        _survey, "kind string, lang string, word bigint, n bigint, chunk int, share int, slots binary, counts binary"), "survey")
     counts = saved(survey.where("kind = 'lang'").groupBy("lang").agg(F.sum("n").alias("n")), "words-by-lang")
     parts = lambda kind: survey.where(F.col("kind") == kind).select("chunk", "share", "slots", "counts")
     frequent = _at_least(rarity.levels(parts("word")), least)  # 2 MB whatever the input
@@ -438,9 +462,11 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shard_words: int = SHA
     ranges = Ranges(heavy, {r.lang: -(-r.n // range_words) for r in large})
     share = spark.sparkContext.broadcast
     dealt = share(ranges)
-    shards = saved(texts.mapInArrow(_shards(share(frequent), dealt, shard_words), "lang string, range int, block binary, hash bigint, word string"), "shards")
+    top = survey.where("kind = 'common'").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(COMMON)
+    common = share(np.sort(np.array([r.word for r in top.collect()], np.int64).view(np.uint64)))
+    shards = saved(texts.mapInArrow(_shards(share(frequent), dealt, common, shard_words), "lang string, range int, block binary, hash bigint, word string"), "shards")
     states = saved(shards.where("block is not null").select("lang", "range", "block").groupBy("lang", "range")
-                   .applyInArrow(_states(dealt, least), _STATE_SQL), "states")
+                   .applyInArrow(_states(dealt, common, least), _STATE_SQL), "states")
     same = ["lang", "range", "key", "path", "part_ranges", "part_keys"]
     whole = states.where("not partial").select(*same, "f").unionByName(
         states.where("partial").groupBy(*same).agg(F.sum("f").alias("f")).where(F.col("f") >= least))

@@ -105,15 +105,16 @@ def test_large_products_are_exact(spark):
 @pytest.mark.parametrize("size", [30, 9000])  # paths of a large alphabet need two sort keys
 def test_automata_unite_and_answer(size):
     rng = np.random.default_rng(5)
-    expected, blocks = Counter(), []
+    expected, blocks, common = Counter(), [], np.sort(rng.integers(1, 1 << 63, size // 3, dtype=np.uint64))
     for _ in range(4):
-        words = np.unique(rng.integers(1, 1 << 63, size, dtype=np.uint64))
+        words = np.unique(np.append(rng.integers(1, 1 << 63, size, dtype=np.uint64), common[::2]))
         rows = [rng.integers(1, len(words) + 1, rng.integers(1, 6)) for _ in range(300)]
         columns = [np.array([r[d] if d < len(r) else 0 for r in rows], np.uint32) for d in range(5)]
         automaton = c.CountAutomaton(words, columns, np.ones(300, np.int64))
-        blocks += [automaton.taken(np.arange(0, len(automaton.weights), 2)), automaton.taken(np.arange(1, len(automaton.weights), 2))]
+        coded = automaton.coded(common)
+        blocks += [automaton.taken(np.arange(i, len(automaton.weights), 2), coded, len(common)) for i in (0, 1)]
         expected.update(tuple(int(words[x - 1]) for x in r) for r in rows)
-    whole = c.CountAutomaton.union(blocks)
+    whole = c.CountAutomaton.union(blocks, common)
     asked = np.array([[*p, *[0] * (5 - len(p))] for p in expected] + [[1, 2, 3, 4, 5]], np.uint64)
     assert whole.compose(asked).tolist() == [*expected.values(), 0]
     prefixes = Counter()
