@@ -1,4 +1,4 @@
-"""Text rules: comparison without regard to case, name clean-up, lenient dates.
+"""Text rules: comparison without regard to case and accents, name clean-up, lenient dates.
 
 NULL handling is part of each rule's meaning.  ``keep_null=False`` lets a NULL
 fall out of a negative test (three-valued logic); ``keep_null=True`` treats
@@ -7,8 +7,9 @@ NULL as the empty text, so it stays.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable
-from functools import reduce
+from functools import lru_cache, reduce
 from operator import or_
 
 from pyspark.sql import Column
@@ -21,30 +22,58 @@ def _c(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+def _plain(text: str) -> str:
+    return "".join(x for x in unicodedata.normalize("NFD", text) if not unicodedata.combining(x))
+
+
+@lru_cache
+def _accents() -> tuple[str, str]:
+    """Small Latin letters with accents beside their plain ones; behind them the combining marks, which have none."""
+    letters = [chr(i) for i in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))]
+    accented = [x for x in letters if x == x.lower() and x != _plain(x) and len(_plain(x)) == 1]
+    return "".join(accented) + "".join(map(chr, range(0x300, 0x370))), "".join(map(_plain, accented))
+
+
+def fold(column: Column | str) -> Column:
+    """The key that texts are compared, grouped and joined by: lower case, no accents, so that José, JOSE and jose are one.
+
+    A plain text, on which Spark hashes and joins as on any other (collated columns can do neither).  Text of ASCII
+    letters alone, which has as many bytes as characters, only gets lowered.
+    """
+    column = _c(column)
+    low = F.lower(column)
+    return F.when(F.octet_length(column) == F.char_length(column), low).otherwise(
+        F.translate(low, *_accents()))
+
+
+def fold_text(value: str) -> str:
+    return _plain(value.lower())
+
+
 def _folded(column: Column | str, keep_null: bool) -> Column:
     column = _c(column)
-    return F.lower(F.coalesce(column, F.lit(""))) if keep_null else F.lower(column)
+    return fold(F.coalesce(column, F.lit(""))) if keep_null else fold(column)
 
 
 def ci_eq(column: Column | str, value: str) -> Column:
-    return F.lower(_c(column)) == value.lower()
+    return fold(column) == fold_text(value)
 
 
 def ci_ne(column: Column | str, value: str, keep_null: bool = False) -> Column:
-    return _folded(column, keep_null) != value.lower()
+    return _folded(column, keep_null) != fold_text(value)
 
 
 def ci_in(column: Column | str, values: Iterable[str]) -> Column:
-    return F.lower(_c(column)).isin([v.lower() for v in values])
+    return fold(column).isin([fold_text(v) for v in values])
 
 
 def ci_not_in(column: Column | str, values: Iterable[str], keep_null: bool = False) -> Column:
-    return ~_folded(column, keep_null).isin([v.lower() for v in values])
+    return ~_folded(column, keep_null).isin([fold_text(v) for v in values])
 
 
 def ci_contains_any(column: Column | str, fragments: Iterable[str]) -> Column:
-    low = F.lower(_c(column))
-    return reduce(or_, [low.contains(f.lower()) for f in fragments])
+    low = fold(column)
+    return reduce(or_, [low.contains(fold_text(f)) for f in fragments])
 
 
 def disqualified(reason: Column | str) -> Column:

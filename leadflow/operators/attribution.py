@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import disqualified
+from ..functions.text import disqualified, fold
 
 
 def _probe(reference: Column, own_id: Column) -> Column:
@@ -16,13 +16,13 @@ def _probe(reference: Column, own_id: Column) -> Column:
     A lead without prospect matches nothing but must be kept; all such leads
     would hash to one task, so each gets a key of its own that no prospect has.
     """
-    return F.coalesce(F.concat(F.lit("p:"), F.lower(reference.cast("string"))),
+    return F.coalesce(F.concat(F.lit("p:"), fold(reference.cast("string"))),
                       F.concat(F.lit("none:"), own_id.cast("string")))
 
 
 def _build(prospects: DataFrame) -> DataFrame:
     return prospects.select(
-        F.concat(F.lit("p:"), F.lower(F.col("id").cast("string"))).alias("_probe"))
+        F.concat(F.lit("p:"), fold(F.col("id").cast("string"))).alias("_probe"))
 
 
 def disqualified_prospects(prospects: DataFrame) -> DataFrame:
@@ -66,7 +66,7 @@ def first_touch(appointments: DataFrame, lead: str = "lead_id", order: str = "se
     """
     return (
         appointments.where(F.col(lead).isNotNull())
-        .groupBy(F.lower(lead).alias(lead))
+        .groupBy(fold(lead).alias(lead))
         .agg(F.min(F.struct(order, tie, value)).alias("_first"))
         .select(lead, F.col(f"_first.{value}").alias(value))
     )
@@ -80,9 +80,9 @@ def lookup_default(df: DataFrame, lookup: DataFrame, on: str, lookup_key: str,
     broadcasts the lookup only if it measures small at run time.
     """
     defaults = defaults or {}
-    keyed = lookup.select(F.lower(lookup_key).alias("_lk"),
+    keyed = lookup.select(fold(lookup_key).alias("_lk"),
                           *[F.col(c).alias(f"_{o}") for o, c in take.items()])
-    joined = df.join(keyed, F.lower(df[on]) == keyed["_lk"], "left")
+    joined = df.join(keyed, fold(df[on]) == keyed["_lk"], "left")
     taken = [
         (F.coalesce(f"_{o}", F.lit(defaults[o])) if o in defaults else F.col(f"_{o}")).alias(o)
         for o in take

@@ -25,6 +25,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import fold
 from .calendar import calendar, in_calendar
 
 
@@ -34,8 +35,8 @@ class Layout:
 
     ``keys`` and ``measures`` map a name to its SQL type.  ``fill`` is the value
     a fact gives to measures it does not carry: 0, or None to leave them NULL.
-    ``conformed`` names text keys that come in one case already (conformed
-    names, ids, labels); they need no merging.  ``day`` is the date column.
+    ``conformed`` names text keys that come in one spelling already (ids,
+    labels); they need no merging.  ``day`` is the date column.
     """
 
     keys: Mapping[str, str]
@@ -46,7 +47,7 @@ class Layout:
 
     @property
     def text_keys(self) -> list[str]:
-        """Text keys whose spelling may differ within a group."""
+        """Text keys whose spelling may differ within a group, in case or accents."""
         return [k for k, t in self.keys.items() if t == "string" and k not in self.conformed]
 
 
@@ -113,12 +114,12 @@ def fact_union(rows: Sequence[DataFrame], layout: Layout) -> DataFrame:
 
 
 def merge_case(sums: DataFrame, layout: Layout) -> DataFrame:
-    """Merge groups whose text keys differ only in case; the smallest spelling is shown."""
+    """Merge groups whose text keys differ only in case or accents; the smallest spelling is shown."""
     text = layout.text_keys
     if not text:
         return sums
     exact = [layout.day] + [k for k in layout.keys if k not in text]
-    folded = [F.lower(k).alias(f"_{k}") for k in text]
+    folded = [fold(k).alias(f"_{k}") for k in text]
     return (
         sums.groupBy(*exact, *folded)
         .agg(*[F.min(k).alias(k) for k in text], *sum_measures(layout))
@@ -151,7 +152,7 @@ def calendar_left(sums: DataFrame, layout: Layout, after: date, through: date |
         return stacked.groupBy(layout.day).agg(*sum_measures(layout))
     grouped = [layout.day] + exact + [f"_{k}" for k in text]
     regrouped = (
-        stacked.select("*", *[F.lower(k).alias(f"_{k}") for k in text])
+        stacked.select("*", *[fold(k).alias(f"_{k}") for k in text])
         .groupingSets([grouped, [layout.day]], *grouped)
         .agg(*[F.min(k).alias(k) for k in text], *sum_measures(layout),
              F.sum("_facts").alias("_facts"), F.grouping_id().alias("_set"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio
-from ..functions.text import ci_ne
+from ..functions.text import ci_ne, fold
 from ..functions.fixed_values import RATE_ROW_TYPE
 
 
@@ -66,7 +66,7 @@ def allocate_daily(goals: DataFrame, shares: DataFrame, metrics: Mapping[str, tu
 
 def total_months(monthly: DataFrame, measures: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     return (
-        monthly.groupBy("year", "month", *[F.lower(k).alias(f"_{k}") for k in keys])
+        monthly.groupBy("year", "month", *[fold(k).alias(f"_{k}") for k in keys])
         .agg(*[F.min(k).alias(k) for k in keys], *[F.sum(m).alias(m) for m in measures])
         .drop(*[f"_{k}" for k in keys])
     )

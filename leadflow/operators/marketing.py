@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import fold
 from .calendar import in_calendar
 
 
@@ -18,9 +19,9 @@ def full_outer_cost_leads(leads: DataFrame, cost: DataFrame, after: date, throug
     and shows no date if it lies outside the calendar.  NULL sources never match.
     Both sides are sums by day and source type, so the join is small.
     """
-    left = leads.select("date", F.lower("source_type").alias("_src"),
+    left = leads.select("date", fold("source_type").alias("_src"),
                         F.col("source_type").alias("_lead_source"), "leads_nd")
-    right = cost.select("date", F.lower("source_type").alias("_src"),
+    right = cost.select("date", fold("source_type").alias("_src"),
                         F.col("source_type").alias("_cost_source"), "total_cost",
                         F.lit(True).alias("_spent"))
     joined = (left.withColumn("_led", F.lit(True))

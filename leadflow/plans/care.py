@@ -11,12 +11,13 @@ from ..functions.fixed_values import (
     EXISTING_DATABASE, SERVICE_WORK, SET_APPOINTMENT_TYPES, UNASSIGNED,
 )
 from ..functions.numbers import COUNT, flag
-from ..functions.text import ci_in, ci_ne, or_empty, to_day
+from ..functions.text import ci_in, ci_ne, fold, or_empty, to_day
 from ..operators.attribution import (
     disqualified_prospects, first_touch, lookup_default, mark_matching,
 )
 from ..operators.calendar import in_calendar, years_before
-from ..operators.facts import Fact, Layout, daily_facts, fact_rows, fact_union, merge_case
+from ..operators.deltas import KeptSums
+from ..operators.facts import Fact, Layout, calendar_left, daily_facts, fact_rows, fact_union, merge_case
 from ..sources.warehouse import Tables
 
 SINCE = date(2018, 1, 1)
@@ -40,41 +41,70 @@ def was_canceled() -> Column:
     return flag(ci_in("appt_type", SET_APPOINTMENT_TYPES) & c("canceled").cast("boolean"))
 
 
-def customer_care(tables: Tables, as_of: date, after: date = SINCE) -> DataFrame:
-    """Per day, category and source type.
+CARE = Layout({"product_category": "string", "source_type": "string"}, MEASURES)
 
-    Leads taken drop an unknown source, the other facts keep it; qualified leads
-    show an unknown category or source as the empty text.
-    """
-    layout = Layout({"product_category": "string", "source_type": "string"}, MEASURES)
-    span = (after, as_of)
+
+def lead_rows(tables: Tables, span: tuple[date, date] | None = None) -> DataFrame:
+    """Facts of leads; a prospect decides on all its leads."""
     as_is = {"product_category": c("category"), "source_type": c("source_type")}
     emptied = {"product_category": or_empty("category"), "source_type": or_empty("source_type")}
     leads = mark_matching(
         tables("lead", "id", "prospect_id", "taken_on", "category", "source_type"),
         disqualified_prospects(tables("prospect", "id", "not_qualified_reason")), "turned_away")
+    one = F.lit(1)
+    return fact_rows(leads, [
+        Fact(c("taken_on"), as_is, {"leads_taken": one}, new_source(keep_null=False)),
+        Fact(c("taken_on"), emptied, {"leads_nd": one},
+             ~c("turned_away") & new_source() & not_service_work()),
+    ], CARE, span)
+
+
+def appointment_rows(tables: Tables, span: tuple[date, date] | None = None) -> DataFrame:
+    """Facts of appointments: set and canceled."""
+    as_is = {"product_category": c("category"), "source_type": c("source_type")}
     appointments = tables("appointment", "set_on", "canceled_on", "appt_type", "set_by", "canceled",
                           "category", "source_type")
-    one = F.lit(1)
-    rows = [
-        fact_rows(leads, [
-            Fact(c("taken_on"), as_is, {"leads_taken": one}, new_source(keep_null=False)),
-            Fact(c("taken_on"), emptied, {"leads_nd": one},
-                 ~c("turned_away") & new_source() & not_service_work()),
-        ], layout, span),
-        fact_rows(appointments, [
-            Fact(to_day("set_on"), as_is, {"appointments_set": was_set()}, not_service_work() & new_source(),
-                 parsed=True),
-            Fact(to_day("canceled_on"), as_is, {"appointments_cancelled": was_canceled()},
-                 not_service_work() & new_source(), parsed=True),
-        ], layout, span),
-    ]
-    day = daily_facts(rows, layout, span)
+    return fact_rows(appointments, [
+        Fact(to_day("set_on"), as_is, {"appointments_set": was_set()}, not_service_work() & new_source(),
+             parsed=True),
+        Fact(to_day("canceled_on"), as_is, {"appointments_cancelled": was_canceled()},
+             not_service_work() & new_source(), parsed=True),
+    ], CARE, span)
+
+
+def _care(day: DataFrame) -> DataFrame:
     full = [F.coalesce(m, F.lit(0)).alias(m) for m in MEASURES]
     return day.select("date", "product_category", "source_type", *full).withColumn(
         "appointments_issued", c("appointments_set") - c("appointments_cancelled"))
 
 
+def customer_care(tables: Tables, as_of: date, after: date = SINCE) -> DataFrame:
+    """Per day, category and source type.
+
+    Leads taken drop an unknown source, the other facts keep it; qualified leads
+    show an unknown category or source as the empty text.
+    """
+    span = (after, as_of)
+    return _care(daily_facts([lead_rows(tables, span), appointment_rows(tables, span)], CARE, span))
+
+
+def customer_care_kept(kept: KeptSums, as_of: date, after: date = SINCE) -> DataFrame:
+    """The same from sums that batches keep up to date."""
+    return _care(calendar_left(kept.sums(in_calendar(c("date"), after, as_of)), CARE, after, as_of))
+
+
+def affected_leads(leads: DataFrame, changed_leads: DataFrame, changed_prospects: DataFrame) -> DataFrame:
+    """Leads whose facts a batch may change: its own, and those of its prospects.
+
+    Both lists are of one batch's size; each costs a semi join, which Spark broadcasts when it measures them small.
+    """
+    own = changed_leads.select(F.col("id").alias("_id")).distinct()
+    theirs = changed_prospects.select(fold(F.col("id").cast("string")).alias("_id")).distinct()
+    by_id = leads.join(own, leads["id"] == own["_id"], "left_semi")
+    rest = leads.join(own, leads["id"] == own["_id"], "left_anti")
+    return by_id.unionByName(rest.join(theirs, fold(F.col("prospect_id").cast("string")) == theirs["_id"], "left_semi"))
+
+
 def customer_care_by_staff(tables: Tables, as_of: date, years: int = 5) -> DataFrame:
     """Per day, staff, team lead, category and source type over the last years.
 
@@ -90,7 +120,7 @@ def customer_care_by_staff(tables: Tables, as_of: date, years: int = 5) -> DataF
     leads = mark_matching(
         leads, disqualified_prospects(tables("prospect", "id", "not_qualified_reason")), "turned_away")
     owners = first_touch(touched).withColumnRenamed("set_by", "staff_id")
-    owned = leads.join(owners, F.lower("id") == owners["lead_id"], "left")
+    owned = leads.join(owners, fold("id") == owners["lead_id"], "left")
 
     by_id = Layout({"staff_id": "string", "own_lead": "string", "from_lead": "boolean",
                     "product_category": "string", "source_type": "string"}, MEASURES)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import COUNT, ratio, safe_ratio
+from ..functions.text import fold
 from ..operators.calendar import by_period, year_end, years_before
 from ..sources.warehouse import Tables
 from . import care, goals, sales
@@ -35,7 +36,7 @@ def sales_vs_goal(tables: Tables, as_of: date, after: date) -> DataFrame:
 def funnel_conversion(tables: Tables, as_of: date, after: date) -> DataFrame:
     """Conversion rates along the care funnel, by product category."""
     day = care.customer_care(tables, as_of, after)
-    sums = day.groupBy(F.lower("product_category").alias("product_category")).agg(*[
+    sums = day.groupBy(fold("product_category").alias("product_category")).agg(*[
         F.sum(m).alias(m) for m in ("leads_taken", "leads_nd", "appointments_set", "appointments_issued")])
     return sums.withColumns({
         "qualified_pct": ratio(c("leads_nd") * 100, "leads_taken"),
@@ -47,7 +48,7 @@ def funnel_conversion(tables: Tables, as_of: date, after: date) -> DataFrame:
 def category_rates(tables: Tables, as_of: date, first_year: int) -> DataFrame:
     """Sales, conversion and cancellation rate by product category."""
     day = sales.ads_adl_by_staff(tables, as_of, first_year)
-    sums = day.groupBy(F.lower("product_category").alias("product_category")).agg(*[
+    sums = day.groupBy(fold("product_category").alias("product_category")).agg(*[
         F.sum(m).alias(m) for m in ("issued_unique", "quoted", "sold", "total_cancelled", "total_sold",
                                     "total_cancelled_amount")])
     return sums.withColumns({

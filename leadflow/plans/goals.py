@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed_values import GOAL_ROW_TYPE, RATE_ROW_TYPE
 from ..functions.numbers import ratio
-from ..functions.text import ci_eq
+from ..functions.text import ci_eq, fold
 from ..operators.calendar import year_end
 from ..operators.goals import (
     allocate_daily, allocate_monthly, amount_rows, even_split_daily, funnel_chain, month_days, seasonal_share,
@@ -128,7 +128,7 @@ CATEGORY_GOALS = {
 
 
 def _by_day_and_category(df: DataFrame, **sums) -> DataFrame:
-    return (df.groupBy("date", F.lower("product_category").alias("_category"))
+    return (df.groupBy("date", fold("product_category").alias("_category"))
             .agg(*[e.alias(n) for n, e in sums.items()]))
 
 
@@ -253,7 +253,7 @@ def fact_table_goal(tables: Tables, as_of: date, after: date = SINCE) -> DataFra
     split = tables("product_yearly_goals", "year", "product_category", *share.values()).select(
         "year", "product_category", *[c(s).alias(f"share_{m}") for m, s in share.items()])
     care_goal = months.join(split, "year").select(
-        "year", "month", "product_category", F.lower("product_category").alias("_category"),
+        "year", "month", "product_category", fold("product_category").alias("_category"),
         *[(c(f"month_{m}") * c(f"share_{m}") / month_days()).alias(m) for m in care])
 
     sales = {"appointments_issued_sale": "issued_unique", "quote_issued": "quoted", "sale_sold": "sold",
@@ -262,7 +262,7 @@ def fact_table_goal(tables: Tables, as_of: date, after: date = SINCE) -> DataFra
         tables("goal_distribution", "year", "product_category", *sales.values()),
         tables("monthly_distribution", "year", "month", "sales_value"),
         {m: (g, "sales_value") for m, g in sales.items()}, keys=["product_category"],
-    ).select("year", "month", F.lower("product_category").alias("_category"), *sales)
+    ).select("year", "month", fold("product_category").alias("_category"), *sales)
     goal = spread_days(care_goal.join(sales_goal, ["year", "month", "_category"]), after, year_end(as_of))
 
     unknown = {d: F.lit(None).cast("string") for d in ("sale_rep", "source_name", "source_type", "team_lead")}

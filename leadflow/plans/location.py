@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed_values import NON_SALES_SOURCES, SALES_APPOINTMENT_TYPES, SERVICE_CATEGORY
 from ..functions.numbers import COUNT
-from ..functions.text import ci_contains_any, ci_in, ci_not_in, conform_name, or_empty, to_day
+from ..functions.text import ci_contains_any, ci_in, ci_not_in, conform_name, fold, or_empty, to_day
 from ..operators.attribution import mark_matching
 from ..operators.facts import Fact, Layout, daily_facts, fact_rows
 from ..sources.warehouse import Tables
@@ -35,7 +35,7 @@ def staff_location(tables: Tables, as_of: date, after: date = SINCE) -> DataFram
     at all.  Projects and staff carry no measures; they add the days and places
     (or titles) on which they occur.
     """
-    layout = Layout(KEYS, MEASURES, conformed=("staff",))
+    layout = Layout(KEYS, MEASURES)
     span = (after, as_of)
     zero, one = F.lit(0), F.lit(1)
     leads = mark_matching(
@@ -87,7 +87,7 @@ def location_rollup(tables: Tables, as_of: date, after: date = SINCE) -> DataFra
     place = staff_location(tables, as_of, after)
     measures = ("leads_taken", "appointments_set", "sale_sold", "sale_cancelled")
     names = ("state", "city", "zip")
-    sums = (place.withColumns({f"_{n}": F.lower(n) for n in names}).rollup(*[f"_{n}" for n in names])
+    sums = (place.withColumns({f"_{n}": fold(n) for n in names}).rollup(*[f"_{n}" for n in names])
             .agg(F.grouping_id().alias("level"), *[F.min(n).alias(n) for n in names],
                  *[F.sum(m).alias(m) for m in measures]))
     # level counts the names summed over, as bits from zip (1) to state (4)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import COUNT, MONEY, ratio
+from ..functions.text import fold
 from ..operators.attribution import leads_qualified, lookup_default
 from ..operators.facts import Fact, Layout, daily_facts, fact_rows, fact_union, merge_case
 from ..operators.marketing import full_outer_cost_leads
@@ -34,7 +35,7 @@ def marketing_cost_by_source(tables: Tables, as_of: date, after: date = SINCE,
     day = daily_facts([rows], layout, span)
     if repeat_total:
         # By now a source and day has one row per category, so this window stays small.
-        whole = Window.partitionBy("date", F.lower("source"))
+        whole = Window.partitionBy("date", fold("source"))
         day = day.withColumn("cost", F.sum("cost").over(whole))
     return day.withColumn("cost", F.coalesce("cost", F.lit(0)))
 
@@ -72,14 +73,14 @@ def marketing_kpi(tables: Tables, as_of: date, after: date = SINCE) -> DataFrame
 def cost_per_lead(tables: Tables, as_of: date, after: date = SINCE) -> DataFrame:
     """Spend, qualified leads and spend per lead for each source type (any case)."""
     kpi = marketing_kpi(tables, as_of, after)
-    sums = kpi.groupBy(F.lower("source_type").alias("source_type")).agg(
+    sums = kpi.groupBy(fold("source_type").alias("source_type")).agg(
         F.sum("leads_nd").alias("leads_nd"), F.sum("total_cost").alias("total_cost"))
     return sums.withColumn("cost_per_lead", ratio("total_cost", "leads_nd"))
 
 
 def return_on_spend(tables: Tables) -> DataFrame:
     """Net sales earned per dollar spent, by product category."""
-    category = F.lower("category").alias("product_category")
+    category = fold("category").alias("product_category")
     spend = tables("source_cost", "category", "amount").groupBy(category).agg(F.sum("amount").alias("total_cost"))
     sales = tables("sale", "category", "net_sales").groupBy(category).agg(F.sum("net_sales").alias("net_sales"))
     return spend.join(sales, "product_category", "left").withColumn("roi", ratio("net_sales", "total_cost"))

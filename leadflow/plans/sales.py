@@ -12,8 +12,10 @@ from ..functions.fixed_values import (
     SERVICE_SALE_TYPES,
 )
 from ..functions.numbers import COUNT, MONEY, safe_ratio
-from ..functions.text import ci_eq, ci_in, ci_ne, ci_not_in, conform_name
-from ..operators.facts import Fact, Layout, daily_facts, fact_rows, fact_union, merge_case
+from ..functions.text import ci_eq, ci_in, ci_ne, ci_not_in, conform_name, fold
+from ..operators.calendar import in_calendar
+from ..operators.deltas import KeptSums
+from ..operators.facts import Fact, Layout, calendar_left, daily_facts, fact_rows, fact_union, merge_case
 from ..sources.warehouse import Tables
 
 SINCE = date(2018, 1, 1)
@@ -47,17 +49,20 @@ _DEAL = ("sold_on", "canceled_date", "sold", "sold_price", "total_sales", "cance
          "sale_type", "department")
 
 
-def ads_adl(tables: Tables, as_of: date, after: date = SINCE) -> DataFrame:
-    """Per day: net dollars per issued lead (ADL) and per net sale (ADS)."""
-    layout = Layout({}, {"issued": COUNT, "sold": COUNT, "price": MONEY, "sold_total": MONEY,
-                         "cancelled": COUNT, "cancelled_amount": MONEY}, fill=None)
-    span = (after, as_of)
-    rows = [
+ADS_ADL = Layout({}, {"issued": COUNT, "sold": COUNT, "price": MONEY, "sold_total": MONEY,
+                      "cancelled": COUNT, "cancelled_amount": MONEY}, fill=None)
+
+
+def ads_adl_rows(tables: Tables, span: tuple[date, date] | None = None) -> list[DataFrame]:
+    """Facts of the ADS and ADL, of all days or of a span."""
+    return [
         fact_rows(tables("appointment", *_VISIT),
-                  [Fact(c("start_on"), {}, {"issued": c("issued_unique")}, sales_visit())], layout, span),
-        fact_rows(tables("sale", *_DEAL), _sold_and_canceled({}), layout, span),
+                  [Fact(c("start_on"), {}, {"issued": c("issued_unique")}, sales_visit())], ADS_ADL, span),
+        fact_rows(tables("sale", *_DEAL), _sold_and_canceled({}), ADS_ADL, span),
     ]
-    day = daily_facts(rows, layout, span)
+
+
+def _ads_adl(day: DataFrame) -> DataFrame:
     zero = F.lit(0)
     net = c("sold_total") - F.coalesce("cancelled_amount", zero)
     return day.select(
@@ -67,11 +72,22 @@ def ads_adl(tables: Tables, as_of: date, after: date = SINCE) -> DataFrame:
     )
 
 
+def ads_adl(tables: Tables, as_of: date, after: date = SINCE) -> DataFrame:
+    """Per day: net dollars per issued lead (ADL) and per net sale (ADS)."""
+    span = (after, as_of)
+    return _ads_adl(daily_facts(ads_adl_rows(tables, span), ADS_ADL, span))
+
+
+def ads_adl_kept(kept: KeptSums, as_of: date, after: date = SINCE) -> DataFrame:
+    """The same from sums that batches keep up to date."""
+    return _ads_adl(calendar_left(kept.sums(in_calendar(c("date"), after, as_of)), ADS_ADL, after, as_of))
+
+
 def ads_adl_by_staff(tables: Tables, as_of: date, first_year: int = 2019) -> DataFrame:
     """Per day, staff and category: issued, quoted, sold, canceled, ADL and ADS."""
     layout = Layout({"staff": "string", "product_category": "string"},
                     {"issued_unique": COUNT, "quoted": COUNT, "sold": COUNT, "cancelled": COUNT,
-                     "price": MONEY, "sold_total": MONEY, "cancelled_amount": MONEY}, conformed=("staff",))
+                     "price": MONEY, "sold_total": MONEY, "cancelled_amount": MONEY})
     span = (date(first_year - 1, 12, 31), as_of)
     keys = {"staff": conform_name("rep"), "product_category": c("category")}
     rows = [
@@ -140,7 +156,7 @@ def sales_staff_location(tables: Tables, as_of: date) -> DataFrame:
     """
     layout = Layout({"staff": "string", "product_category": "string", "city": "string"},
                     {"issued_unique": COUNT, "sold": COUNT, "cancelled": COUNT, "price": MONEY,
-                     "sold_total": MONEY, "cancelled_amount": MONEY}, conformed=("staff",))
+                     "sold_total": MONEY, "cancelled_amount": MONEY})
     keys = {"staff": conform_name("rep"), "product_category": c("category"), "city": c("city")}
     no_later = c("date") <= F.lit(as_of)
     visits = fact_union([fact_rows(
@@ -158,8 +174,8 @@ def sales_staff_location(tables: Tables, as_of: date) -> DataFrame:
 
 def semi_category(sums: DataFrame, sales: DataFrame, column: str = "product_category") -> DataFrame:
     """Rows whose category occurs on at least one sale, whatever the case."""
-    known = sales.select("category").distinct().select(F.lower("category").alias("_known"))
-    return sums.join(known, F.lower(column) == c("_known"), "left_semi")
+    known = sales.select("category").distinct().select(fold("category").alias("_known"))
+    return sums.join(known, fold(column) == c("_known"), "left_semi")
 
 
 def sale_prod_service_cat(tables: Tables) -> DataFrame:

@@ -10,11 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import batches
+from .files import finished, remove
+
 
 def _struct(names: Sequence[str]) -> Column:
     return F.struct(*[F.col(n) for n in names])
@@ -53,7 +56,7 @@ def upsert_by_key(target: DataFrame, batch: DataFrame, key: Sequence[str] | None
     if not key:
         return target.unionByName(batch.select(*target.columns))
     latest = latest_per_key(batch, key, order).select(*target.columns)
-    return target.join(latest.select(*key), list(key), "left_anti").unionByName(latest)
+    return target.join(latest.select(*key), list(key), "left_anti").unionByName(latest).select(*target.columns)
 
 
 def insert_ignore(batch: DataFrame, key: Sequence[str], order: Sequence[str],
@@ -88,6 +91,15 @@ def upsert_column(target: DataFrame, batch: DataFrame, key: Sequence[str], colum
         for c in target.columns])
 
 
+def upsert_columns(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Set every cell that the batch (one row per key) has filled; other cells, rows and columns keep their value."""
+    joined = _outer(target, batch, key)
+    fresh = [c for c in batch.columns if c not in target.columns]
+    return joined.select(
+        *[_side(c).alias(c) if c in key else F.coalesce(f"b.{c}", f"t.{c}").alias(c) if c in batch.columns else F.col(f"t.{c}").alias(c)
+          for c in target.columns], *[F.col(f"b.{c}").alias(c) for c in fresh])
+
+
 def update_if_changed(target: DataFrame, batch: DataFrame, key: Sequence[str], column: str) -> DataFrame:
     """Key, value after the batch, and what happened: insert, update or none."""
     joined = _outer(target, batch, key)
@@ -112,46 +124,107 @@ def _with_type(df: DataFrame, spark: SparkSession, path: str, column: str) -> Da
     return spark.read.schema(found).parquet(path)
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def changed_rows(target: DataFrame, batch: DataFrame, key: Sequence[str],
+                 order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """What a keyed batch takes away from ``target`` and what it puts there: old and new rows of the batch's keys."""
+    new = latest_per_key(batch, key, order).select(*target.columns)
+    return target.join(new.select(*key), list(key), "left_semi").select(*target.columns), new
+
+
+# -- which partition holds a key -----------------------------------------------
+
+BUCKETS = 64
+_BUCKET = "key_bucket"
+
+
+def _bucket(key: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int")
+
+
+def _places(rows: DataFrame, key: Sequence[str], partition: str) -> DataFrame:
+    """Rows of the side table: key, partition, bucket.  A key with NULL in it equals no other and is not looked up."""
+    whole = reduce(and_, [F.col(k).isNotNull() for k in key])
+    return rows.where(whole).select(*key, partition).distinct().withColumn(_BUCKET, _bucket(key))
 
 
-def finished(spark: SparkSession, folder: str) -> bool:
-    """Whether a write to ``folder`` has been completed."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+def _latest_place(rows: DataFrame, key: Sequence[str], partition: str) -> DataFrame:
+    return rows.groupBy(*key, _BUCKET).agg(F.max(F.struct(batches.BATCH, partition)).alias("_p")).select(
+        *key, F.col(f"_p.{partition}").alias(partition), _BUCKET, F.lit(0).alias(batches.BATCH))
+
+
+def start_places(target: DataFrame, index: str, key: Sequence[str], partition: str) -> None:
+    """Make the side table of a target that has none yet, from its key columns; batch 0 of the index."""
+    if not batches.live(target.sparkSession, index):
+        places = _places(target, key, partition)
+        batches.write_batch(index, 0, places.repartition(_BUCKET), [_BUCKET])
+
+
+def fold_places(spark: SparkSession, index: str, key: Sequence[str], partition: str, fan: int = batches.FAN) -> None:
+    batches.fold(spark, index, lambda rows: _latest_place(rows, key, partition), fan, partition_by=[_BUCKET])
+
+
+def _held(spark: SparkSession, index: str, keys: DataFrame, key: Sequence[str], partition: str) -> DataFrame:
+    """The partitions that hold some keys, from the side table's buckets of these keys alone."""
+    wanted = [r[0] for r in keys.select(_bucket(key).alias("b")).distinct().collect()]  # ``BUCKETS`` numbers at most
+    places = batches.read(spark, index, F.col(_BUCKET).isin(wanted))
+    return _latest_place(places.join(keys, list(key), "left_semi"), key, partition).select(partition)
 
 
 def upsert_partitions(spark: SparkSession, folder: str, staging: str, batch: DataFrame, key: Sequence[str],
-                      order: Sequence[str], partition: str) -> DataFrame:
+                      order: Sequence[str], partition: str, index: str | None = None, number: int | None = None) -> DataFrame:
     """Upsert into a partitioned folder, rewriting only the partitions the batch touches.
 
     Touched are the partitions of the batch's rows, NULL among them, and those that hold one of its keys so far: a
-    record that moves leaves its old partition.  Finding the latter reads the key columns of the target, nothing else.
+    record that moves leaves its old partition.  The latter come from ``index``, a side table of key and partition that
+    each batch (counted up by ``number``) adds its own keys to, and of which only the buckets of the batch's keys are
+    read; without an index, the key columns of the whole target are.
 
-    The new partitions are first written whole to ``staging``, a folder of this batch alone; only then do they replace
-    the old ones.  A run that died in between goes on from a finished ``staging`` when called again.
+    The new partitions, and the old and new rows of the batch's keys, are first written whole to ``staging``, a folder
+    of this batch alone; only then do they replace the old ones, and the side table follows last.  A run that died in
+    between goes on from a finished ``staging`` when called again.
     """
+    if (index is None) != (number is None):
+        raise ValueError("an index needs the batch's number, and the other way round")
     target = _with_type(batch, spark, folder, partition)
     keys = batch.select(*key).distinct()
-    held = target.select(*key, partition).join(keys, list(key), "left_semi").select(partition)
+    if index:
+        start_places(target, index, key, partition)
+        held = _held(spark, index, keys, key, partition)
+    else:
+        held = target.select(*key, partition).join(keys, list(key), "left_semi").select(partition)
     # Names of partitions only, as the file index keeps them on the driver anyway;
     # given as literals they prune the scan.
     touched = [r[0] for r in batch.select(partition).union(held).distinct().collect()]
     affected = target.where(_is_among(partition, touched))
     if not finished(spark, staging):
-        upsert_by_key(affected, batch, key, order).write.mode("overwrite").partitionBy(partition).parquet(staging)
+        old, new = changed_rows(affected, batch, key, order)
+        old.write.mode("overwrite").parquet(old_rows(staging))
+        new.write.mode("overwrite").parquet(new_rows(staging))
+        # few files a partition; a large partition is split over tasks
+        upsert_by_key(affected, batch, key, order).hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(staging)
     staged = _with_type(batch, spark, staging, partition)
     left = [r[0] for r in staged.select(partition).distinct().collect()]
     gone = affected.where(~F.coalesce(_is_among(partition, left), F.lit(False)))
     emptied = [r[0] for r in gone.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "")).distinct().collect()]
     publish_partitions(spark, staged, folder, partition)
     for path in emptied:
-        _remove(spark, path)
+        remove(spark, path)
+    if index:
+        batches.write_batch(index, number, _places(spark.read.schema(target.schema).parquet(new_rows(staging)), key, partition)
+                            .repartition(_BUCKET), [_BUCKET])
     return _with_type(batch, spark, folder, partition)
 
 
+def old_rows(staging: str) -> str:
+    """Where ``upsert_partitions`` leaves the rows that a batch has replaced, for differences of sums."""
+    return f"{staging.rstrip('/')}-old"
+
+
+def new_rows(staging: str) -> str:
+    """Where ``upsert_partitions`` leaves the rows that a batch has put in their place."""
+    return f"{staging.rstrip('/')}-new"
+
+
 def publish_partitions(spark: SparkSession, staged: DataFrame, folder: str, partition: str) -> None:
     """Replace in ``folder`` the partitions found in ``staged``, leaving all others alone."""
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

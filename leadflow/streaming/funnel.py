@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources import batches
+
 
 def daily_funnel(events: DataFrame, ts: str, keys: Sequence[str], measures: Mapping[str, Column],
                  delay: str = "2 days") -> DataFrame:
@@ -25,7 +27,7 @@ def stream_daily_funnel(funnel: DataFrame, folder: str, checkpoint: str,
                         every: str | None = None) -> StreamingQuery:
     """Write each micro-batch's changed days; with the batch id, the newest row of a day wins."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("seq", F.lit(batch_id)).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        batches.write_batch(folder, batch_id, batch.withColumn("seq", F.lit(batch_id)))
 
     writer = (funnel.writeStream.outputMode("update")
               .option("checkpointLocation", checkpoint).foreachBatch(write))

@@ -15,12 +15,11 @@ from leadflow.functions.text import (
 )
 from leadflow.operators import attribution, calendar, facts, goals, marketing
 from leadflow.operators.facts import Fact, Layout
-from leadflow.plans import pipeline, production, stage
+from leadflow.plans import production, stage
 from leadflow.plans import sales as sales_plans
 from leadflow.session import scratch_path
 from leadflow.sources import load, sheets, sinks
-from leadflow.sources.star_roles import AS_OF, CALENDAR_AFTER, StarRoles
-from leadflow.sources.warehouse import CatalogTables
+from star_roles import AS_OF, CALENDAR_AFTER, StarRoles
 from leadflow.streaming import funnel as stream_funnel
 from leadflow.streaming import upserts
 
@@ -374,25 +373,6 @@ def stream_daily_funnel(t):
     return upserts.current_rows(t.spark, f"{root}/days", ["date", "category"], ["seq"]).drop("seq")
 
 
-def run_pipeline(t):
-    """A whole run into fresh views; the rows of each published table."""
-    spark, root = t.spark, scratch_path(t.spark, "run")
-    run = pipeline.Run(spark, root, "r1", prefix=f"run_{root[-32:]}_")
-    manifest = {"supplier": load.Source("parquet", _folder(t, "supplier")),
-                "orders": load.Source("parquet", _folder(t, "orders"))}
-    objects = [pipeline.RawObject("supplier", ("s_suppkey",), ("s_suppkey",)),
-               pipeline.RawObject("orders", ("o_orderkey",), ("o_orderdate",))]
-    crew = t.raw("orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(F.count("*").alias("crew_worked"))
-    names = pipeline.run_pipeline(run, manifest, objects, {"monthly_distribution": t("monthly_distribution")},
-                                  t, AS_OF, crew)
-    published = CatalogTables(spark, {n: run.view(n) for n in names})
-    counts = [published(n).agg(F.lit(n).alias("table_name"), F.count("*").alias("row_count")) for n in names]
-    out = counts[0]
-    for more in counts[1:]:
-        out = out.unionByName(more)
-    return out
-
-
 def operator_queries() -> dict[str, Callable[[StarRoles], DataFrame]]:
     return {
         "src_load_object": src_load_object, "conform_types": conform_types, "nan_to_null": nan_to_null,
@@ -413,5 +393,5 @@ def operator_queries() -> dict[str, Callable[[StarRoles], DataFrame]]:
         "stage_customer_funnel": stage.stage_customer_funnel,
         "stage_customer_funnel_goal": stage.stage_customer_funnel_goal,
         "vtc_today": lambda t: production.vtc_today(t, AS_OF),
-        "stream_upsert": stream_upsert, "stream_daily_funnel": stream_daily_funnel, "run_pipeline": run_pipeline,
+        "stream_upsert": stream_upsert, "stream_daily_funnel": stream_daily_funnel,
     }

@@ -186,16 +186,6 @@ O["stage_customer_funnel_goal"] = sql(["order_day"], {}, """
            orders / 3 as appointments_issued_cc, orders / 4 as appointments_issued_sale, orders / 5 as quote_issued,
            done / 2 as sale_sold, opened / 2 as sale_cancelled from order_day""",
     keys="date type", doubles=_F + "sale_sold sale_cancelled")
-O["run_pipeline"] = sql(["monthly_distribution", "actual_prod_cat", "customer_funnel"], {}, """
-    select 'supplier' as table_name, count(*) as row_count from supplier
-    union all select 'orders', count(*) from orders
-    union all select 'monthly_distribution', count(*) from monthly_distribution
-    union all select 'stage_actual_prod_cat', count(*) from actual_prod_cat
-    union all select 'stage_actual_goal_date', count(*) from actual_prod_cat
-    union all select 'stage_customer_funnel', count(*) from customer_funnel
-    union all select 'vtc_dates', 1
-    union all select 'weekly_crew_logs', count(distinct cast(o_orderdate as date)) from orders""",
-    keys="table_name", ints="row_count")
 O["stream_daily_funnel"] = sql([], {}, """
     select cast(ts as date) as date, cast(event_id % 7 as varchar) as category,
            count_if(event_type = 'signup') as leads, count_if(event_type = 'view') as visits, count_if(event_type = 'purchase') as sold

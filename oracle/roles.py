@@ -16,7 +16,9 @@ def m(expr: str) -> str:
 
 ROLES = {
     "sale": f"""
-        select case when l_returnflag = 'R' and o_orderstatus = 'P' then null else cast(o_orderdate as date) end as sold_on,
+        select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_shipdate as date) - date '1970-01-01',
+                         cast(l_quantity as int)) as id,
+               case when l_returnflag = 'R' and o_orderstatus = 'P' then null else cast(o_orderdate as date) end as sold_on,
                l_returnflag = 'R' as canceled,
                case when l_returnflag = 'R' then cast(l_shipdate as date) end as canceled_date,
                case when l_returnflag = 'R' then {m('l_extendedprice')} end as canceled_amt,

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numbers import MONEY
+from leadflow.functions.numbers import MONEY
 
 AS_OF = date(2001, 8, 1)
 CALENDAR_AFTER = date(1994, 12, 31)
@@ -40,6 +40,8 @@ def _category(key: str) -> str:
 
 
 SALE: Columns = {
+    "id": ("concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, unix_date(to_date(l_shipdate)), "
+           "cast(l_quantity as int))", ""),
     "sold_on": ("case when l_returnflag = 'R' and o_orderstatus = 'P' then null else to_date(o_orderdate) end", "o"),
     "canceled": ("l_returnflag = 'R'", ""),
     "canceled_date": ("case when l_returnflag = 'R' then to_date(l_shipdate) end", ""),
@@ -407,9 +409,9 @@ class StarRoles:
     # -- staged tables -----------------------------------------------------
 
     def _stage_actual_prod_cat(self) -> DataFrame:
-        from ..plans import stage
+        from leadflow.plans import stage
         return stage.stage_actual_prod_cat(self)
 
     def _stage_customer_funnel(self) -> DataFrame:
-        from ..plans import stage
+        from leadflow.plans import stage
         return stage.stage_customer_funnel(self)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from leadflow.plans import pipeline
 from leadflow.session import scratch_path
 from leadflow.sources.load import Source
-from leadflow.sources.star_roles import StarRoles
+from star_roles import StarRoles
 from leadflow.sources.warehouse import CatalogTables
 
 from .frames import rows
