@@ -42,7 +42,7 @@ SHARD_WORDS = 1 << 19
 RANGE_WORDS = 1 << 20
 SLICE = 1 << 18
 PREFIX_BITS = 22
-COMMON = 1 << 15  # words with a code of two bytes; it bounds a broadcast and decides on sizes alone
+COMMON = 3 << 14  # words with a code of two bytes; it bounds a broadcast and decides on sizes alone
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 _BYTES = np.arange(256, dtype=np.uint8)
@@ -296,13 +296,14 @@ class Ranges:
 
 # -- shards, ranges, lookups ---------------------------------------------------
 
-_SHARD = pa.schema([("lang", pa.string()), ("range", pa.int32()), ("block", pa.binary()), ("hash", pa.int64()), ("word", pa.string())])
+_SHARD = pa.schema([("lang", pa.string()), ("range", pa.int32()), ("block", pa.binary()), ("words", pa.binary())])
 
 
-def _shards(frequent, ranges, common, shard_words: int):
+def _shards(frequent, ranges, common, shard_words: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, dealt, seen = frequent.value, ranges.value, set()
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        spellings: dict[int, str] = {}
         codes: dict[str, int] = {}
         size = 0
         for batch in batches:
@@ -318,27 +319,46 @@ def _shards(frequent, ranges, common, shard_words: int):
                 h, of = h[kept], of[kept]
                 some, at = np.unique(h, return_index=True)
                 fresh = [(x, i) for x, i in zip(some.tolist(), at.tolist()) if x not in seen]
-                if fresh:
-                    if len(seen) > 1 << 20:
-                        seen.clear()
-                    seen.update(x for x, _ in fresh)
-                    where = np.array([i for _, i in fresh])
-                    yield _words_batch([langs[i] for i in of[where].tolist()], h[where], spelt(kept[where]))
+                if len(seen) > 1 << 19:
+                    seen.clear()
+                seen.update(x for x, _ in fresh)
+                where = np.array([i for _, i in fresh], np.int64)
+                spellings.update(zip((x for x, _ in fresh), spelt(kept[where])))
                 parts.append((h, starts, coded[of]))
                 size += len(h)
                 if size >= shard_words:
                     yield _blocks(parts, list(codes), dealt, common.value)
-                    parts, size = [], 0
+                    yield _spellings(spellings, buckets)
+                    parts, size, spellings = [], 0, {}
         if parts:
             yield _blocks(parts, list(codes), dealt, common.value)
+            yield _spellings(spellings, buckets)
     return run
 
 
-def _words_batch(langs: list[str], hashes: np.ndarray, words: list[str]) -> pa.RecordBatch:
-    n = len(words)
-    return pa.RecordBatch.from_arrays([
-        pa.array(langs, pa.string()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
-        pa.array(hashes.view(np.int64)), pa.array(words, pa.string())], schema=_SHARD)
+def _spellings(words: dict[int, str], buckets: int) -> pa.RecordBatch:
+    """Words by their hash, packed by bucket."""
+    hashes = np.array(list(words), np.uint64).view(np.int64)
+    bucket, texts, rows = hashes % buckets, list(words.values()), []
+    for b in np.unique(bucket).tolist():
+        at = np.flatnonzero(bucket == b)
+        body = hashes[at].tobytes() + "\n".join([texts[i] for i in at.tolist()]).encode()
+        rows.append({"range": b, "words": struct.pack("<II", len(at), len(body)) + pa.Codec("zstd").compress(body, asbytes=True)})
+    return pa.RecordBatch.from_pylist(rows, _SHARD)
+
+
+def _spell(packed: pa.Table, asked: pa.Table) -> pa.Table:
+    """The words of the hashes that are asked for."""
+    wanted, out = np.unique(asked["hash"].to_numpy()), {}
+    for block in packed["words"] if len(wanted) else ():
+        block = block.as_buffer().to_pybytes()
+        n, size = struct.unpack_from("<II", block)
+        body = pa.Codec("zstd").decompress(block[8:], size, asbytes=True)
+        hashes = np.frombuffer(body, np.int64, n)
+        at = np.flatnonzero(np.isin(hashes, wanted)).tolist()
+        texts = body[8 * n:].decode().split("\n") if at else []
+        out.update((int(hashes[i]), texts[i]) for i in at)
+    return pa.table({"hash": pa.array(list(out), pa.int64()), "word": pa.array(list(out.values()), pa.string())})
 
 
 def _blocks(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], langs: list[str], ranges: Ranges,
@@ -446,7 +466,7 @@ def _lookup(states: pa.Table, parts: pa.Table) -> pa.Table:
 def frequent_phrases(docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_WORDS,
                      range_words: int = RANGE_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Phrases of one to five words that occur ``least`` times: ``lang, range, key, f, path`` and their parts' ranges and
-    keys (first part, last part, by the number of words in the first); words by hash; number of words by language."""
+    keys (first part, last part, by the number of words in the first); packed spellings; number of words by language."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
@@ -464,14 +484,18 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shard_words: int = SHA
     dealt = share(ranges)
     top = survey.where("kind = 'common'").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(COMMON)
     common = share(np.sort(np.array([r.word for r in top.collect()], np.int64).view(np.uint64)))
-    shards = saved(texts.mapInArrow(_shards(share(frequent), dealt, common, shard_words), "lang string, range int, block binary, hash bigint, word string"), "shards")
+    shards = saved(texts.mapInArrow(_shards(share(frequent), dealt, common, shard_words, _buckets(total, range_words)),
+                                    "lang string, range int, block binary, words binary"), "shards")
     states = saved(shards.where("block is not null").select("lang", "range", "block").groupBy("lang", "range")
                    .applyInArrow(_states(dealt, common, least), _STATE_SQL), "states")
     same = ["lang", "range", "key", "path", "part_ranges", "part_keys"]
     whole = states.where("not partial").select(*same, "f").unionByName(
         states.where("partial").groupBy(*same).agg(F.sum("f").alias("f")).where(F.col("f") >= least))
-    words = shards.where("hash is not null").groupBy("hash").agg(F.min("word").alias("word"))
-    return saved(whole, "phrases"), words, counts
+    return saved(whole, "phrases"), shards.where("words is not null").select("range", "words"), counts
+
+
+def _buckets(total: int, range_words: int) -> int:
+    return max(8, total // range_words)
 
 
 def _floor_score(a: Column, n: Column, first: Column, rest: Column) -> Column:
@@ -483,7 +507,7 @@ def _floor_score(a: Column, n: Column, first: Column, rest: Column) -> Column:
 def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST, shard_words: int = SHARD_WORDS,
                  range_words: int = RANGE_WORDS) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the ``best`` phrases of each language."""
-    phrases, words, counts = frequent_phrases(docs, least, shard_words, range_words)
+    phrases, spellings, counts = frequent_phrases(docs, least, shard_words, range_words)
     longer = phrases.where(F.size("path") > 1)
     cuts = longer.select("lang", "key", "path", F.col("f").alias("a"), "part_ranges", "part_keys",
                          F.explode(F.sequence(F.lit(1), F.size("path") - 1)).alias("k"))
@@ -509,7 +533,12 @@ def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST, shard_wo
     # ties beyond the best are settled by spelling, so all that tie with the last one are spelt out
     near = scored.withColumn("place", F.rank().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a")))) \
         .where(F.col("place") <= best).drop("place")
-    spelt = near.join(longer.select("key", "path"), "key").select("*", F.posexplode("path").alias("at", "hash")) \
+    near = saved(near.join(longer.select("key", "path"), "key"), "best")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    asked = near.select(F.explode("path").alias("hash")).distinct().withColumn(
+        "range", F.pmod("hash", F.lit(_buckets(total, range_words))).cast("int"))
+    words = spellings.groupBy("range").cogroup(asked.groupBy("range")).applyInArrow(_spell, "hash bigint, word string")
+    spelt = near.select("*", F.posexplode("path").alias("at", "hash")) \
         .join(words, "hash").groupBy("lang", "key", "a", "l", "r", "n", "score").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ").alias("phrase"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
