@@ -10,19 +10,31 @@ from pyspark.sql import functions as F
 from ..functions.text import disqualified, fold
 
 
-def _probe(reference: Column, own_id: Column) -> Column:
+PROBE = "probe"  # name under which tables may keep the key
+
+
+def probe_of_lead(reference: str = "prospect_id", own_id: str = "id") -> Column:
     """Join key of a lead.
 
     A lead without prospect matches nothing but must be kept; all such leads
     would hash to one task, so each gets a key of its own that no prospect has.
     """
-    return F.coalesce(F.concat(F.lit("p:"), fold(reference.cast("string"))),
-                      F.concat(F.lit("none:"), own_id.cast("string")))
+    return F.coalesce(F.concat(F.lit("p:"), fold(F.col(reference).cast("string"))),
+                      F.concat(F.lit("none:"), F.col(own_id).cast("string")))
+
+
+def probe_of_prospect() -> Column:
+    return F.concat(F.lit("p:"), fold(F.col("id").cast("string")))
+
+
+def _probed(leads: DataFrame, reference: str, own_id: str) -> DataFrame:
+    key = F.col(PROBE) if PROBE in leads.columns else probe_of_lead(reference, own_id)
+    return leads.withColumn("_probe", key).drop(PROBE)
 
 
 def _build(prospects: DataFrame) -> DataFrame:
-    return prospects.select(
-        F.concat(F.lit("p:"), fold(F.col("id").cast("string"))).alias("_probe"))
+    key = F.col(PROBE) if PROBE in prospects.columns else probe_of_prospect()
+    return prospects.select(key.alias("_probe"))
 
 
 def disqualified_prospects(prospects: DataFrame) -> DataFrame:
@@ -32,7 +44,7 @@ def disqualified_prospects(prospects: DataFrame) -> DataFrame:
 def leads_without(leads: DataFrame, prospects: DataFrame,
                   reference: str = "prospect_id", own_id: str = "id") -> DataFrame:
     """Leads whose prospect is not among ``prospects``; leads without prospect stay."""
-    probed = leads.withColumn("_probe", _probe(F.col(reference), F.col(own_id)))
+    probed = _probed(leads, reference, own_id)
     return probed.join(_build(prospects), "_probe", "left_anti").drop("_probe")
 
 
@@ -48,7 +60,7 @@ def mark_matching(leads: DataFrame, prospects: DataFrame, flag: str,
     Serves jobs that count all leads and qualified leads from one scan.
     """
     known = _build(prospects).distinct().withColumn("_known", F.lit(True))
-    probed = leads.withColumn("_probe", _probe(F.col(reference), F.col(own_id)))
+    probed = _probed(leads, reference, own_id)
     return (
         probed.join(known, "_probe", "left")
         .withColumn(flag, F.coalesce("_known", F.lit(False)))

@@ -11,14 +11,14 @@ from ..functions.fixed_values import (
     EXISTING_DATABASE, SERVICE_WORK, SET_APPOINTMENT_TYPES, UNASSIGNED,
 )
 from ..functions.numbers import COUNT, flag
-from ..functions.text import ci_in, ci_ne, fold, or_empty, to_day
+from ..functions.text import ci_in, ci_ne, fold, or_empty
 from ..operators.attribution import (
     disqualified_prospects, first_touch, lookup_default, mark_matching,
 )
 from ..operators.calendar import in_calendar, years_before
 from ..operators.deltas import KeptSums
 from ..operators.facts import Fact, Layout, calendar_left, daily_facts, fact_rows, fact_union, merge_case
-from ..sources.warehouse import Tables
+from ..sources.warehouse import Tables, keyed, text_day
 
 SINCE = date(2018, 1, 1)
 c = F.col
@@ -49,8 +49,8 @@ def lead_rows(tables: Tables, span: tuple[date, date] | None = None) -> DataFram
     as_is = {"product_category": c("category"), "source_type": c("source_type")}
     emptied = {"product_category": or_empty("category"), "source_type": or_empty("source_type")}
     leads = mark_matching(
-        tables("lead", "id", "prospect_id", "taken_on", "category", "source_type"),
-        disqualified_prospects(tables("prospect", "id", "not_qualified_reason")), "turned_away")
+        keyed(tables, "lead", "id", "prospect_id", "taken_on", "category", "source_type"),
+        disqualified_prospects(keyed(tables, "prospect", "id", "not_qualified_reason")), "turned_away")
     one = F.lit(1)
     return fact_rows(leads, [
         Fact(c("taken_on"), as_is, {"leads_taken": one}, new_source(keep_null=False)),
@@ -62,13 +62,14 @@ def lead_rows(tables: Tables, span: tuple[date, date] | None = None) -> DataFram
 def appointment_rows(tables: Tables, span: tuple[date, date] | None = None) -> DataFrame:
     """Facts of appointments: set and canceled."""
     as_is = {"product_category": c("category"), "source_type": c("source_type")}
-    appointments = tables("appointment", "set_on", "canceled_on", "appt_type", "set_by", "canceled",
+    set_on, canceled_on = (text_day(tables, "appointment", d) for d in ("set_on", "canceled_on"))
+    appointments = tables("appointment", set_on.column, canceled_on.column, "appt_type", "set_by", "canceled",
                           "category", "source_type")
     return fact_rows(appointments, [
-        Fact(to_day("set_on"), as_is, {"appointments_set": was_set()}, not_service_work() & new_source(),
-             parsed=True),
-        Fact(to_day("canceled_on"), as_is, {"appointments_cancelled": was_canceled()},
-             not_service_work() & new_source(), parsed=True),
+        Fact(set_on.day, as_is, {"appointments_set": was_set()}, not_service_work() & new_source(),
+             parsed=set_on.parsed),
+        Fact(canceled_on.day, as_is, {"appointments_cancelled": was_canceled()},
+             not_service_work() & new_source(), parsed=canceled_on.parsed),
     ], CARE, span)
 
 
@@ -112,13 +113,15 @@ def customer_care_by_staff(tables: Tables, as_of: date, years: int = 5) -> DataF
     by staff id; names are looked up on the sums.
     """
     window = (years_before(as_of, years) - timedelta(days=1), as_of)
-    appointments = tables("appointment", "id", "lead_id", "set_on", "canceled_on", "appt_type", "set_by",
-                          "canceled", "category", "source_type", "team_lead")
-    touched = appointments.where(c("lead_id").isNotNull() & in_calendar(to_day("set_on"), *window))
-    leads = tables("lead", "id", "prospect_id", "taken_on", "category", "source_type").where(
+    set_on, canceled_on = (text_day(tables, "appointment", d) for d in ("set_on", "canceled_on"))
+    appointments = tables("appointment", *dict.fromkeys((
+        "id", "lead_id", "set_on", set_on.column, canceled_on.column, "appt_type", "set_by", "canceled", "category",
+        "source_type", "team_lead")))
+    touched = appointments.where(c("lead_id").isNotNull() & in_calendar(set_on.day, *window))
+    leads = keyed(tables, "lead", "id", "prospect_id", "taken_on", "category", "source_type").where(
         in_calendar(c("taken_on"), *window) & new_source(keep_null=False))
     leads = mark_matching(
-        leads, disqualified_prospects(tables("prospect", "id", "not_qualified_reason")), "turned_away")
+        leads, disqualified_prospects(keyed(tables, "prospect", "id", "not_qualified_reason")), "turned_away")
     owners = first_touch(touched).withColumnRenamed("set_by", "staff_id")
     owned = leads.join(owners, fold("id") == owners["lead_id"], "left")
 
@@ -131,10 +134,10 @@ def customer_care_by_staff(tables: Tables, as_of: date, years: int = 5) -> DataF
             c("taken_on"), {"staff_id": c("staff_id"), "from_lead": F.lit(True), **keys},
             {"leads_taken": F.lit(1), "leads_nd": flag(~c("turned_away") & not_service_work())})], by_id, window),
         fact_rows(appointments, [
-            Fact(to_day("set_on"), visit, {"appointments_set": was_set()},
-                 c("lead_id").isNotNull() & not_service_work() & new_source(keep_null=False), parsed=True),
-            Fact(to_day("canceled_on"), visit, {"appointments_cancelled": was_canceled()},
-                 not_service_work() & new_source(), parsed=True),
+            Fact(set_on.day, visit, {"appointments_set": was_set()},
+                 c("lead_id").isNotNull() & not_service_work() & new_source(keep_null=False), parsed=set_on.parsed),
+            Fact(canceled_on.day, visit, {"appointments_cancelled": was_canceled()},
+                 not_service_work() & new_source(), parsed=canceled_on.parsed),
         ], by_id, window),
     ]
     named = lookup_default(

@@ -8,9 +8,12 @@ attribute, will do as a source of tables.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from typing import Protocol
+from typing import NamedTuple, Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.text import to_day
 
 
 class Tables(Protocol):
@@ -19,6 +22,26 @@ class Tables(Protocol):
     def __call__(self, role: str, *columns: str) -> DataFrame: ...
 
 
+class TextDay(NamedTuple):
+    """A day that the raw table has as text: the column to read, the day, and whether it is worked out from text."""
+
+    column: str
+    day: Column
+    parsed: bool
+
+
+def text_day(tables: Tables, role: str, column: str) -> TextDay:
+    """The typed day beside a text column where the tables keep one (``typed_days``), else the text parsed."""
+    typed = getattr(tables, "typed_days", {}).get((role, column))
+    return TextDay(typed, F.col(typed), False) if typed else TextDay(column, to_day(column), True)
+
+
+def keyed(tables: Tables, role: str, *columns: str) -> DataFrame:
+    """Columns of a role, with the join key that the tables keep for it (``stored_keys``), if any."""
+    key = getattr(tables, "stored_keys", {}).get(role)
+    return tables(role, *columns, *([key] if key else []))
+
+
 class CatalogTables:
     """Tables of a Spark database (``raw``/``stage``), one per role.
 

@@ -13,9 +13,10 @@ from leadflow.functions.text import ci_contains_any, ci_eq, ci_in, conform_name
 from leadflow.operators import attribution, facts
 from leadflow.operators.deltas import KeptSums, KeptTouches
 from leadflow.operators.facts import Fact, Layout
-from leadflow.plans import care, pipeline, sales
+from leadflow.plans import care, location, pipeline, sales
 from leadflow.session import scratch_path
 from leadflow.sources import load, sheets, sinks
+from leadflow.sources.silver import LAYOUTS, SilverTables, write_bucketed, write_silver
 from leadflow.sources.warehouse import FrameTables, Tables
 from leadflow.streaming import upserts
 from star_roles import AS_OF, CALENDAR_AFTER, StarRoles
@@ -252,6 +253,31 @@ def _content(name: str, df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"), F.sum(digest).alias("content")).select(F.lit(name).alias("table_name"), "row_count", "content")
 
 
+# -- silver tables ---------------------------------------------------------------------------
+
+def silver(t: StarRoles, buckets: int = 8) -> SilverTables:
+    """The raw tables of the customer care jobs in their silver layout."""
+    root = scratch_path(t.spark, "silver")
+    prefix = f"silver_{root[-32:]}_"
+    write_silver(t("appointment"), f"{root}/appointment", LAYOUTS["appointment"])
+    write_silver(t("sale"), f"{root}/sale", LAYOUTS["sale"])
+    for role in ("lead", "prospect"):
+        write_bucketed(t(role), f"{prefix}{role}", f"{root}/{role}", role, buckets)
+    return SilverTables(t.spark, root, prefix, t, {"appointment": "folder", "sale": "folder", "lead": "bucketed", "prospect": "bucketed"})
+
+
+def silver_customer_care(t: StarRoles) -> DataFrame:
+    return care.customer_care(silver(t), AS_OF, CALENDAR_AFTER)
+
+
+def silver_customer_care_v2(t: StarRoles) -> DataFrame:
+    return care.customer_care_by_staff(silver(t), AS_OF)
+
+
+def silver_staff_location(t: StarRoles) -> DataFrame:
+    return location.staff_location(silver(t), AS_OF, CALENDAR_AFTER)
+
+
 # -- spellings, sheets --------------------------------------------------------------------
 
 _SPELLINGS = "element_at(array('José', 'JOSE', 'jose', 'Jose\u0301', ' Zoë ', 'ZOE', 'Ñandú', 'nandu'), cast({} % 8 + 1 as int))"
@@ -292,5 +318,6 @@ def load_queries() -> dict[str, Callable[[StarRoles], DataFrame]]:
     return {
         "upsert_partitions": upsert_partitions, "kept_ads_adl": kept_ads_adl, "kept_customer_care": kept_customer_care,
         "kept_first_touch": kept_first_touch, "stream_folds": stream_folds, "incremental_load": incremental_load,
-        "run_pipeline": run_pipeline, "folded_names": folded_names, "sheet_end": sheet_end,
+        "run_pipeline": run_pipeline, "silver_customer_care": silver_customer_care,
+        "silver_customer_care_v2": silver_customer_care_v2, "silver_staff_location": silver_staff_location, "folded_names": folded_names, "sheet_end": sheet_end,
     }

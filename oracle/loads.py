@@ -130,6 +130,9 @@ L["run_pipeline"] = sql(["sale", "appointment", "lead", "prospect", "staff", "pr
                          "monthly_distribution", "actual_prod_cat", "customer_funnel"], {}, "\n    union all ".join(_PARTS),
                         keys="table_name", ints="row_count content")
 
+for _report in ("customer_care", "customer_care_v2", "staff_location"):
+    L[f"silver_{_report}"] = R[_report]
+
 # -- spellings, sheets ------------------------------------------------------------------
 _NAMES = "'José', 'JOSE', 'jose', 'Jose\u0301', ' Zoë ', 'ZOE', 'Ñandú', 'nandu'"
 L["folded_names"] = sql([], {

@@ -6,15 +6,17 @@ from datetime import datetime
 import pytest
 
 from __spark_entry__ import kpi_queries
-from leadflow.plans import care, dashboard, sales
+from load_queries import load_queries, silver
+from leadflow.plans import care, dashboard, location, sales
 from leadflow.session import scratch_path
 from leadflow.sources.load import incremental_pull
 from leadflow.sources.warehouse import PathTables
+from star_roles import AS_OF, CALENDAR_AFTER, StarRoles
 
 from .frames import SCHEMAS, day, frame
 
 FOLDER = "/root/testdata/sf0.001"
-WRITERS = {"snapshot_replace", "stream_upsert", "stream_daily_funnel", "run_pipeline"}
+WRITERS = {"snapshot_replace", "stream_upsert", "stream_daily_funnel", *load_queries()}
 
 
 def plan(df) -> str:
@@ -95,3 +97,36 @@ def test_ranges_reach_the_sale_scan(spark, lake):
         scan, = scans(plan(df), "sale")
         pushed = scan.split("PushedFilters", 1)[1]
         assert pushed.startswith(": [Or(") and "LessThanOrEqual" in pushed
+
+
+@pytest.fixture(scope="module")
+def silver_tables(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the tables are small here
+    yield silver(StarRoles(spark, FOLDER), buckets=4)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_typed_days_reach_the_scan(silver_tables):
+    """Days that the raw table has as text, of two facts of one scan."""
+    for job in (care.customer_care(silver_tables, AS_OF, CALENDAR_AFTER), location.staff_location(silver_tables, AS_OF, CALENDAR_AFTER)):
+        scan, = [x for x in plan(job).splitlines() if "FileScan" in x and "/appointment]" in x]
+        pushed = scan.split("PushedFilters", 1)[1]
+        for column in ("set_day", "canceled_day"):
+            assert f"GreaterThan({column},1994-12-31)" in pushed and f"LessThanOrEqual({column},2001-08-01)" in pushed
+        assert "Or(" in pushed and "set_on" not in scan.split("ReadSchema", 1)[1]
+
+
+def test_bucketed_leads_meet_prospects_without_exchange(silver_tables):
+    """The only exchanges are those of the sums, by day and keys."""
+    text = plan(care.customer_care(silver_tables, AS_OF, CALENDAR_AFTER))
+    assert "SortMergeJoin [_probe" in text and "Bucketed: true" in text
+    assert not [x for x in text.splitlines() if "Exchange hashpartitioning" in x and "probe" in x]
+    raw = plan(care.customer_care(StarRoles(silver_tables.spark, FOLDER), AS_OF, CALENDAR_AFTER))
+    assert [x for x in raw.splitlines() if "Exchange hashpartitioning" in x and "probe" in x]
+
+
+def test_rollup_sums_places_alone(spark):
+    """One exchange of facts under three keys, one of the rollup; nothing by day, staff or address."""
+    text = plan(kpi_queries()["location_rollup"](spark, FOLDER))
+    assert text.count("Exchange hashpartitioning(state") == 1
+    assert not [x for x in text.splitlines() if "Exchange" in x and ("staff" in x or "location" in x)]
