@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,7 @@ from pyspark.sql import functions as F
 from leadflow.llm.common import fold_of, saved
 
 PER_CLASS = 8000
-MOST_FEATURES = 20000
-KEEP = 1 << 19
+KEEP = 1 << 17  # words remembered by a task
 LONG = 80  # longer words are decoded each time instead of being remembered
 
 # fixed values: what characters stand for
@@ -41,7 +41,7 @@ _MIXED_HINT = re.compile(rf"[{_SIGNS}][^\W\d_]")
 _APART = re.compile(rf"(?<!\S)(?:[^\W_]|[@$!|+])(?:([ .\-_*])(?:[^\W_]|[@$!|+])(?:\1(?:[^\W_]|[@$!|+]))+)(?!\w)")
 _DRAWN = re.compile(r"(?<![^\W\d_])[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
 _WORD = re.compile(r"[^\W\d_]+")
-SUBSTITUTED, DROPPED = 1.5, 1.0  # costs of the channel, in nats
+SUBSTITUTED, DROPPED, PAIRED = 1.5, 1.0, 4.0  # costs of the channel, in nats; two of a letter are meant more often than drawn out
 
 
 class CharacterModel:
@@ -61,6 +61,7 @@ class CharacterModel:
         """The word most likely meant by these characters; work and memory are linear in its length."""
         settled: list[str] = []  # letters that all ways share
         states: dict[str, tuple[float, tuple | None]] = {"^": (0.0, None)}  # by last letter: cost, letters since, last first
+        runs = [n for _, run in groupby(word) for n in [sum(1 for _ in run)] for _ in range(n)]
         for i, c in enumerate(word):
             options = [(c, 0.0)] if c.isalpha() else [(x, SUBSTITUTED) for x in LEET.get(c, "")]
             repeated = i > 0 and c == word[i - 1]
@@ -68,7 +69,7 @@ class CharacterModel:
             for last, (cost, letters) in states.items():
                 moves = [(x, cost + extra + self.cost(last, x), (letters, x)) for x, extra in options]
                 if not options or repeated:
-                    moves.append((last, cost + DROPPED, letters))
+                    moves.append((last, cost + (PAIRED if options and runs[i] == 2 else DROPPED), letters))
                 for x, total, out in moves:
                     if x not in following or total < following[x][0]:
                         following[x] = (total, out)
@@ -259,8 +260,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple
     counts = saved(counts.select("feature", "t", ratio.alias("ratio"), odds.alias("odds")), "features")
     tried = counts.count()
     least = 8.0 + 2 * np.log(max(tried, 100) / 100)
-    chosen = counts.where((F.col("ratio") >= least) & (F.col("odds") >= 1.5)) \
-        .orderBy(F.desc("ratio"), "feature").limit(MOST_FEATURES).collect()
+    chosen = counts.where((F.col("ratio") >= least) & (F.col("odds") >= 1.5)).collect()  # of the bounded sample
     weights = {r.feature: r.odds for r in chosen}
     rows = sample.where("half").select("toxic", "text").mapInArrow(
         _signals_of(shared, spark.sparkContext.broadcast(weights)), "toxic int, x array<double>").collect()
@@ -298,11 +298,14 @@ def without_toxic(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
     characters, weights, curve = fit(docs, labels, per_class)
     share = docs.sparkSession.sparkContext.broadcast
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, lexicon, known = CharacterModel(share_characters.value), Lexicon(share_weights.value), {}
-        for batch in batches:
-            x = np.array([signals(t.as_py() or "", model, lexicon, known) for t in batch.column("text")]).reshape(-1, len(curve))
-            yield batch.filter(pa.array(x @ curve < 0))
+    shared = share(characters), share(weights)
+
+    # the text alone goes to Python, a verdict comes back, and Spark filters its own rows
+    @F.arrow_udf("boolean")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model, lexicon, known = CharacterModel(shared[0].value), Lexicon(shared[1].value), {}
+        for texts in batches:
+            x = np.array([signals(t.as_py() or "", model, lexicon, known) for t in texts]).reshape(-1, len(curve))
+            yield pa.array(x @ curve < 0)
 
-    share_characters, share_weights = share(characters), share(weights)
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.where(clean(F.col("text").cast("string")))
