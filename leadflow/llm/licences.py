@@ -85,6 +85,21 @@ SENTENCES = {
     "spdx-bsd3": "bsd 3 clause",
     "spdx-bsd2": "bsd 2 clause",
     "spdx-mpl2": "mpl 2 0",
+    "spdx-gpl3-only": "gpl 3 0 only",
+    "spdx-gpl3-plain": "gpl 3 0",
+    "spdx-gpl2-only": "gpl 2 0 only",
+    "spdx-gpl2-plain": "gpl 2 0",
+    "spdx-lgpl3": "lgpl 3 0 or later",
+    "spdx-lgpl3-only": "lgpl 3 0 only",
+    "spdx-lgpl3-plain": "lgpl 3 0",
+    "spdx-agpl3": "agpl 3 0 or later",
+    "spdx-agpl3-only": "agpl 3 0 only",
+    "spdx-agpl3-plain": "agpl 3 0",
+    "spdx-isc": "isc",
+    "spdx-cc0": "cc0 1 0",
+    "spdx-cc-by-4": "cc by 4 0",
+    "spdx-cc-by-sa-4": "cc by sa 4 0",
+    "spdx-unlicense": "unlicense",
     "gpl-program": "this program is free software",
     "gpl-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by "
                  "the free software foundation",
@@ -123,16 +138,22 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("All rights reserved", ("reserved",)),
     *((name, (f"spdx,spdx-{value}",)) for name, value in (
         ("Apache-2.0", "apache2"), ("MIT", "mit"), ("GPL-3.0", "gpl3"), ("GPL-2.0", "gpl2"), ("BSD-3-Clause", "bsd3"),
-        ("BSD-2-Clause", "bsd2"), ("MPL-2.0", "mpl2"))),
+        ("BSD-2-Clause", "bsd2"), ("MPL-2.0", "mpl2"), ("GPL-3.0", "gpl3-only"), ("GPL-3.0", "gpl3-plain"),
+        ("GPL-2.0", "gpl2-only"), ("GPL-2.0", "gpl2-plain"), ("LGPL-3.0", "lgpl3"), ("LGPL-3.0", "lgpl3-only"),
+        ("LGPL-3.0", "lgpl3-plain"), ("AGPL-3.0", "agpl3"), ("AGPL-3.0", "agpl3-only"), ("AGPL-3.0", "agpl3-plain"),
+        ("ISC", "isc"), ("CC0-1.0", "cc0"), ("CC-BY-4.0", "cc-by-4"), ("CC-BY-SA-4.0", "cc-by-sa-4"),
+        ("Unlicense", "unlicense"))),
     *((f"GPL-{n}.0", ("gpl-program", *terms, "gpl-hope", "gpl-implied")) for n in (3, 2)
       for terms in ((f"gpl{n}-terms",), ("gpl-terms", f"gpl{n}-either"))),
     ("MPL-2.0", ("mpl2-terms", "mpl2-copy")), ("MPL-2.0", ("mpl2-terms", "mpl2-copy-http")),
 )
 # the longer form of a licence replaces the shorter one it contains
 CONTAINS = {"BSD-3-Clause": "BSD-2-Clause"}
-# a word of every known sentence: texts without any of them have no known sentence
-HINT = r"(?i)licen[cs]e|permission|redistribut|warrant|copyright|rights reserved|obtain|compliance|public domain|mpl" \
-       r"|free software|apache|gpl|bsd|(?:^|[^a-z0-9])mit(?:[^a-z0-9]|$)"
+# words of every known sentence, with anything between two that normalising makes a space: a text without any of them
+# has no known sentence, which saves cutting it
+HINT = r"(?i)licen[cs]e|permission|redistribut|warrant|copyright|rights[^a-z0-9]+reserved|obtain|compliance" \
+       r"|public[^a-z0-9]+domain|mpl|free[^a-z0-9]+software|apache|gpl|bsd|cc0" \
+       r"|(?:^|[^a-z0-9])(?:mit|isc|cc[^a-z0-9]+by)(?:[^a-z0-9]|$)"
 END = r"[.!?;:]+\s+|[.!?;:]+$"
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from leadflow.llm.decontaminate import LEAST, NAME, UNITS, WINDOW
-from leadflow.llm.licences import CONTAINS, HINT, RULES, SENTENCES
+from leadflow.llm.licences import CONTAINS, RULES, SENTENCES
 
 _RULES = {
     "short": "n_words < 50",
@@ -74,12 +74,11 @@ _OP4 = rf"""
 with known(sentence, sid) as (values {_KNOWN}),
 rules(name, pattern) as (values {_RULE_ROWS}),
 texts as (select row_number() over () as n, doc_id, coalesce(text, '') as text from documents),
-hinted as (select * from texts where regexp_matches(text, '{HINT}')),
 cut as (
-  select n, 'line' as how, string_split_regex(text, '{_ENDS}|\n') as s from hinted
+  select n, 'line' as how, string_split_regex(text, '{_ENDS}|\n') as s from texts
   union all
   select n, 'paragraph', string_split_regex(regexp_replace(regexp_replace(text, '\n[ \t]*\n\s*', '. ', 'g'), '\n', ' ', 'g'),
-                                            '{_ENDS}') from hinted),
+                                            '{_ENDS}') from texts),
 plain as (
   select n, how, i, trim(regexp_replace(lower(s[i]), '[^a-z0-9]+', ' ', 'g')) as sentence
   from (select n, how, s, unnest(range(1, len(s) + 1)) as i from cut)),

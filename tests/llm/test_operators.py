@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,6 +184,22 @@ def test_licences(spark, none):
     assert licences.licence_scan(none).count() == 0
 
 
+@pytest.mark.parametrize("text, expected", [
+    ("Copyright\n\nAll rights\nreserved.", ["All rights reserved"]),
+    ("This is free and unencumbered software released into the public\ndomain.", ["Unlicense"]),
+    ("All\trights  reserved", ["All rights reserved"]), ("# SPDX-License-Identifier: GPL-2.0-only", ["GPL-2.0"]),
+    ("// SPDX-License-Identifier: GPL-2.0\nint x;", ["GPL-2.0"]), ("SPDX-License-Identifier: ISC", ["ISC"]),
+    ("SPDX-License-Identifier: LGPL-3.0-or-later", ["LGPL-3.0"]), ("SPDX-License-Identifier: CC0-1.0", ["CC0-1.0"]), ("ISC\nmit", [])])
+def test_licences_however_they_are_wrapped(spark, text, expected):
+    table = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert list(licences.licence_scan(table).first().licences) == expected
+    sql = ORACLE["op4_license_scans"]
+    assert "hinted" not in sql  # the SQL cuts every text
+    con = duckdb.connect()
+    con.execute("create table documents as select 1 as doc_id, ? as text", [text])
+    assert con.execute(sql).fetchall()[0][2] == ",".join(expected)
+
+
 GPL_3 = """This program is free software: you can redistribute it and/or modify
 it under the terms of the GNU General Public License as published by
 the Free Software Foundation, either version 3 of the License, or
@@ -258,7 +275,10 @@ NOTICES = [
     ("This is free and unencumbered software released into the public domain.", "Unlicense"),
     *[(f"{a}SPDX-License-Identifier:{b}{x}{c}", name) for x, name in (
         ("Apache-2.0", "Apache-2.0"), ("MIT", "MIT"), ("GPL-3.0-or-later", "GPL-3.0"), ("GPL-2.0-or-later", "GPL-2.0"),
-        ("BSD-3-Clause", "BSD-3-Clause"), ("BSD-2-Clause", "BSD-2-Clause"), ("MPL-2.0", "MPL-2.0"))
+        ("BSD-3-Clause", "BSD-3-Clause"), ("BSD-2-Clause", "BSD-2-Clause"), ("MPL-2.0", "MPL-2.0"),
+        ("ISC", "ISC"), ("CC0-1.0", "CC0-1.0"), ("CC-BY-4.0", "CC-BY-4.0"), ("CC-BY-SA-4.0", "CC-BY-SA-4.0"), ("Unlicense", "Unlicense"),
+        *((f"{kind}GPL-{n}.0{more}", f"{kind}GPL-{n}.0") for kind, n in (("", 2), ("", 3), ("L", 3), ("A", 3))
+          for more in ("", "-only", "-or-later")))
       for a, b, c in (("// ", " ", "\nint x;"), ("/* ", "  ", " */"), ("", "", ""))],
     # no licence: a value without its tag, a tag whose value comes after another one, a sentence without its other pieces
     ("MIT\n\nnothing of a license", ""), ("BSD-3-Clause\nSPDX-License-Identifier: none", ""),
@@ -266,8 +286,6 @@ NOTICES = [
 
 
 def test_original_notices(spark):
-    import duckdb
-
     rows = [(i, text) for i, (text, _) in enumerate(NOTICES)]
     got = {r.doc_id: (r.n_sentences, ",".join(r.licences))
            for r in licences.licence_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
