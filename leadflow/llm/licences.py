@@ -85,6 +85,21 @@ SENTENCES = {
     "spdx-bsd3": "bsd 3 clause",
     "spdx-bsd2": "bsd 2 clause",
     "spdx-mpl2": "mpl 2 0",
+    "gpl3-only-spdx": "spdx license identifier gpl 3 0 only",
+    "gpl3-plain-spdx": "spdx license identifier gpl 3 0",
+    "gpl2-only-spdx": "spdx license identifier gpl 2 0 only",
+    "gpl2-plain-spdx": "spdx license identifier gpl 2 0",
+    "lgpl3-spdx": "spdx license identifier lgpl 3 0 or later",
+    "lgpl3-only-spdx": "spdx license identifier lgpl 3 0 only",
+    "lgpl3-plain-spdx": "spdx license identifier lgpl 3 0",
+    "agpl3-spdx": "spdx license identifier agpl 3 0 or later",
+    "agpl3-only-spdx": "spdx license identifier agpl 3 0 only",
+    "agpl3-plain-spdx": "spdx license identifier agpl 3 0",
+    "isc-spdx": "spdx license identifier isc",
+    "cc0-spdx": "spdx license identifier cc0 1 0",
+    "cc-by-4-spdx": "spdx license identifier cc by 4 0",
+    "cc-by-sa-4-spdx": "spdx license identifier cc by sa 4 0",
+    "unlicense-spdx": "spdx license identifier unlicense",
     "spdx-gpl3-only": "gpl 3 0 only",
     "spdx-gpl3-plain": "gpl 3 0",
     "spdx-gpl2-only": "gpl 2 0 only",
@@ -118,31 +133,31 @@ SENTENCES = {
 }
 # fixed values: rules in the order their sentences stand in the licences
 RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
-    ("Apache-2.0", ("apache2-ref",)), ("Apache-2.0", ("apache2-spdx",)),
+    ("Apache-2.0", ("apache2-ref",)),
     ("Apache-2.0", ("apache2-grant", "apache2-comply", "apache2-copy")),
     ("Apache-2.0", ("apache2-comply", "apache2-copy", "apache2-as-is")),
-    ("MIT", ("mit-ref",)), ("MIT", ("mit-ref2",)), ("MIT", ("mit-ref3",)), ("MIT", ("mit-spdx",)),
+    ("MIT", ("mit-ref",)), ("MIT", ("mit-ref2",)), ("MIT", ("mit-ref3",)),
     ("MIT", ("mit-title", "mit-grant")), ("MIT", ("mit-grant", "mit-notice")), ("MIT", ("mit-grant", "mit-as-is")),
-    ("GPL-3.0", ("gpl3-ref",)), ("GPL-3.0", ("gpl3-ref2",)), ("GPL-3.0", ("gpl3-spdx",)),
+    ("GPL-3.0", ("gpl3-ref",)), ("GPL-3.0", ("gpl3-ref2",)),
     ("GPL-3.0", ("gpl-free", "gpl-warranty")),
-    ("GPL-2.0", ("gpl2-ref",)), ("GPL-2.0", ("gpl2-spdx",)), ("GPL-2.0", ("gpl2-free", "gpl-warranty")),
+    ("GPL-2.0", ("gpl2-ref",)), ("GPL-2.0", ("gpl2-free", "gpl-warranty")),
     ("LGPL-3.0", ("lgpl3-ref",)), ("AGPL-3.0", ("agpl3-ref",)),
-    ("BSD-3-Clause", ("bsd3-spdx",)), ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-name")),
-    ("BSD-2-Clause", ("bsd2-spdx",)), ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-name")),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("ISC", ("isc-grant",)),
-    ("MPL-2.0", ("mpl2-ref", "mpl2-copy")), ("MPL-2.0", ("mpl2-spdx",)),
+    ("MPL-2.0", ("mpl2-ref", "mpl2-copy")),
     ("CC-BY-4.0", ("cc-by-4",)), ("CC-BY-4.0", ("cc-by-4-long",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-4",)), ("CC-BY-SA-4.0", ("cc-by-sa-4-long",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-4",)), ("CC-BY-NC-4.0", ("cc-by-nc-4-long",)),
     ("CC-BY-ND-4.0", ("cc-by-nd-4",)), ("CC0-1.0", ("cc0",)), ("Unlicense", ("unlicense",)),
     ("All rights reserved", ("reserved",)),
-    *((name, (f"spdx,spdx-{value}",)) for name, value in (
+    *((name, (step,)) for name, value in (
         ("Apache-2.0", "apache2"), ("MIT", "mit"), ("GPL-3.0", "gpl3"), ("GPL-2.0", "gpl2"), ("BSD-3-Clause", "bsd3"),
         ("BSD-2-Clause", "bsd2"), ("MPL-2.0", "mpl2"), ("GPL-3.0", "gpl3-only"), ("GPL-3.0", "gpl3-plain"),
         ("GPL-2.0", "gpl2-only"), ("GPL-2.0", "gpl2-plain"), ("LGPL-3.0", "lgpl3"), ("LGPL-3.0", "lgpl3-only"),
         ("LGPL-3.0", "lgpl3-plain"), ("AGPL-3.0", "agpl3"), ("AGPL-3.0", "agpl3-only"), ("AGPL-3.0", "agpl3-plain"),
         ("ISC", "isc"), ("CC0-1.0", "cc0"), ("CC-BY-4.0", "cc-by-4"), ("CC-BY-SA-4.0", "cc-by-sa-4"),
-        ("Unlicense", "unlicense"))),
+        ("Unlicense", "unlicense")) for step in (f"spdx,spdx-{value}", f"{value}-spdx")),
     *((f"GPL-{n}.0", ("gpl-program", *terms, "gpl-hope", "gpl-implied")) for n in (3, 2)
       for terms in ((f"gpl{n}-terms",), ("gpl-terms", f"gpl{n}-either"))),
     ("MPL-2.0", ("mpl2-terms", "mpl2-copy")), ("MPL-2.0", ("mpl2-terms", "mpl2-copy-http")),
