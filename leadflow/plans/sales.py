@@ -53,13 +53,19 @@ ADS_ADL = Layout({}, {"issued": COUNT, "sold": COUNT, "price": MONEY, "sold_tota
                       "cancelled": COUNT, "cancelled_amount": MONEY}, fill=None)
 
 
+def visit_rows(tables: Tables, span: tuple[date, date] | None = None) -> DataFrame:
+    """Issued leads of the ADL, of all days or of a span."""
+    return fact_rows(tables("appointment", *_VISIT),
+                     [Fact(c("start_on"), {}, {"issued": c("issued_unique")}, sales_visit())], ADS_ADL, span)
+
+
+def deal_rows(tables: Tables, span: tuple[date, date] | None = None) -> DataFrame:
+    """Sold and canceled deals of the ADS and ADL."""
+    return fact_rows(tables("sale", *_DEAL), _sold_and_canceled({}), ADS_ADL, span)
+
+
 def ads_adl_rows(tables: Tables, span: tuple[date, date] | None = None) -> list[DataFrame]:
-    """Facts of the ADS and ADL, of all days or of a span."""
-    return [
-        fact_rows(tables("appointment", *_VISIT),
-                  [Fact(c("start_on"), {}, {"issued": c("issued_unique")}, sales_visit())], ADS_ADL, span),
-        fact_rows(tables("sale", *_DEAL), _sold_and_canceled({}), ADS_ADL, span),
-    ]
+    return [visit_rows(tables, span), deal_rows(tables, span)]
 
 
 def _ads_adl(day: DataFrame) -> DataFrame:
@@ -80,7 +86,11 @@ def ads_adl(tables: Tables, as_of: date, after: date = SINCE) -> DataFrame:
 
 def ads_adl_kept(kept: KeptSums, as_of: date, after: date = SINCE) -> DataFrame:
     """The same from sums that batches keep up to date."""
-    return _ads_adl(calendar_left(kept.sums(in_calendar(c("date"), after, as_of)), ADS_ADL, after, as_of))
+    return ads_adl_of_sums(kept.sums(in_calendar(c("date"), after, as_of)), as_of, after)
+
+
+def ads_adl_of_sums(sums: DataFrame, as_of: date, after: date = SINCE) -> DataFrame:
+    return _ads_adl(calendar_left(sums, ADS_ADL, after, as_of))
 
 
 def ads_adl_by_staff(tables: Tables, as_of: date, first_year: int = 2019) -> DataFrame:
