@@ -19,8 +19,17 @@ from leadflow.llm.common import table
 _shipped: set[str] = set()
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Gives the executors this package, for sessions that were not started with it on their path."""
+    """Gives the executors this package, for sessions that were not started with it on their path.
+
+    Arrow batches of whole texts are bounded at 4 MB where the session has Spark's own 64 MB: a task holds a batch several
+    times over, outside the JVM's heap.
+    """
+    if spark.conf.get(BATCH_BYTES) in ("67108864b", "64m", "64MB"):
+        spark.conf.set(BATCH_BYTES, "4m")
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
