@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from leadflow.functions.numbers import greatest_or_null, ratio, safe_ratio
 from leadflow.functions.text import (
-    ci_eq, ci_in, ci_ne, ci_not_in, conform_name, disqualified, to_day,
+    ci_contains_any, ci_eq, ci_in, ci_ne, ci_not_in, conform_name, disqualified, fold, fold_text, to_day,
 )
 
 from .frames import day
@@ -29,6 +29,25 @@ def test_case_rules(spark, expression, expected):
     assert column(spark, VALUES, expression) == expected
 
 
+ACCENTS = ["José", "JOSE", "jose", "Jose\u0301", "JOS\u00c9", None, "", "Josef", "ÅNGSTRÖM ñ", "ǅ ß ø", "漢字", "Việt", "\u0301"]
+
+
+def test_fold_takes_accents_for_none(spark):
+    got = column(spark, ACCENTS, fold)
+    assert got == ["jose"] * 5 + [None, "", "josef", "angstrom n", "ǆ ß ø", "漢字", "viet", ""]
+    assert [fold_text(x) for x in ACCENTS if x is not None] == [x for x in got if x is not None]
+
+
+@pytest.mark.parametrize("expression, expected", [
+    (lambda c: ci_eq(c, "josé"), [True] * 5 + [None, False, False]),
+    (lambda c: ci_ne(c, "jose", keep_null=True), [False] * 5 + [True, True, True]),
+    (lambda c: ci_in(c, ["JOSÉ", "x"]), [True] * 5 + [None, False, False]),
+    (lambda c: ci_contains_any(c, ["OSÉ"]), [True] * 5 + [None, False, True]),
+])
+def test_accents_in_tests(spark, expression, expected):
+    assert column(spark, ACCENTS[:8], expression) == expected
+
+
 def test_to_day(spark):
     texts = ["2024-03-01T10:11:12.000+0000", "2024-03-02", "2024-3-5", "", "garbage", None, "2024-02-30"]
     assert column(spark, texts, to_day) == [day(1), day(2), day(5), None, None, None, None]
