@@ -31,6 +31,7 @@ LEAST_SHARED = 1000
 FILE_BYTES = 256 << 20
 GAP = 64 << 10
 READ = 8 << 20
+TASK_BYTES = 32 << 20  # packed bytes that a reading task gets
 DATE = "1970-01-01T00:00:00Z"  # of the records, as pages carry no time
 
 _INDEX = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("url", pa.string()),
@@ -46,19 +47,24 @@ def _header(value: str) -> str:
     return "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in value)
 
 
+def record_id(digest: str, page_id) -> uuid.UUID:
+    """Of a response, so that its revisits can name it; a page without id is referred to by none."""
+    return uuid.uuid4() if page_id is None else uuid.uuid5(uuid.NAMESPACE_OID, f"{digest}/{page_id}")
+
+
 def record(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
     """One WARC record as a gzip member."""
     revisit = refers_to is not None
     block = b"" if revisit else (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
                                  b"Content-Length: %d\r\n\r\n" % len(payload)) + payload
     lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}",
-             f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>", f"WARC-Date: {DATE}"]
+             f"WARC-Record-ID: <urn:uuid:{uuid.uuid4() if revisit else record_id(digest, page_id)}>", f"WARC-Date: {DATE}"]
     if url is not None:
         lines.append(f"WARC-Target-URI: {_header(url)}")
     lines.append(f"WARC-Payload-Digest: sha1:{digest}")
     if revisit:
         lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                  f"X-Refers-To-Page: {refers_to}"]
+                  f"WARC-Refers-To: <urn:uuid:{record_id(digest, refers_to)}>", f"X-Refers-To-Page: {refers_to}"]
     if page_id is not None:
         lines.append(f"X-Page: {page_id}")
     lines += [f"X-Payload-Length: {len(payload)}", "Content-Type: application/http; msgtype=response",
@@ -162,8 +168,9 @@ def _read(with_payload: bool):
 
 
 def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
-    """The records of the given index rows."""
-    ordered = index.select("file", "offset", "length").repartitionByRange("file", "offset") \
+    """The records of the given index rows, read by as many tasks as their bytes ask for (the index's own are few)."""
+    size = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    ordered = index.select("file", "offset", "length").repartitionByRange(1 + size // TASK_BYTES, "file", "offset") \
         .sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(_read(with_payload), _READ_SQL)
 

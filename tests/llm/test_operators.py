@@ -322,6 +322,25 @@ def test_warc(spark):
     assert warc.write_archives(pages.limit(0), warc.archive_folder(spark)).count() == 0
 
 
+def test_revisits_name_the_record_they_refer_to():
+    import zlib as z
+    one = z.decompress(warc.record(7, "u", b"p" * 1000, "d1", None), 31).decode()
+    again = z.decompress(warc.record(3, "u", b"p" * 1000, "d1", 7), 31).decode()
+    named = re.search("WARC-Record-ID: (.*)\r", one)[1]
+    assert f"WARC-Refers-To: {named}\r" in again and named not in again.split("WARC-Date")[0]
+    assert "WARC-Refers-To" not in one
+
+
+def test_warc_is_read_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "TASK_BYTES", 2000)
+    pages = spark.createDataFrame([(i, "u", f"{i} " + "".join(chr(97 + (i * k * k + k) % 26) for k in range(3000))) for i in range(40)],
+                                  "page_id long, url string, html string").repartition(3)
+    index = warc.write_archives(pages, warc.archive_folder(spark))
+    read = warc.read_records(index)
+    assert read.rdd.getNumPartitions() >= 5
+    assert sorted(r.page_id for r in read.collect()) == list(range(40))
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("plain &amp; simple", "plain & simple"),
     ("<title>t</title><nav><a href=x>menu</a></nav><article><h1>A  b</h1><p>one<br>two<p>three &copy;</article><footer>f</footer>",
