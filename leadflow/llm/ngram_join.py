@@ -13,10 +13,11 @@ document the component it belongs to, without writing all pairs of a group.
    frequent shingles last, rare words first (hashed counts over all texts); a shingle with a word of one text only cannot
    be shared.
 4. A query node counts how many of its prefix shingles a foreign group's union holds; only groups that reach l and fit in
-   size are opened.  The smaller group asks the larger, each pair of groups once.
+   size are opened.  The smaller group asks the larger, each pair of groups once.  The query node first meets two
+   members that hold each of the shared shingles; groups found linked by then are one and need no more.
 5. Members of opened groups pass an exact bound first (parity bitmaps: differing bits never exceed differing
    shingles), then the sets themselves are compared.
-6. Components over the links of 2 and 5.
+6. Components over the links of 2, 4 and 5.
 
 Nulls and blank texts have no shingles and stay alone.  Repeated rows share their set and so their component.  A null
 id counts as absent: the component is named after its smallest id that is not null.  No input, no rows.
@@ -154,6 +155,37 @@ def _prefixes(words: int, percent: int, levels, gram_levels):
     return run
 
 
+_TOKEN = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("grp", pa.int64()), ("size", pa.int64()),
+                    ("short", pa.bool_())])
+_TOKEN_SQL = "token bigint, node bigint, n bigint, grp bigint, size bigint, short boolean"
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counter = rarity.Counter()
+    for batch in batches:
+        h = batch.column("token").to_numpy().view(np.uint64)
+        counter.add(h)
+        counter.add(h)  # twice, as the level of a single one is zero
+    yield from counter.batches()
+
+
+def _marked(marks):
+    """A row for each prefix shingle that is marked (and a few others that share a mark)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = marks.value
+        for b in batches:
+            lists = b.column("tokens")
+            flat = lists.flatten().to_numpy()
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            parent = np.repeat(np.arange(len(sizes)), sizes)
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            at = np.flatnonzero(rarity.level_of(level, flat.view(np.uint64)) > 0)
+            rows = b.select(["node", "n", "grp", "size"]).take(pa.array(parent[at]))
+            short = place[at] < b.column("short").to_numpy()[parent[at]]
+            yield pa.RecordBatch.from_arrays([pa.array(flat[at]), *rows.columns, pa.array(short)], schema=_TOKEN)
+    return run
+
+
 def _close(percent: int):
     """Pairs whose parity maps allow a link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,26 +274,37 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
     members = nodes.select("node", "n").join(grouped, "node", "left").select(
         "node", "n", F.coalesce("label", "node").alias("grp"), F.coalesce("size", F.lit(1)).alias("size"))
     members = saved(members, "members")
-    tokens = prefixes.join(members, "node").select(F.posexplode("tokens").alias("place", "token"), "node", "n", "grp", "size",
-                                                   "short").withColumn("short", F.col("place") < F.col("short")).drop("place")
-    matrix = tokens.groupBy("token", "grp", "size").agg(
-        F.min("n").alias("lo"), F.max("n").alias("hi"), F.min(F.when(F.col("short"), F.col("n"))).alias("short_lo"))
-    shared = matrix.groupBy("token").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 < g1")
-    matrix = saved(matrix.join(shared.select("token"), "token"), "matrix")
-    asking = tokens.join(matrix.select("token").distinct(), "token", "left_semi")
-    asked = matrix.select("token", F.col("grp").alias("of"), F.col("size").alias("of_size"), "lo", "hi", "short_lo")
+    held = saved(prefixes.join(members, "node").select("node", "n", "grp", "size", "short", "tokens"), "grouped-prefixes")
+    # only shingles that two groups hold go on: found in one pass over token and group, then picked out at the source
+    shared = saved(held.select(F.explode("tokens").alias("token"), "grp").groupBy("token").agg(
+        F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 < g1").select("token"), "shared-tokens")
+    marks = spark.sparkContext.broadcast(rarity.levels(shared.mapInArrow(_mark, rarity.PART_SCHEMA)))
+    tokens = saved(held.mapInArrow(_marked(marks), _TOKEN_SQL).join(shared, "token", "left_semi"), "tokens")
+    matrix = saved(tokens.groupBy("token", "grp", "size").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.min(F.when(F.col("short"), F.col("n"))).alias("short_lo"),
+        F.min("node").alias("first"), F.max("node").alias("last")), "matrix")
+    asked = matrix.select("token", F.col("grp").alias("of"), F.col("size").alias("of_size"), "lo", "hi", "short_lo",
+                          "first", "last")
     # a shared shingle counts if it is in the short prefix of the smaller and the long prefix of the larger set
-    opened = (asking.join(asked, "token")
+    opened = saved(tokens.join(asked, "token")
               .where("size < of_size or (size = of_size and grp < of)")
               .where("(short and hi >= n) or short_lo <= n")
               .where(f"100 * hi >= {percent} * n and 100 * n >= {percent} * lo")
-              .groupBy("node", "n", "of").agg(F.count("*").alias("met"), F.min("lo").alias("lo"))
-              .where("met >= 2 or n < 20 or lo < 20"))
+              .groupBy("node", "n", "of").agg(F.count("*").alias("met"), F.min("lo").alias("lo"), *[
+                  F.collect_set(c).alias(c) for c in ("first", "last")])  # one node each for a prefix shingle
+              .where("met >= 2 or n < 20 or lo < 20"), "opened")
+    # first against a few members that hold the shared shingles: most groups that belong together are one after that
+    some = opened.select(F.col("node").alias("a"), F.explode(F.array_union("first", "last")).alias("b")).distinct()
+    links = saved(_links(some, nodes, texts, words, percent), "first-links")
+    joined = saved(components(stars.union(links)), "joined-groups")
+    opened = opened.select("node", "n", "of").join(joined.select("node", F.col("label").alias("own")), "node", "left") \
+        .join(joined.select(F.col("node").alias("of"), F.col("label").alias("theirs")), "of", "left") \
+        .where(F.coalesce("own", "node") != F.coalesce("theirs", "of"))
     inside = members.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("grp").alias("of"))
     pairs = opened.join(inside, "of").where(f"100 * least(n, m) >= {percent} * greatest(n, m)") \
         .select(F.col("node").alias("a"), "b").distinct()
-    links = _links(pairs, nodes, texts, words, percent)
-    labels = components(stars.union(links))
+    more = _links(pairs, nodes, texts, words, percent)
+    labels = components(stars.union(links).union(more))
 
     named = nodes.select("node", "least_id").join(labels, "node", "left") \
         .withColumn("label", F.coalesce("label", "node"))
@@ -273,17 +316,21 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents left when one row of each component stays: that of the smallest id.  Empty texts all stay."""
+    """The documents left when one row of each component stays: that of the smallest id, among its texts that of the
+    smallest hash, of equal rows any.  Empty texts all stay.  Texts without any id in their component have no smallest id;
+    they group by equal texts only.
+    """
     from pyspark.sql import Window
 
-    named = ngram_components(docs, words, percent).where("n_shingles > 0") \
-        .where("component_id is null or doc_id = component_id").select("doc_id", "text_key").distinct()
-    keyed = docs.withColumns({"__id": F.col("doc_id").cast("bigint"),
-                              "__key": F.xxhash64(F.coalesce("text", F.lit("")))})
-    blank = F.coalesce("text", F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
-    found = keyed.where(~blank).join(
-        named.withColumnsRenamed({"doc_id": "__of", "text_key": "__of_key"}),
-        [F.col("__id").eqNullSafe(F.col("__of")), F.col("__key") == F.col("__of_key")])
-    first = Window.partitionBy("__id", "__key").orderBy(F.lit(0))
-    alone = found.withColumn("__row", F.row_number().over(first)).where("__row = 1")
-    return alone.select(*docs.columns).unionByName(docs.where(blank))
+    # the input's columns travel in one, so that none of their names can clash; of equal rows one stays
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("id"),
+                        F.coalesce("text", F.lit("")).alias("text"))
+    keyed = keyed.withColumn("key", F.xxhash64("text")).withColumn("blank", F.col("text").rlike(r"^[\x20\x09-\x0D]*$")).drop("text")
+    named = ngram_components(docs, words, percent).where("n_shingles > 0")
+    chosen = named.groupBy(F.coalesce("component_id", F.col("text_key")).alias("group"), F.col("component_id").isNull().alias("nameless")) \
+        .agg(F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), "text_key")).alias("first")) \
+        .select(F.when(F.col("first.col1") != 2**63 - 1, F.col("first.col1")).alias("of"), F.col("first.text_key").alias("of_key"))
+    found = keyed.where("not blank").join(chosen, [F.col("id").eqNullSafe(F.col("of")), F.col("key") == F.col("of_key")])
+    first = Window.partitionBy("id", "key").orderBy(F.lit(0))  # rows of one id and text, all that is left here
+    alone = found.withColumn("place", F.row_number().over(first)).where("place = 1").select("row")
+    return alone.unionByName(keyed.where("blank").select("row")).select("row.*")
