@@ -19,14 +19,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that match earlier ones go, and documents of which no word is left."""
+    """Lines that match earlier ones go, and documents of which no word is left.
+
+    Null and blank texts have no lines and stay; of repeated rows each keeps the lines of the first; of equal lines the
+    one of the smallest id stays.  Columns of any name pass through; ``n_chars`` follows the text.
+    """
     ship(spark)
-    cut = line_dedup.drop_repeated_lines(docs)
-    kept = cut.where((F.col("n_dropped") == 0) | F.col("text").rlike(WORD))
+    kept = line_dedup.cut_lines(docs).where((F.col("n_dropped") == 0) | F.col("text").rlike(WORD))
+    changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
-                               .cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+        changed["n_chars"] = F.when(F.col("n_dropped") > 0, F.char_length("text")).otherwise(F.col("row.n_chars")) \
+            .cast(docs.schema["n_chars"].dataType)
+    return kept.select(*[changed[c].alias(c) if c in changed else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

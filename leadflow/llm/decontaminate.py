@@ -149,8 +149,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item contaminates."""
-    found = saved(leaks(docs, benchmark).select(F.col("doc_id").alias("__of"), F.col("text_key").alias("__of_key")).distinct(),
+    found = saved(leaks(docs, benchmark).select(F.col("doc_id").alias("of"), F.col("text_key").alias("of_key")).distinct(),
                   "leaks")
-    keyed = docs.withColumns({"__id": F.col("doc_id").cast("bigint"), "__key": F.xxhash64(F.coalesce("text", F.lit("")))})
-    return keyed.join(found, [F.col("__id").eqNullSafe(F.col("__of")), F.col("__key") == F.col("__of_key")], "left_anti") \
-        .select(*docs.columns)
+    # the input's columns travel in one, so that none of their names can clash
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("id"),
+                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
+    return keyed.join(found, [F.col("id").eqNullSafe(F.col("of")), F.col("key") == F.col("of_key")], "left_anti").select("row.*")

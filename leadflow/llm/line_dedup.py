@@ -1,17 +1,17 @@
 """Line dedup by an exact set-similarity join.
 
 A line is the set of its distinct lower-cased words.  A line goes when an earlier line (smaller doc_id, then smaller line
-number) has ``100 * |A and B| >= percent * |A or B|``; whether that earlier line goes itself does not matter.  A line with
-fewer than ``least_words`` in its set says too little for that: it is its words in order, as they are written, and goes when
-an earlier line is the same.  The operator finds every such line.  Lines without words stay.
+number) has ``100 * |A and B| >= percent * |A or B|``; whether that earlier line goes itself does not matter.  The operator
+finds every such line, of any length.  Lines without words stay.
 
 1. Rarity: hashed counts of each word over all texts.
 2. Signatures: a line's words ordered rare first.  Two matching lines share at least two of their first
    ``n - ceil(t n) + 2`` words.  If the rarest shared word is rare, it is a key alone; if not, the two rarest shared are a key
    together, so that common words do not bring unrelated lines together.  Lines of ``LONG`` words and more, and those
    that can match them, also use each of their first ``n - ceil(t n) + 1`` words as a key.  Words of a single line are
-   left out, as are keys that occur once.
-3. Equal sets (for short lines: equal words in order): the earliest line of a set stands for it.  The rows of a key are read in order.  The first ``SMALL`` sets
+   left out, as are keys that occur once.  A set of less than ``t / (1 - t)`` words (9 at 90 %) matches equal sets alone,
+   which need no keys.
+3. Equal sets: the earliest line of a set stands for it.  The rows of a key are read in order.  The first ``SMALL`` sets
    of a key are paired with each other, each further one with the closest of them, all under the length, positional
    and parity filters.  What passes is verified on the sets themselves.
 4. Sets of larger keys that are not found yet are joined with the earlier sets of their keys, under the same filters, and
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from leadflow.llm import rarity
 from leadflow.llm.common import saved
-from leadflow.llm.wordscan import Scan, mix, scan, written
+from leadflow.llm.wordscan import Scan, mix, scan
 
 LONG = 200
 RARE = 1 + 4 * rarity.STEPS  # level of a word in 32 lines
@@ -48,8 +48,8 @@ _MET = pa.schema([(c, pa.int64()) for c in (
 _MET_SQL = "`set` bigint, doc_id bigint, at bigint, of bigint, odoc_id bigint, oat bigint, key bigint, parity bigint, shape bigint"
 
 
-def _by_line(s: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words by line: unit of each, hash, and for each unit its text, line number and first word."""
+def _by_line(s: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words by line: unit of each, hash, and for each unit its text and line number."""
     breaks = np.flatnonzero(s.data == 10)
     text = np.repeat(np.arange(len(s.bounds) - 1), np.diff(s.bounds))
     before = np.searchsorted(breaks, s.starts)
@@ -63,7 +63,7 @@ def _by_line(s: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, n
     unit, h = unit[order], s.hashes[order]
     new = np.ones(len(h), bool)
     new[1:] = (unit[1:] != unit[:-1]) | (h[1:] != h[:-1])
-    return unit[new], h[new], where, line, first
+    return unit[new], h[new], where, line
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,15 +86,9 @@ def _ats(s: Scan, where: np.ndarray, line: np.ndarray, keys: np.ndarray) -> np.n
     return (line.astype(np.int64) << 32) | (keys[s.first + where] & 0xFFFFFFFF)
 
 
-def _in_order(s: Scan, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """For each line, the words from ``begin`` on, one hash of its words in order, as they are written."""
-    to = np.cumsum(size)
-    place = np.arange(size.sum()) - np.repeat(to - size, size)
-    h = written(s, place + np.repeat(begin, size))
-    return mix(np.add.reduceat(mix(h + mix(place + 1)), to - size) ^ np.uint64(0x3C3C3C3CC3C3C3C3))
+def _sign(percent: int, levels):
+    least = -(-percent // (100 - percent)) if percent < 100 else 1 << 30  # a smaller set matches no other than itself
 
-
-def _sign(percent: int, least_words: int, levels):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = levels.value, {}
         for batch in batches:
@@ -105,16 +99,8 @@ def _sign(percent: int, least_words: int, levels):
                     yield from _rows(s, ids, texts, level, seen)
 
     def _rows(s, ids, texts, level, seen: dict) -> Iterator[pa.RecordBatch]:
-        unit, h, where, line, first = _by_line(s)
+        unit, h, where, line = _by_line(s)
         n = np.bincount(unit, minlength=len(where))
-        enough = n >= least_words
-        if not enough.all():
-            yield _short(s, ids, texts, where, line, n, first, ~enough)
-        keep = enough[unit]
-        unit, h = (np.cumsum(enough) - 1)[unit[keep]], h[keep]
-        where, line, n = where[enough], line[enough], n[enough]
-        if not len(n):
-            return
         begin = np.concatenate([[0], np.cumsum(n)[:-1]])
         scrambled = mix(h ^ np.uint64(0xA5A5A5A55A5A5A5A))
         whole = mix(np.add.reduceat(scrambled, begin) + n.astype(np.uint64))
@@ -123,6 +109,7 @@ def _sign(percent: int, least_words: int, levels):
         new = np.fromiter((seen.setdefault(x, i) == i and not i < 0 for i, x in enumerate(whole.tolist())), bool, len(n))
         for x in whole[new].tolist():
             seen[x] = -1
+        new &= n >= least
         lv = rarity.level_of(level, h)
         bits = max(1, int(len(n)).bit_length())
         order = np.argsort((unit.astype(np.uint64) << np.uint64(64 - bits))
@@ -161,17 +148,6 @@ def _sign(percent: int, least_words: int, levels):
             pa.array(whole.view(np.int64)), pa.array(parity.view(np.int64)), pa.array(n.astype(np.int32)),
             pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
             pa.ListArray.from_arrays(pa.array(offsets), pa.array(places))], schema=_LINES)
-
-    def _short(s, ids, texts, where, line, n, first, short: np.ndarray) -> pa.RecordBatch:
-        """Lines of few distinct words: no keys, only the set that equal lines share."""
-        whole = _in_order(s, first[short], np.diff(np.append(first, len(s.hashes)))[short])
-        where, line, n = where[short], line[short], n[short]
-        none = pa.array(np.zeros(len(n) + 1, np.int32))
-        return pa.RecordBatch.from_arrays([
-            ids.take(pa.array(s.first + where)), pa.array(_ats(s, where, line, texts)),
-            pa.array(whole.view(np.int64)), pa.array(np.zeros(len(n), np.int64)), pa.array(n.astype(np.int32)),
-            pa.ListArray.from_arrays(none, pa.array([], pa.int64())),
-            pa.ListArray.from_arrays(none, pa.array([], pa.int32()))], schema=_LINES)
     return run
 
 
@@ -319,7 +295,7 @@ def _sets(levels):
             for s in scan(batch.column("text")):
                 if not len(s.hashes):
                     continue
-                unit, h, where, line, _ = _by_line(s)
+                unit, h, where, line = _by_line(s)
                 at = _ats(s, where, line, texts)
                 owners = ids.take(pa.array(s.first + where))
                 marked = np.flatnonzero(rarity.level_of(level, _position(owners, at)) > 0)
@@ -392,14 +368,14 @@ def _verified(tries: DataFrame, words: DataFrame, percent: int) -> DataFrame:
     return tries.distinct().join(x, "set").join(y, "of").mapInArrow(_match(percent), "`set` bigint, of bigint")
 
 
-def repeated_lines(docs: DataFrame, percent: int = 90, least_words: int = 5) -> DataFrame:
+def repeated_lines(docs: DataFrame, percent: int = 90) -> DataFrame:
     """``doc_id, text_bits, line`` of every line that goes (lines counted from 0, by line feed)."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
         .withColumn("text_key", F.xxhash64("text"))
     levels = spark.sparkContext.broadcast(
         rarity.levels(texts.select("text").mapInArrow(_count, rarity.PART_SCHEMA)))
-    lines = saved(texts.mapInArrow(_sign(percent, least_words, levels), _LINES_SQL), "lines")
+    lines = saved(texts.mapInArrow(_sign(percent, levels), _LINES_SQL), "lines")
     often = spark.sparkContext.broadcast(rarity.levels(lines.select("keys").mapInArrow(_count_keys, rarity.PART_SCHEMA)))
     # of each set the earliest line, which stands for the others
     position = F.struct("doc_id", "at")
@@ -434,17 +410,23 @@ def repeated_lines(docs: DataFrame, percent: int = 90, least_words: int = 5) ->
         "doc_id", F.expr("at & 4294967295").alias("text_bits"), F.shiftright("at", 32).cast("int").alias("line"))
 
 
-def drop_repeated_lines(docs: DataFrame, percent: int = 90, least_words: int = 5) -> DataFrame:
-    """``docs`` without the repeated lines, with ``n_lines`` and ``n_dropped`` beside; rows without any are as they were."""
-    gone = repeated_lines(docs, percent, least_words).groupBy("doc_id", "text_bits").agg(
-        F.sort_array(F.collect_list("line")).alias("__lines")).withColumnsRenamed({"doc_id": "__of", "text_bits": "__bits"})
-    keyed = docs.withColumns({
-        "__id": F.col("doc_id").cast("bigint"),
-        "__key": F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))})
-    joined = keyed.join(gone, [F.col("__id").eqNullSafe(F.col("__of")), F.col("__key") == F.col("__bits")], "left")
+def cut_lines(docs: DataFrame, percent: int = 90) -> DataFrame:
+    """``row`` (all columns of ``docs`` in one, so that no name can clash), ``text`` without the repeated lines, ``n_lines``
+    and ``n_dropped``; rows without any are as they were."""
+    gone = repeated_lines(docs, percent).groupBy("doc_id", "text_bits").agg(F.collect_set("line").alias("gone")) \
+        .withColumnsRenamed({"doc_id": "of", "text_bits": "bits"})
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"), F.col("doc_id").cast("bigint").alias("id"),
+                        F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF)).alias("key"))
+    joined = keyed.join(gone, [F.col("id").eqNullSafe(F.col("of")), F.col("key") == F.col("bits")], "left")
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("__lines", i)), "\n")
-    return joined.select(
-        *[F.when(F.col("__lines").isNull(), F.col("text")).otherwise(left).alias("text") if c == "text" else F.col(f"`{c}`")
-          for c in docs.columns],
-        F.size(lines).cast("bigint").alias("n_lines"), F.coalesce(F.size("__lines"), F.lit(0)).cast("bigint").alias("n_dropped"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")  # by hash, in order
+    left = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    return joined.select("row", F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text"),
+                         F.size(lines).cast("bigint").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_dropped"))
+
+
+def drop_repeated_lines(docs: DataFrame, percent: int = 90) -> DataFrame:
+    """``docs`` without the repeated lines, with ``n_lines`` and ``n_dropped`` beside (in place of columns of these names)."""
+    counts = ("n_lines", "n_dropped")
+    return cut_lines(docs, percent).select(
+        *[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns if c not in counts], *counts)

@@ -91,7 +91,7 @@ def test_line_dedup(docs, none):
     lines = sorted((i if i is not None else -1, k, frozenset(words(x)))
                    for i, t in set(TEXTS) for k, x in enumerate((t or "").split("\n")))
     gone = {(i, k) for i, k, s in lines for j, m, o in lines
-            if (j, m) < (i, k) and min(len(s), len(o)) >= 5 and 100 * len(s & o) >= 90 * len(s | o)}
+            if (j, m) < (i, k) and s and o and 100 * len(s & o) >= 90 * len(s | o)}
     expected = Counter((i, "\n".join(x for k, x in enumerate((t or "").split("\n")) if (-1 if i is None else i, k) not in gone))
                        for i, t in TEXTS)
     cut = line_dedup.drop_repeated_lines(docs)
@@ -107,8 +107,40 @@ def test_short_lines(spark):
             (6, "https://a.b/c\nHOME\nRead more Home"), (7, "https://a.b/c\n \n\t")]
     got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     assert Counter((r.doc_id, r.text, r.n_dropped) for r in got.collect()) == Counter([
-        (1, rows[0][1], 0), (2, "read more\n\nhome\nmore Read", 1), (3, None, 0), (4, f"{long_} ho", 2),
-        (5, rows[4][1][:4], 1), (6, rows[5][1], 0), (7, " \n\t", 1)])
+        (1, rows[0][1], 0), (2, "", 4), (3, None, 0), (4, "", 3),
+        (5, rows[4][1][:4], 1), (6, "https://a.b/c\nRead more Home", 1), (7, " \n\t", 1)])
+
+
+CLASH = ("n_dropped", "n_lines", "row", "id", "key", "of", "text_key", "gone", "__id", "__key", "group")
+
+
+def clashing(spark, rows):
+    """Texts with columns named like those that the operators use."""
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return df.select("*", *[F.lit(f"own {c}").alias(c) for c in CLASH])
+
+
+@pytest.mark.parametrize("stage", ["lines", "copies", "leaks"])
+def test_columns_of_any_name_pass(spark, stage):
+    rows = [(1, BASE), (2, f"{BASE} more"), (3, None), (4, "one line of words that nobody else has\nread more"), (5, "Read more"),
+            (6, "what is the largest city in the country that lies to the north of us")]
+    bench = spark.createDataFrame([(7, rows[5][1])], "item_id long, text string")
+    docs = clashing(spark, rows)
+    out = {"lines": lambda: corpus_pipeline.drop_lines(spark, docs, ""), "copies": lambda: ngram_join.one_of_each(docs, 5, 80),
+           "leaks": lambda: decontaminate.without_leaks(docs, bench)}[stage]()
+    assert out.columns == docs.columns
+    kept = {"lines": [1, 3, 4, 6], "copies": [1, 3, 4, 5, 6], "leaks": [1, 2, 3, 4, 5]}[stage]
+    assert sorted(r.doc_id for r in out.collect()) == kept
+    assert all(r[c] == f"own {c}" for r in out.collect() for c in CLASH)
+    assert {"lines": lambda: corpus_pipeline.drop_lines(spark, docs.limit(0), ""), "copies": lambda: ngram_join.one_of_each(docs.limit(0), 5, 80),
+            "leaks": lambda: decontaminate.without_leaks(docs.limit(0), bench)}[stage]().count() == 0
+
+
+def test_one_row_stays_of_near_copies_under_one_id(spark):
+    """Two near copies of one id, and copies without any id."""
+    rows = [(1, BASE), (1, BASE.replace("w30x4", "other")), (2, BASE), (None, "text " + BASE[::-1]), (None, "text " + BASE[::-1]), (3, "a b c d e f")]
+    out = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id) for r in out) == [-1, 1, 3]
 
 
 def test_pipeline_keeps_what_lines_leave(spark):
