@@ -417,12 +417,12 @@ def cut_lines(docs: DataFrame, percent: int = 90) -> DataFrame:
         .withColumnsRenamed({"doc_id": "of", "text_bits": "bits"})
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"), F.col("doc_id").cast("bigint").alias("id"),
                         F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF)).alias("key"))
-    joined = keyed.join(gone, [F.col("id").eqNullSafe(F.col("of")), F.col("key") == F.col("bits")], "left")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")  # by hash, in order
-    left = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    joined = keyed.join(gone, [F.col("id").eqNullSafe(F.col("of")), F.col("key") == F.col("bits")], "left") \
+        .withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n"))  # a column, so that it is split once and not for each line
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")  # by hash, in order
+    left = F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n")
     return joined.select("row", F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text"),
-                         F.size(lines).cast("bigint").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_dropped"))
+                         F.size("lines").cast("bigint").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_dropped"))
 
 
 def drop_repeated_lines(docs: DataFrame, percent: int = 90) -> DataFrame:
