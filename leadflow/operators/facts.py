@@ -127,40 +127,51 @@ def merge_case(sums: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
+_BITMAP = 32768  # days in one bitmap
+
+
+def _position(day: Column, after: date) -> Column:
+    """A day's place in the bitmap of the calendar that begins behind ``after``."""
+    return F.date_diff(day, F.lit(after)) - 1
+
+
+def _has(bitmap: Column, position: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(bitmap, F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.getbit(byte, (position % 8).cast("int")) == 1, F.lit(False))
+
+
+def _seen(sums: DataFrame, layout: Layout, after: date) -> tuple[Column, Column]:
+    """The days met, as a bitmap of 4 kB that the map tasks put together, and a test that all rows of ``sums`` pass.
+
+    Both the groups and the bitmap are to come from one exchange of the sums.  Spark serves the second use by the first
+    one's exchange only if both need the same columns, so each looks at all of them: the bitmap beside a count, which
+    goes into the test, and the groups by the test.
+    """
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in sums.columns])
+    met = F.bitmap_construct_agg(F.when(F.col(layout.day) > F.lit(after), _position(F.col(layout.day), after) % _BITMAP))
+    seen = sums.agg(met.alias("days"), F.count_if(row == 0).alias("n")).select(F.struct("days", "n")).scalar()
+    return seen["days"], (row != 0) | (seen["n"] >= 0)
+
+
 def calendar_left(sums: DataFrame, layout: Layout, after: date, through: date | Column) -> DataFrame:
     """Lay sums over the calendar: every day shows, days without facts once with NULL keys.
 
-    Days outside the calendar are dropped.  Written without a join on the day:
-    such a join would bring all groups of a busy day to one task.  Instead every
-    calendar day adds one empty marker row, and the regrouping that merges
-    spellings also counts, per day, how many real groups there are (a second
-    grouping set).  A day's own row is kept only if it has none.
+    Days outside the calendar are dropped.  Written without a join on the day: such a join would bring all groups of a
+    busy day to one task.  The days without facts are found by a bitmap instead and put beside the merged groups.
     """
-    spark = sums.sparkSession
-    text = layout.text_keys
-    exact = [k for k in layout.keys if k not in text]
     sums = sums.where(in_calendar(F.col(layout.day), after, through))
-    markers = calendar(spark, after, through).select(
-        F.col("date").alias(layout.day),
-        *[F.lit(None).cast(t).alias(k) for k, t in layout.keys.items()],
-        *[F.lit(None).cast(sums.schema[m].dataType).alias(m) for m in layout.measures],
-        F.lit(0).alias("_facts"),
-    )
-    stacked = sums.select(layout.day, *layout.keys, *layout.measures,
-                          F.lit(1).alias("_facts")).unionByName(markers)
-    if not layout.keys:
-        return stacked.groupBy(layout.day).agg(*sum_measures(layout))
-    grouped = [layout.day] + exact + [f"_{k}" for k in text]
-    regrouped = (
-        stacked.select("*", *[fold(k).alias(f"_{k}") for k in text])
-        .groupingSets([grouped, [layout.day]], *grouped)
-        .agg(*[F.min(k).alias(k) for k in text], *sum_measures(layout),
-             F.sum("_facts").alias("_facts"), F.grouping_id().alias("_set"))
-    )
-    return regrouped.where(
-        ((F.col("_set") == 0) & (F.col("_facts") > 0))
-        | ((F.col("_set") != 0) & (F.col("_facts") == 0))
-    ).select(layout.day, *layout.keys, *layout.measures)
+    if isinstance(through, date) and (through - after).days > _BITMAP:
+        raise ValueError(f"a calendar of more than {_BITMAP} days")
+    if not layout.keys:  # the one group of a day takes up its marker
+        markers = calendar(sums.sparkSession, after, through).select(
+            F.col("date").alias(layout.day), *[F.lit(None).cast(sums.schema[m].dataType).alias(m) for m in layout.measures])
+        return sums.select(layout.day, *layout.measures).unionByName(markers).groupBy(layout.day).agg(*sum_measures(layout))
+    days, any_row = _seen(sums, layout, after)
+    merged = merge_case(sums.where(any_row), layout)
+    empty = calendar(sums.sparkSession, after, through).where(~_has(days, _position(F.col("date"), after))).select(
+        F.col("date").alias(layout.day), *[F.lit(None).cast(t).alias(k) for k, t in layout.keys.items()],
+        *[F.lit(None).cast(merged.schema[m].dataType).alias(m) for m in layout.measures])
+    return merged.unionByName(empty)
 
 
 def daily_facts(rows: Sequence[DataFrame], layout: Layout,
