@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,5 +38,16 @@ def tokens_schema(fields: Iterable[tuple[str, str]]) -> str:
     return ", ".join(f"`{n}` {t}" for n, t in fields)
 
 
+def give_back() -> None:
+    """Returns a worker's free memory to the system at the end of a task that needed much: workers live on, and the next
+    stage's tasks share the executor with what they keep."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadflow.llm.common import fold_of, saved
+from leadflow.llm.common import fold_of, give_back, saved
 
 PER_CLASS = 8000
 KEEP = 1 << 17  # words remembered by a task
@@ -179,6 +179,8 @@ def _letter_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield pa.RecordBatch.from_pydict({
         "pair": pa.array([(chr(a) if a else "^") + (chr(b) if b else "$") for a, b in counts], pa.string()),
         "n": pa.array(list(counts.values()), pa.int64())})
+    del low, high, counts, seen
+    give_back()
 
 
 def letter_pairs(docs: DataFrame) -> dict[str, int]:
@@ -307,5 +309,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
         for texts in batches:
             x = np.array([signals(t.as_py() or "", model, lexicon, known) for t in texts]).reshape(-1, len(curve))
             yield pa.array(x @ curve < 0)
+        del model, lexicon, known
+        give_back()
 
     return docs.where(clean(F.col("text").cast("string")))
