@@ -35,8 +35,8 @@ from leadflow.llm.common import saved
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
 ROUNDS = 3
-LEAST_SEEDS = 5.0
-LEAST_SURE = 0.5
+LEAST_SEEDS = 10.0
+LEAST_SURE = 0.75
 ACCEPT = 0.6
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
