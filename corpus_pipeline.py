@@ -13,7 +13,11 @@ from leadflow.llm.queries import ship
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go."""
+    """Documents that the toxicity model rejects go.
+
+    Null and empty texts have no evidence and stay; repeated rows share their verdict; at a score of exactly one half a
+    document goes.  Without labels of both kinds nothing goes.  Columns of any name pass through.
+    """
     ship(spark)
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
@@ -34,19 +38,29 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies one document stays."""
+    """Of each group of near copies one document stays: that of the smallest id, of equal rows any.
+
+    Null and empty texts all stay; a null id counts as the largest.  Columns of any name pass through.
+    """
     ship(spark)
     return ngram_join.one_of_each(docs, words=5, percent=80)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold benchmark items go."""
+    """Documents that hold benchmark items go.
+
+    Null and empty texts hold none and stay; repeated rows share their verdict; rows of one id go by their own texts.  An
+    empty benchmark takes nothing.  Columns of any name pass through.
+    """
     ship(spark)
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each document, and whether they decode to it and are SentencePiece's own."""
+    """Ids of each document, and whether they decode to it and are SentencePiece's own.
+
+    Null and empty texts have no ids; repeated rows are encoded each time; other columns are not read.
+    """
     ship(spark)
     return pieces.encode_texts(docs, verify=True).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "round_trip", "parity")
