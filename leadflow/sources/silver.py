@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import to_day
@@ -44,9 +44,17 @@ def typed(df: DataFrame, layout: Silver) -> DataFrame:
     return df.withColumns(days).withColumn(MONTH, F.trunc(layout.main, "month"))
 
 
+def _spread(df: DataFrame) -> Column:
+    """A hash of the row (maps and variants have none): it splits a day, and the rows without a day, among tasks."""
+    hashed = [f"`{f.name}`" for f in df.schema if not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))]
+    return F.xxhash64(*hashed)
+
+
 def write_silver(df: DataFrame, folder: str, layout: Silver, mode: str = "overwrite") -> None:
-    """Months as folders, days in order; ranges of days are dealt to tasks by a sample, so a busy month is split."""
-    (typed(df, layout).repartitionByRange(MONTH, layout.main).sortWithinPartitions(MONTH, layout.main)
+    """Months as folders, days in order; ranges of rows by day and hash are dealt to tasks by a sample, so a busy month
+    or day is split, and so are the rows without a day."""
+    rows = typed(df, layout)
+    (rows.repartitionByRange(F.col(MONTH), F.col(layout.main), _spread(df)).sortWithinPartitions(MONTH, layout.main)
      .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(folder))
 
 
