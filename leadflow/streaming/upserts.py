@@ -25,9 +25,13 @@ _BEFORE = -1  # the batch of a base that was there before the stream
 
 def stream_upsert(stream: DataFrame, folder: str, checkpoint: str, key: Sequence[str],
                   order: Sequence[str], every: str | None = None) -> StreamingQuery:
-    """Start the upsert.  Without ``every`` it takes what is there and stops."""
+    """Start the upsert.  Without ``every`` it takes what is there and stops.
+
+    A file may come as one row group, which one task must read whole.  Its rows are therefore dealt out by key before they
+    are sorted and combined, in pieces of the advisory partition size; a key with very many rows is split among several.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batches.write_batch(folder, batch_id, latest_per_key(batch, key, order))
+        batches.write_batch(folder, batch_id, latest_per_key(batch.hint("rebalance", *key), key, order))
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()

@@ -27,3 +27,21 @@ def test_silver_rows_without_a_day_or_of_one_day_are_spread(spark, tmp_path):
             assert len(files) > 2 and max(files) < 2000
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_micro_batch_of_one_row_group_is_dealt_out_before_it_is_sorted(spark, tmp_path, monkeypatch):
+    plans = []
+    write = upserts.batches.write_batch
+
+    def watched(folder, batch, df, *more):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(folder, batch, df, *more)
+
+    monkeypatch.setattr(upserts.batches, "write_batch", watched)
+    changes = spark.range(40).selectExpr("if(id < 30, 1, id) as id", "id as at")
+    changes.coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(changes.schema).parquet(f"{tmp_path}/in")
+    upserts.stream_upsert(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", ["id"], ["at"]).awaitTermination()
+    assert len(plans) == 1 and re.search(r"Aggregate[\s\S]*RebalancePartitions", plans[0])
+    got = upserts.current_rows(spark, f"{tmp_path}/out", ["id"], ["at"])
+    assert rows(got) == [(1, 29), *[(i, i) for i in range(30, 40)]]
