@@ -45,3 +45,16 @@ def test_a_micro_batch_of_one_row_group_is_dealt_out_before_it_is_sorted(spark,
     assert len(plans) == 1 and re.search(r"Aggregate[\s\S]*RebalancePartitions", plans[0])
     got = upserts.current_rows(spark, f"{tmp_path}/out", ["id"], ["at"])
     assert rows(got) == [(1, 29), *[(i, i) for i in range(30, 40)]]
+
+
+def test_one_pass_over_the_target_gives_what_two_gave(spark, tmp_path):
+    schema = "id string, part int, at int, v string"
+    target = spark.createDataFrame([("a", 1, 1, "x"), ("a", 1, 1, "x"), ("b", 1, 1, None), (None, 1, 1, "n"), ("c", 2, 1, "z")], schema)
+    batch = spark.createDataFrame([("a", 1, 2, "new"), ("a", 1, 3, "newer"), (None, 1, 5, "m"), (None, 1, 6, "o"), ("d", 1, 2, None)], schema)
+    for n, part in enumerate((batch, batch.limit(0))):
+        old, new, after = sinks.upsert_with_changes(target, part, ["id", "part"], ["at"], f"{tmp_path}/{n}")
+        was, becomes = sinks.changed_rows(target, part, ["id", "part"], ["at"])
+        key = lambda df: sorted(map(str, df.select("id", "part", "at", "v").collect()))
+        assert key(old) == key(was) and key(new) == key(becomes)
+        assert key(after) == key(sinks.upsert_by_key(target, part, ["id", "part"], ["at"]))
+        assert after.schema.names == target.columns
