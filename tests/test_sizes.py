@@ -58,3 +58,16 @@ def test_one_pass_over_the_target_gives_what_two_gave(spark, tmp_path):
         assert key(old) == key(was) and key(new) == key(becomes)
         assert key(after) == key(sinks.upsert_by_key(target, part, ["id", "part"], ["at"]))
         assert after.schema.names == target.columns
+
+
+def test_spellings_of_unique_sums_are_sorted_once(spark):
+    layout = Layout({"who": "string"}, {"n": "bigint"})
+    sums = spark.createDataFrame([(date(2001, 1, 1), "José", 1), (date(2001, 1, 1), "JOSE", 2), (date(2001, 1, 1), None, 4),
+                                  (date(2001, 1, 2), "jose", 8)], "date date, who string, n bigint")
+    assert rows(merge_case(sums, layout, unique=True)) == rows(merge_case(sums, layout))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = merge_case(sums, layout, unique=True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(re.findall(r"\bSort \[", plan)) == 1 and "Sort [_group" in plan
