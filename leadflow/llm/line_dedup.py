@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadflow.llm import rarity
-from leadflow.llm.common import saved
+from leadflow.llm.common import discard, saved, split_by
 from leadflow.llm.wordscan import Scan, mix, scan
 
 LONG = 200
@@ -406,18 +406,24 @@ def repeated_lines(docs: DataFrame, percent: int = 90) -> DataFrame:
     more = _verified(pairs.select("set", "of"), words, percent)
     late = done.union(later(more)).distinct()
     near = sets.join(late, "set").select("first.doc_id", "first.at")
-    return copies.union(near).distinct().select(
-        "doc_id", F.expr("at & 4294967295").alias("text_bits"), F.shiftright("at", 32).cast("int").alias("line"))
+    gone = saved(copies.union(near).distinct().select(
+        "doc_id", F.expr("at & 4294967295").alias("text_bits"), F.shiftright("at", 32).cast("int").alias("line")), "late-lines")
+    discard(lines, sets, met, words, links, done)
+    return gone
 
 
 def cut_lines(docs: DataFrame, percent: int = 90) -> DataFrame:
     """``row`` (all columns of ``docs`` in one, so that no name can clash), ``text`` without the repeated lines, ``n_lines``
     and ``n_dropped``; rows without any are as they were."""
-    gone = repeated_lines(docs, percent).groupBy("doc_id", "text_bits").agg(F.collect_set("line").alias("gone")) \
+    late = repeated_lines(docs, percent)
+    gone = late.groupBy("doc_id", "text_bits").agg(F.collect_set("line").alias("gone")) \
         .withColumnsRenamed({"doc_id": "of", "text_bits": "bits"})
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"), F.col("doc_id").cast("bigint").alias("id"),
                         F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF)).alias("key"))
-    joined = keyed.join(gone, [F.col("id").eqNullSafe(F.col("of")), F.col("key") == F.col("bits")], "left") \
+    # texts that lose no line stay where they are
+    cut, whole = split_by(keyed, ["id", "key"], late, ["doc_id", "text_bits"])
+    joined = cut.join(gone, [F.col("id").eqNullSafe(F.col("of")), F.col("key") == F.col("bits")], "left").select("row", "text", "gone") \
+        .unionByName(whole.select("row", "text", F.lit(None).cast("array<int>").alias("gone"))) \
         .withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n"))  # a column, so that it is split once and not for each line
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")  # by hash, in order
     left = F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n")
