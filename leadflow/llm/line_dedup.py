@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadflow.llm import rarity
-from leadflow.llm.common import discard, saved, split_by
+from leadflow.llm.common import discard, saved, split_by, thrifty
 from leadflow.llm.wordscan import Scan, mix, scan
 
 LONG = 200
@@ -66,6 +66,7 @@ def _by_line(s: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return unit[new], h[new], where, line
 
 
+@thrifty
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counter = rarity.Counter()
     for batch in batches:
@@ -74,6 +75,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from counter.batches()
 
 
+@thrifty
 def _count_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counter = rarity.Counter()
     for batch in batches:
@@ -89,6 +91,7 @@ def _ats(s: Scan, where: np.ndarray, line: np.ndarray, keys: np.ndarray) -> np.n
 def _sign(percent: int, levels):
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 30  # a smaller set matches no other than itself
 
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = levels.value, {}
         for batch in batches:
@@ -153,6 +156,7 @@ def _sign(percent: int, levels):
 
 def _live(levels):
     """A row for each key that may occur twice."""
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
         for b in batches:
@@ -227,6 +231,7 @@ def _meet(percent: int):
             ok = bits.min(axis=1, initial=99) < 99
             yield _pairs(rows, i[ok], heads, best[ok])
 
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = heads = None  # the last key so far: its rows while they are few, else its first rows
         for batch in batches:
@@ -261,6 +266,7 @@ def _meet(percent: int):
     return run
 
 
+@thrifty
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counter = rarity.Counter()
     for batch in batches:
@@ -285,6 +291,7 @@ def _sets(levels):
     """Word sets of marked lines (and of a few others that share a mark)."""
     schema = pa.schema([("doc_id", pa.int64()), ("at", pa.int64()), ("words", pa.binary())])
 
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
         for batch in batches:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadflow.llm import rarity
-from leadflow.llm.common import saved
+from leadflow.llm.common import saved, split_by, thrifty
 from leadflow.llm.graph import components
 from leadflow.llm.wordscan import grams, scan, shingles
 
@@ -79,6 +79,7 @@ def _differing(x: bytes, y: bytes) -> int:
 
 
 def _sign(words: int):
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -119,6 +120,7 @@ def slack(n: int) -> int:
 
 def _prefixes(words: int, percent: int, levels, gram_levels):
     """Prefix shingles of each set that can link with another, and how frequent its shingles are on average."""
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, gram_level = levels.value, gram_levels.value
         usual = int(np.median(gram_level)) + rarity.STEPS  # twice what chance puts into a counter
@@ -160,6 +162,7 @@ _TOKEN = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int64(
 _TOKEN_SQL = "token bigint, node bigint, n bigint, grp bigint, size bigint, short boolean"
 
 
+@thrifty
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counter = rarity.Counter()
     for batch in batches:
@@ -171,6 +174,7 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _marked(marks):
     """A row for each prefix shingle that is marked (and a few others that share a mark)."""
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = marks.value
         for b in batches:
@@ -213,6 +217,7 @@ def _linked(percent: int):
 def _sets(words: int):
     schema = pa.schema([("node", pa.int64()), ("set", pa.binary())])
 
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = batch.column("node").to_pylist()
@@ -232,8 +237,10 @@ def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, per
         pairs.join(x, "a").join(y, "b").where(f"100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
         .mapInArrow(_close(percent), "a bigint, b bigint"), "close-pairs")
     wanted = close.select(F.col("a").alias("node")).union(close.select("b")).distinct()
-    where = nodes.join(wanted, "node").select("node", "doc_id", "text_key")
-    found = texts.join(where, [texts.doc_id.eqNullSafe(where.doc_id), texts.text_key == where.text_key])
+    where = saved(nodes.join(wanted, "node").select("node", "doc_id", "text_key"), "wanted-texts")
+    # most texts are in no pair and stay where they are
+    some, _ = split_by(texts, ["text_key"], where, ["text_key"])
+    found = some.join(where, [some.doc_id.eqNullSafe(where.doc_id), some.text_key == where.text_key])
     sets = saved(found.select("node", "text").mapInArrow(_sets(words), "node bigint, set binary")
                  .dropDuplicates(["node"]), "shingle-sets")
     return (close.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sx")), "a")
@@ -326,11 +333,17 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("id"),
                         F.coalesce("text", F.lit("")).alias("text"))
     keyed = keyed.withColumn("key", F.xxhash64("text")).withColumn("blank", F.col("text").rlike(r"^[\x20\x09-\x0D]*$")).drop("text")
-    named = ngram_components(docs, words, percent).where("n_shingles > 0")
-    chosen = named.groupBy(F.coalesce("component_id", F.col("text_key")).alias("group"), F.col("component_id").isNull().alias("nameless")) \
-        .agg(F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), "text_key")).alias("first")) \
-        .select(F.when(F.col("first.col1") != 2**63 - 1, F.col("first.col1")).alias("of"), F.col("first.text_key").alias("of_key"))
-    found = keyed.where("not blank").join(chosen, [F.col("id").eqNullSafe(F.col("of")), F.col("key") == F.col("of_key")])
-    first = Window.partitionBy("id", "key").orderBy(F.lit(0))  # rows of one id and text, all that is left here
-    alone = found.withColumn("place", F.row_number().over(first)).where("place = 1").select("row")
-    return alone.unionByName(keyed.where("blank").select("row")).select("row.*")
+    named = saved(ngram_components(docs, words, percent).where("n_shingles > 0").select(
+        "doc_id", "text_key", F.coalesce("component_id", F.col("text_key")).alias("group"), F.col("component_id").isNull().alias("nameless")),
+        "named-rows")
+    groups = saved(named.groupBy("group", "nameless").agg(
+        F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), "text_key")).alias("first"), F.count("*").alias("size")), "row-groups")
+    chosen = groups.select(F.col("first.col1").alias("of"), F.col("first.text_key").alias("of_key"))
+    # rows that are a group of their own stay where they are
+    crowded = named.join(groups.where("size > 1").select("group", "nameless"), ["group", "nameless"])
+    some, alone = split_by(keyed.where("not blank"), ["id", "key"], crowded, ["doc_id", "text_key"])
+    some = some.withColumn("known", F.coalesce("id", F.lit(2**63 - 1)))
+    found = some.join(chosen, [F.col("known") == F.col("of"), F.col("key") == F.col("of_key")])
+    first = Window.partitionBy("known", "key").orderBy(F.lit(0))  # rows of one id and text, all that is left here
+    found = found.withColumn("place", F.row_number().over(first)).where("place = 1").select("row")
+    return found.unionByName(alone.select("row")).unionByName(keyed.where("blank").select("row")).select("row.*")

@@ -5,7 +5,7 @@ from pathlib import Path
 
 import pytest
 
-from leadflow.llm import line_dedup
+from leadflow.llm import line_dedup, ngram_join
 from leadflow.llm.common import split_by
 
 
@@ -45,3 +45,12 @@ def test_line_dedup_leaves_no_tables_of_its_steps(spark, few_copies):
     assert line_dedup.cut_lines(few_copies).count() == few_copies.count()
     left = {re.sub("-[0-9a-f]+$", "", p.name) for p in set(root.iterdir()) - before}
     assert not left & {"lines", "line-firsts", "met-lines", "line-sets", "line-links", "late-sets"}
+
+
+def test_one_of_each_moves_texts_once(spark, few_copies):
+    left = ngram_join.one_of_each(few_copies, 3, 90)
+    plan = _plan(left)
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    window = re.search(r"Window .*row_number.*windowspecdefinition\((\w+)#\d+L, (\w+)#\d+L", plan)
+    assert window and window.groups() == ("known", "key")  # the columns the join has dealt the rows out by
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in left.collect()) == [(False, i) for i in range(40)] + [(False, 101), (False, 102)]
