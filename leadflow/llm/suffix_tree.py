@@ -81,6 +81,34 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "texts": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct hashes, where each occurs first, and the index of each value among them.
+
+    The leading bits are sorted as plain numbers with the place in the bits behind them, which costs a part of sorting places
+    by value.  Different hashes of equal leading bits may then stand wrong; where that is so, places are sorted by value.
+    """
+    bits = np.uint64(len(values).bit_length())
+    wide = values.astype(np.uint64) << np.uint64(64 - 8 * values.itemsize)
+    packed = np.sort(wide >> bits << bits | np.arange(len(values), dtype=np.uint64))
+    order = (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    ranked = values[order]
+    if (ranked[1:] < ranked[:-1]).any():
+        order = np.argsort(values, kind="stable")
+        ranked = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    which = np.empty(len(values), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ranked[new], order[new], which
+
+
+def _first(which: np.ndarray, n: int) -> np.ndarray:
+    """Where each of the indices 0 .. n - 1 occurs first; all of them occur."""
+    first = np.empty(n, np.int64)
+    first[which[::-1]] = np.arange(len(which))[::-1]  # of equal ones the last written stays
+    return first
+
+
 class _Block:
     """Token stream of a block, with what is known so far from earlier answers."""
 
@@ -131,7 +159,7 @@ class _Block:
                 np.concatenate([np.frombuffer(_opened(owner[i]), np.bool_) for i in mine]))
 
     def _add_level(self, k: int, hashes: np.ndarray, at: np.ndarray) -> None:
-        self.keys[k], self.which[k] = np.unique(hashes, return_inverse=True)
+        self.keys[k], _, self.which[k] = _distinct(hashes)
         self.at[k] = at
 
     def counts(self, k: int) -> np.ndarray:
@@ -161,7 +189,7 @@ class _Block:
     def send_gains(self, k: int, totals: tuple[int, int], range_bits: int) -> list[dict]:
         """What this block's own runs of k+1 words say for their k-word contexts."""
         owner = self.replies[k + 1][1]
-        _, first = np.unique(self.which[k + 1], return_index=True)  # a position of each run
+        first = _first(self.which[k + 1], len(self.keys[k + 1]))  # a position of each run
         mine = owner & (self.counts(k + 1) > 0)
         at = self.at[k + 1][first[mine]]
         n = self.counts(k + 1)[mine].astype(float)
@@ -240,7 +268,7 @@ def _answer(gain: float):
             keys = [np.frombuffer(sent["keys"][i].as_buffer(), np.uint64 if word else np.uint32) for i in mine]
             values = [np.frombuffer(_opened(sent["values"][i]), np.float64 if kind >= GAIN else np.int64)
                       for i in mine]
-            distinct, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+            distinct, first, which = _distinct(np.concatenate(keys))
             total = np.bincount(which, weights=np.concatenate(values))
             owner = np.zeros(len(which), bool)
             owner[first] = True

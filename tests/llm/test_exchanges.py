@@ -3,9 +3,10 @@
 import re
 from pathlib import Path
 
+import numpy as np
 import pytest
 
-from leadflow.llm import line_dedup, ngram_join
+from leadflow.llm import line_dedup, ngram_join, suffix_tree
 from leadflow.llm.common import split_by
 
 
@@ -54,3 +55,14 @@ def test_one_of_each_moves_texts_once(spark, few_copies):
     window = re.search(r"Window .*row_number.*windowspecdefinition\((\w+)#\d+L, (\w+)#\d+L", plan)
     assert window and window.groups() == ("known", "key")  # the columns the join has dealt the rows out by
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in left.collect()) == [(False, i) for i in range(40)] + [(False, 101), (False, 102)]
+
+
+@pytest.mark.parametrize("values", [
+    np.array([], np.uint64), np.array([7], np.uint64), np.array([5, 4, 5, 2**64 - 1, 0, 4], np.uint64),
+    np.array([9, 8, 9, 8, 3], np.uint32), np.array([1, 0, 1, 0, 3, 2], np.uint64) + np.uint64(1 << 60),
+    np.random.default_rng(1).integers(0, 2**64 - 1, 999, np.uint64).repeat(3)])
+def test_distinct_hashes(values):
+    keys, first, which = suffix_tree._distinct(values)
+    for got, want in zip((keys, first, which), np.unique(values, return_index=True, return_inverse=True)):
+        assert (got == want).all() and len(got) == len(want)
+    assert (suffix_tree._first(which, len(keys)) == first).all()
