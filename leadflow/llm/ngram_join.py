@@ -15,8 +15,12 @@ document the component it belongs to, without writing all pairs of a group.
 4. A query node counts how many of its prefix shingles a foreign group's union holds; only groups that reach l and fit in
    size are opened.  The smaller group asks the larger, each pair of groups once.  The query node first meets two
    members that hold each of the shared shingles; groups found linked by then are one and need no more.
-5. Members of opened groups pass an exact bound first (parity bitmaps: differing bits never exceed differing
-   shingles), then the sets themselves are compared.
+   A member of an opened group of more than ``FEW`` is met in one of two ways only.  Both are held against one centre of the
+   group: shingles beyond the centre's are either shared, and bring the two together, or what is shared is within the
+   centre, at most what the one with less of it has.  The latter is tested for all members of one size and one number
+   of shingles beyond at once.
+5. Members so met pass an exact bound first (parity bitmaps: differing bits never exceed differing shingles), then the
+   sets themselves are compared.
 6. Components over the links of 2, 4 and 5.
 
 Nulls and blank texts have no shingles and stay alone.  Repeated rows share their set and so their component.  A null
@@ -41,6 +45,7 @@ from leadflow.llm.wordscan import grams, scan, shingles
 PARTS = 4
 LEAST_BITS = 512
 GRAM_BITS = 22
+FEW = 16
 
 _SIGNED = pa.schema([
     ("kind", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("node", pa.int64()),
@@ -236,16 +241,61 @@ def _links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, per
     close = saved(
         pairs.join(x, "a").join(y, "b").where(f"100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
         .mapInArrow(_close(percent), "a bigint, b bigint"), "close-pairs")
-    wanted = close.select(F.col("a").alias("node")).union(close.select("b")).distinct()
+    sets = _shingle_sets(close.select(F.col("a").alias("node")).union(close.select("b")), nodes, texts, words)
+    return (close.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sx")), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sy")), "b")
+            .mapInArrow(_linked(percent), "a bigint, b bigint"))
+
+
+def _shingle_sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """``node, set`` of the wanted nodes."""
+    wanted = wanted.select("node").distinct()
     where = saved(nodes.join(wanted, "node").select("node", "doc_id", "text_key"), "wanted-texts")
     # most texts are in no pair and stay where they are
     some, _ = split_by(texts, ["text_key"], where, ["text_key"])
     found = some.join(where, [some.doc_id.eqNullSafe(where.doc_id), some.text_key == where.text_key])
-    sets = saved(found.select("node", "text").mapInArrow(_sets(words), "node bigint, set binary")
+    return saved(found.select("node", "text").mapInArrow(_sets(words), "node bigint, set binary")
                  .dropDuplicates(["node"]), "shingle-sets")
-    return (close.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sx")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sy")), "b")
-            .mapInArrow(_linked(percent), "a bigint, b bigint"))
+
+
+_BEYOND = pa.schema([("node", pa.int64()), ("of", pa.int64()), ("asks", pa.bool_()), ("n", pa.int64()), ("beyond", pa.int64()),
+                     ("extra", pa.list_(pa.int64()))])
+_BEYOND_SQL = "node bigint, of bigint, asks boolean, n bigint, beyond bigint, extra array<bigint>"
+
+
+@thrifty
+def _beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each set the shingles that the centre beside it has not."""
+    for b in batches:
+        sets = [[np.frombuffer(v.as_buffer(), np.uint64) for v in b.column(c)] for c in ("set", "within")]
+        extra = [np.setdiff1d(x, y, assume_unique=True).view(np.int64) for x, y in zip(*sets)]
+        yield pa.RecordBatch.from_arrays(
+            [*b.select(["node", "of", "asks"]).columns, pa.array([len(x) for x in sets[0]], pa.int64()),
+             pa.array([len(x) for x in extra], pa.int64()), pa.array(extra, pa.list_(pa.int64()))], schema=_BEYOND)
+
+
+def _of_crowds(asking: DataFrame, members: DataFrame, prefixes: DataFrame, nodes: DataFrame, texts: DataFrame, words: int,
+               percent: int) -> DataFrame:
+    """Pairs ``a, b`` of the nodes that ask and members of the groups ``of`` they ask, all that may link among them."""
+    inside = members.select("node", "n", F.col("grp").alias("of")).join(asking.select("of").distinct(), "of")
+    # any set will do; the more frequent shingles it has, the less is beyond it that many share
+    centres = saved(inside.join(prefixes.select("node", "common"), "node").groupBy("of").agg(
+        F.max(F.struct(F.col("common") * F.col("n"), "node")).alias("most")).select("of", F.col("most.node").alias("centre")), "centres")
+    held = saved(asking.select("node", "of", F.lit(True).alias("asks")).union(inside.select("node", "of", F.lit(False).alias("asks")))
+                 .join(centres, "of"), "beside-centres")
+    sets = _shingle_sets(held.select("node").union(centres.select("centre")), nodes, texts, words)
+    within = sets.select(F.col("node").alias("centre"), F.col("set").alias("within"))
+    beyond = saved(held.join(sets, "node").join(within, "centre").select("node", "of", "asks", "set", "within")
+                   .mapInArrow(_beyond, _BEYOND_SQL), "beyond-centres")
+    x = beyond.where("asks").select(F.col("node").alias("a"), "of", "n", "beyond", "extra")
+    y = beyond.where("not asks").select(F.col("node").alias("b"), "of", F.col("n").alias("m"), F.col("beyond").alias("more"), "extra")
+    kinds = x.drop("extra").join(y.select("of", "m", "more").distinct(), "of") \
+        .where(f"100 * least(n, m) >= {percent} * greatest(n, m)") \
+        .where(f"{100 + percent} * least(n - beyond, m - more) >= {percent} * (n + m)")
+    alike = kinds.join(y.drop("extra"), ["of", "m", "more"]).select("a", "b")
+    sharing = x.select("a", "of", "n", F.explode("extra").alias("token")).join(
+        y.select("b", "of", "m", F.explode("extra").alias("token")), ["of", "token"])
+    return alike.union(sharing.where(f"100 * least(n, m) >= {percent} * greatest(n, m)").select("a", "b"))
 
 
 def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -297,20 +347,24 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
               .where("size < of_size or (size = of_size and grp < of)")
               .where("(short and hi >= n) or short_lo <= n")
               .where(f"100 * hi >= {percent} * n and 100 * n >= {percent} * lo")
-              .groupBy("node", "n", "of").agg(F.count("*").alias("met"), F.min("lo").alias("lo"), *[
+              .groupBy("node", "n", "of", "of_size").agg(F.count("*").alias("met"), F.min("lo").alias("lo"), *[
                   F.collect_set(c).alias(c) for c in ("first", "last")])  # one node each for a prefix shingle
               .where("met >= 2 or n < 20 or lo < 20"), "opened")
     # first against a few members that hold the shared shingles: most groups that belong together are one after that
     some = opened.select(F.col("node").alias("a"), F.explode(F.array_union("first", "last")).alias("b")).distinct()
     links = saved(_links(some, nodes, texts, words, percent), "first-links")
     joined = saved(components(stars.union(links)), "joined-groups")
-    opened = opened.select("node", "n", "of").join(joined.select("node", F.col("label").alias("own")), "node", "left") \
+    opened = opened.select("node", "n", "of", "of_size").join(joined.select("node", F.col("label").alias("own")), "node", "left") \
         .join(joined.select(F.col("node").alias("of"), F.col("label").alias("theirs")), "of", "left") \
-        .where(F.coalesce("own", "node") != F.coalesce("theirs", "of"))
+        .where(F.coalesce("own", "node") != F.coalesce("theirs", "of")).select("node", "n", "of", "of_size")
+    opened = saved(opened, "still-open")
     inside = members.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("grp").alias("of"))
-    pairs = opened.join(inside, "of").where(f"100 * least(n, m) >= {percent} * greatest(n, m)") \
-        .select(F.col("node").alias("a"), "b").distinct()
-    more = _links(pairs, nodes, texts, words, percent)
+    pairs = opened.where(f"of_size <= {FEW}").join(inside, "of").where(f"100 * least(n, m) >= {percent} * greatest(n, m)") \
+        .select(F.col("node").alias("a"), "b")
+    crowded = opened.where(f"of_size > {FEW}")
+    if not crowded.isEmpty():
+        pairs = pairs.union(_of_crowds(crowded, members, prefixes, nodes, texts, words, percent))
+    more = _links(pairs.distinct(), nodes, texts, words, percent)
     labels = components(stars.union(links).union(more))
 
     named = nodes.select("node", "least_id").join(labels, "node", "left") \
