@@ -9,7 +9,8 @@ finds every such line, of any length.  Lines without words stay.
    ``n - ceil(t n) + 2`` words.  If the rarest shared word is rare, it is a key alone; if not, the two rarest shared are a key
    together, so that common words do not bring unrelated lines together.  Lines of ``LONG`` words and more, and those
    that can match them, also use each of their first ``n - ceil(t n) + 1`` words as a key.  Words of a single line are
-   left out, as are keys that occur once.  A set of less than ``t / (1 - t)`` words (9 at 90 %) matches equal sets alone,
+   left out, as are keys that occur once.  Of its keys two matching lines need to meet under the first alone, the words before
+   which are not shared.  A set of less than ``t / (1 - t)`` words (9 at 90 %) matches equal sets alone,
    which need no keys.
 3. Equal sets: the earliest line of a set stands for it.  The rows of a key are read in order.  The first ``SMALL`` sets
    of a key are paired with each other, each further one with the closest of them, all under the length, positional
@@ -48,6 +49,16 @@ _MET = pa.schema([(c, pa.int64()) for c in (
 _MET_SQL = "`set` bigint, doc_id bigint, at bigint, of bigint, odoc_id bigint, oat bigint, key bigint, parity bigint, shape bigint"
 
 
+def _order(values: np.ndarray) -> np.ndarray:
+    """As ``argsort``: numbers with their places in the lowest bits sort faster; where what is left of them does not tell
+    all apart that differ, ``argsort`` itself."""
+    low = np.uint64(max(1, len(values).bit_length()))
+    packed = np.sort((values >> low << low) | np.arange(len(values), dtype=np.uint64))
+    order = (packed & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    there = values[order]
+    return order if (there[1:] >= there[:-1]).all() else np.argsort(values)
+
+
 def _by_line(s: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words by line: unit of each, hash, and for each unit its text and line number."""
     breaks = np.flatnonzero(s.data == 10)
@@ -59,7 +70,7 @@ def _by_line(s: Scan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     line = before[first] - np.searchsorted(breaks, s.offsets[where])
     unit = np.repeat(np.arange(len(units)), np.diff(np.append(first, len(unit))))
     bits = max(1, int(len(units)).bit_length())
-    order = np.argsort((unit.astype(np.uint64) << np.uint64(64 - bits)) | (s.hashes >> np.uint64(bits)))
+    order = _order((unit.astype(np.uint64) << np.uint64(64 - bits)) | (s.hashes >> np.uint64(bits)))
     unit, h = unit[order], s.hashes[order]
     new = np.ones(len(h), bool)
     new[1:] = (unit[1:] != unit[:-1]) | (h[1:] != h[:-1])
@@ -115,8 +126,8 @@ def _sign(percent: int, levels):
         new &= n >= least
         lv = rarity.level_of(level, h)
         bits = max(1, int(len(n)).bit_length())
-        order = np.argsort((unit.astype(np.uint64) << np.uint64(64 - bits))
-                           | (lv.astype(np.uint64) << np.uint64(56 - bits)) | (h >> np.uint64(8 + bits)))
+        order = _order((unit.astype(np.uint64) << np.uint64(64 - bits))
+                       | (lv.astype(np.uint64) << np.uint64(56 - bits)) | (h >> np.uint64(8 + bits)))
         h, lv = h[order], lv[order]
         place = np.arange(len(h)) - begin[unit]
         spare = n - -(-percent * n // 100)
@@ -124,7 +135,8 @@ def _sign(percent: int, levels):
         # one word: rare ones of shorter lines, any of long ones
         short, long_ = n < LONG, 100 * n >= percent * LONG
         head = (place < (spare + 2)[unit]) & (short & new)[unit] & (lv > 0)
-        for chosen, salt in ((head & (lv <= RARE), 1), ((place < (spare + 1)[unit]) & (long_ & new)[unit] & (lv > 0), 2)):
+        first = place < (spare + 1)[unit]  # where the rarer of two shared words is
+        for chosen, salt in ((head & first & (lv <= RARE), 1), (first & (long_ & new)[unit] & (lv > 0), 2)):
             out_unit.append(unit[chosen])
             out_key.append(mix(h[chosen] + np.uint64(salt)))
             out_place.append(place[chosen])
@@ -139,7 +151,7 @@ def _sign(percent: int, levels):
             i = np.flatnonzero(same)
             out_unit.append(ru[i])
             out_key.append(mix(rh[i] * np.uint64(0x9E3779B97F4A7C15) + rh[i + step] + np.uint64(3)))
-            out_place.append(rp[i])
+            out_place.append(rp[i + step] - 1)  # of all words before the second one no more than the first is shared
             step += 1
         out_unit = np.concatenate(out_unit)
         by = np.argsort(out_unit, kind="stable")
@@ -171,15 +183,16 @@ def _live(levels):
     return run
 
 
-def _apart(percent: int, x: dict, i: np.ndarray, y: dict, j: np.ndarray) -> np.ndarray:
-    """Differing parity bits of rows i of x and rows j of y; 99 for pairs the length, positional or parity filter rules out."""
+def _apart(percent: int, x: dict, i: np.ndarray, y: dict, j: np.ndarray, first: bool) -> np.ndarray:
+    """Differing parity bits of rows i of x and rows j of y; 99 for pairs the length, positional or parity filter rules out.
+    With ``first``, also for pairs that match only if they share rarer words as well: they meet under the key of those."""
     n, m = x["shape"][i] >> 32, y["shape"][j] >> 32
     p, q = x["shape"][i] & 0xFFFFFFFF, y["shape"][j] & 0xFFFFFFFF
     least = -(-percent * (n + m) // (100 + percent))
     bits = np.bitwise_count((x["parity"][i] ^ y["parity"][j]).view(np.uint64))
     ok = ((x["set"][i] != y["set"][j])
           & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-          & (np.minimum(p, q) + np.minimum(n - p, m - q) >= least)
+          & ((0 if first else np.minimum(p, q)) + np.minimum(n - p, m - q) >= least)
           & (bits <= n + m - 2 * least))
     return np.where(ok, bits, 99)
 
@@ -218,7 +231,7 @@ def _meet(percent: int):
             some = size > step
             count = size[some] - step
             j = np.repeat(begin[some], count) + (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
-            ok = _apart(percent, rows, j + step, rows, j) < 99
+            ok = _apart(percent, rows, j + step, rows, j, first=True) < 99
             yield _pairs(rows, j[ok] + step, rows, j[ok])
 
     def with_heads(rows: dict, heads: dict) -> Iterator[pa.RecordBatch]:
@@ -226,7 +239,7 @@ def _meet(percent: int):
         k = len(heads["key"])
         for at in range(0, len(rows["key"]), 4096):
             i = np.arange(at, min(at + 4096, len(rows["key"])))
-            bits = _apart(percent, rows, np.repeat(i, k), heads, np.tile(np.arange(k), len(i))).reshape(-1, k)
+            bits = _apart(percent, rows, np.repeat(i, k), heads, np.tile(np.arange(k), len(i)), first=False).reshape(-1, k)
             best = bits.argmin(axis=1)
             ok = bits.min(axis=1, initial=99) < 99
             yield _pairs(rows, i[ok], heads, best[ok])
@@ -351,19 +364,21 @@ def _filters(percent: int) -> Column:
     p, q = F.expr("shape & 4294967295"), F.expr("oshape & 4294967295")
     least = F.ceil((n + m) * percent / (100 + percent))
     apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"o{c}"))) for c in WIDE), F.lit(0))
-    return ((100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least(p, q) + F.least(n - p, m - q) >= least)
+    return ((100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least(n - p, m - q) >= least)  # the first key they share
             & (apart <= n + m - 2 * least))
 
 
 def _word_sets(wanted: DataFrame, texts: DataFrame) -> DataFrame:
     """``set, words`` of the given lines (``set, doc_id, at``)."""
-    wanted = saved(wanted.groupBy("set").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-1)), "at")).alias("line")),
-                   "wanted-lines")
-    places = wanted.select(F.col("line.col1").alias("doc_id"), "line.at")
+    # any line of a set will do; numbers alone are added up by hash, a struct would be sorted
+    wanted = saved(wanted.select("set", F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), "at").groupBy("set").agg(
+        F.first(F.col("doc_id")).alias("doc_id"), F.first(F.col("at")).alias("at")), "wanted-lines")
+    places = wanted.select("doc_id", "at")
+    wanted = wanted.select("set", F.struct("doc_id", "at").alias("line"))
     marks = wanted.sparkSession.sparkContext.broadcast(
         rarity.levels(places.mapInArrow(_mark, rarity.PART_SCHEMA)))
     found = texts.mapInArrow(_sets(marks), "doc_id bigint, at bigint, words binary").select(
-        F.struct(F.coalesce("doc_id", F.lit(-1)), "at").alias("line"), "words")
+        F.struct(F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), "at").alias("line"), "words")
     found = found.join(wanted, "line").groupBy("set").agg(F.first("words").alias("words"))
     return saved(found.mapInArrow(_wide, "`set` bigint, words binary, " + ", ".join(f"{c} bigint" for c in WIDE)), "line-sets")
 
@@ -394,28 +409,30 @@ def repeated_lines(docs: DataFrame, percent: int = 90) -> DataFrame:
                 .sortWithinPartitions("key", "doc_id", "at").mapInArrow(_meet(percent), _MET_SQL), "met-lines")
     words = _word_sets(
         met.select("set", "doc_id", "at").union(met.where("key is null").select("of", "odoc_id", "oat")), texts)
+    # the few sets that meet another: all that the following needs to know of
+    known = saved(sets.select("set", "first").join(words.select("set"), "set", "left_semi"), "met-sets")
     links = saved(_verified(met.where("key is null").select("set", "of"), words, percent), "line-links")
 
     def later(pairs: DataFrame) -> DataFrame:
         """The sets that have an earlier match."""
-        mine = sets.select("set", F.col("first").alias("mine"))
-        other = sets.select(F.col("set").alias("of"), F.col("first").alias("other"))
+        mine = known.select("set", F.col("first").alias("mine"))
+        other = known.select(F.col("set").alias("of"), F.col("first").alias("other"))
         both = pairs.join(mine, "set").join(other, "of")
         return both.select(F.when(F.col("mine") > F.col("other"), F.col("set")).otherwise(F.col("of")).alias("set"))
 
     done = saved(later(links).distinct(), "late-sets")
     # larger keys: sets not found yet against all others of the key
     members = met.where("key is not null").groupBy("key", "set").agg(F.first("shape").alias("shape")) \
-        .join(words.select("set", *WIDE), "set").join(sets.select("set", "first"), "set")
+        .join(words.select("set", *WIDE), "set").join(known, "set")
     asking = members.join(done, "set", "left_anti")
     asked = members.select("key", *[F.col(c).alias("of" if c == "set" else f"o{c}") for c in ("set", "shape", "first", *WIDE)])
     pairs = asking.join(asked, "key").where("ofirst < first").where(_filters(percent))
     more = _verified(pairs.select("set", "of"), words, percent)
     late = done.union(later(more)).distinct()
-    near = sets.join(late, "set").select("first.doc_id", "first.at")
+    near = known.join(late, "set").select("first.doc_id", "first.at")
     gone = saved(copies.union(near).distinct().select(
         "doc_id", F.expr("at & 4294967295").alias("text_bits"), F.shiftright("at", 32).cast("int").alias("line")), "late-lines")
-    discard(lines, sets, met, words, links, done)
+    discard(lines, sets, met, words, known, links, done)
     return gone
 
 

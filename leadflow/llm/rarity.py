@@ -21,6 +21,7 @@ CHUNK_BITS = 16
 STEPS = 8  # levels per doubling of a count
 _SIZE = 1 << CHUNK_BITS
 _FAN = 64
+_ONE = np.uint32(1)  # of the counters' own type: numpy adds up others one by one through a cast
 
 PART_SCHEMA = "chunk int, share int, slots binary, counts binary"
 PART = pa.schema([("chunk", pa.int32()), ("share", pa.int32()), ("slots", pa.binary()), ("counts", pa.binary())])
@@ -43,7 +44,7 @@ class Counter:
         self.counts = np.zeros(1 << bits, np.uint32)
 
     def add(self, hashes: np.ndarray) -> None:
-        np.add.at(self.counts, (hashes >> self.shift).astype(np.int64), 1)
+        np.add.at(self.counts, (hashes >> self.shift).astype(np.int64), _ONE)
 
     def rows(self, partition: int) -> Iterator[dict]:
         for chunk in range(len(self.counts) // _SIZE):

@@ -17,10 +17,8 @@ import pyarrow as pa
 
 SLICE_BYTES = 1 << 18
 
-_WHITE = np.zeros(256, bool)
-_WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_INSIDE = bytes(x not in b"\x20\x09\x0A\x0B\x0C\x0D" for x in range(256))  # of a word
+_LOWER = bytes(x + 32 if 65 <= x <= 90 else x for x in range(256))
 
 _STEP = 0x9E3779B97F4A7C15 | 1
 _UNSTEP = pow(_STEP, -1, 1 << 64)
@@ -86,25 +84,30 @@ def scan(texts: pa.Array, lower: bool = True, slice_bytes: int = SLICE_BYTES) ->
         to = int(np.searchsorted(offsets, offsets[at] + slice_bytes, "right")) - 1
         to = min(max(to, at + 1), n)
         piece = data[offsets[at]:offsets[to]]
-        yield Scan(at, *_words(_LOWER[piece] if lower else piece, offsets[at:to + 1] - offsets[at]), piece)
+        yield Scan(at, *_words(_translated(piece, _LOWER) if lower else piece, offsets[at:to + 1] - offsets[at]), piece)
         at = to
 
 
+def _translated(data: np.ndarray, table: bytes, kind: type = np.uint8) -> np.ndarray:
+    """Each byte by a table, several times as fast as by an index array."""
+    return np.frombuffer(data.tobytes().translate(table), kind)
+
+
 def _words(data: np.ndarray, offsets: np.ndarray):
     n = len(data)
-    inside = ~_WHITE[data]
-    cut = np.zeros(n + 1, bool)
-    cut[offsets] = True
-    before = np.empty(n, bool)
-    before[:1] = False
+    inside = _translated(data, _INSIDE, bool)
+    before = np.zeros(n, bool)
     before[1:] = inside[:-1]
-    starts = np.flatnonzero(inside & (~before | cut[:-1]))
-    after = np.empty(n, bool)
-    after[-1:] = False
+    before[offsets[offsets < n]] = False
+    starts = np.flatnonzero(inside > before)
+    after = np.zeros(n, bool)
     after[:-1] = inside[1:]
-    ends = np.flatnonzero(inside & (~after | cut[1:])) + 1
+    after[offsets[offsets > 0] - 1] = False
+    ends = np.flatnonzero(inside > after) + 1
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _powers(_STEP, n), out=sums[1:])
+    values = _BYTE.take(data)
+    values *= _powers(_STEP, n)
+    np.cumsum(values, out=sums[1:])
     hashes = mix((sums[ends] - sums[starts]) * _powers(_UNSTEP, n)[starts] + (ends - starts).astype(np.uint64))
     return hashes, starts, ends, np.searchsorted(starts, offsets), data, offsets
 
