@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadflow.llm.common import fold_of, give_back, saved
+from leadflow.llm.common import fold_of, forget, give_back, saved, thrifty
 
 PER_CLASS = 8000
 KEEP = 1 << 17  # words remembered by a task
@@ -152,6 +152,7 @@ def _is_letter() -> np.ndarray:
 
 
 def _letter_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     letters, low, high = _is_letter(), np.zeros(_LOW * _LOW, np.int64), Counter()
 
     def count(texts: list[str]) -> None:
@@ -191,6 +192,7 @@ def letter_pairs(docs: DataFrame) -> dict[str, int]:
 
 
 def _feature_counts(characters):
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = CharacterModel(characters.value), {}
         counts: dict[str, list[int]] = {}
@@ -207,6 +209,7 @@ def _feature_counts(characters):
 
 
 def _signals_of(characters, weights):
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, lexicon, known = CharacterModel(characters.value), Lexicon(weights.value), {}
         for batch in batches:
@@ -273,6 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple
 
 
 def _score(characters, weights, curve):
+    @thrifty
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, lexicon, known = CharacterModel(characters.value), Lexicon(weights.value), {}
         for batch in batches:
@@ -305,6 +309,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
     # the text alone goes to Python, a verdict comes back, and Spark filters its own rows
     @F.arrow_udf("boolean")
     def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        forget()
         model, lexicon, known = CharacterModel(shared[0].value), Lexicon(shared[1].value), {}
         for texts in batches:
             x = np.array([signals(t.as_py() or "", model, lexicon, known) for t in texts]).reshape(-1, len(curve))
