@@ -2,9 +2,10 @@
 
 1. Template: a text's words (letters and digits, lower case) in order, with numbers, units after a number and names
    (capitalised words inside a sentence) replaced by typed placeholders.
-2. Windows of ``WINDOW`` template words are hashed; those of the texts are hash-joined with those of the benchmark, which
-   is broadcast in blocks of at most ``BLOCK`` windows.  Windows with fewer than half their words literal (arithmetic,
-   lists of names) would match too much as templates; they are hashed by their words and match verbatim only.
+2. Windows of ``WINDOW`` template words are hashed.  Of the benchmark only the distinct hashes are broadcast, at most about
+   ``BLOCK`` of them at a time; the texts' windows that have one of them are written down, and only these are joined with the
+   benchmark's windows.  Windows with fewer than half their words literal (arithmetic, lists of names) would match too much
+   as templates; they are hashed by their words and match verbatim only.
 3. Slots: on each alignment of a text with an item (same distance of positions), a benchmark value must stand for
    one value of the text throughout, so that a question with other numbers is caught and a chance mixture is not.
 4. A text is contaminated by an item if ``LEAST`` of the item's windows (or all, if it has fewer) match, templates on
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 
 from leadflow.llm.common import saved
 
-WINDOW, LEAST, BLOCK = 8, 3, 1 << 20
+WINDOW, LEAST = 8, 3
+BLOCK = 3 << 20  # hashes: some 80 bytes each where they are broadcast
 # as many placeholders as make a window verbatim may lie in one window
 CROWDED = rf"(?:<(?:num|name|unit)>(?: [^< ]+){{0,{WINDOW // 2 - 1}}} ){{{WINDOW // 2}}}<"
 NAME = "\ue001"  # marks a capitalised word inside a sentence
@@ -88,10 +90,9 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, text_key, item_id, n_windows`` of every text and item that match."""
-    known = saved(benchmark_windows(benchmark).withColumn(
-        "block", F.pmod(F.xxhash64("hash"), F.lit(1 << 20))), "benchmark-windows")
-    n = known.count()
-    blocks = 1 + n // BLOCK
+    known = saved(benchmark_windows(benchmark), "benchmark-windows")
+    hashes = saved(known.select("hash").distinct(), "benchmark-hashes")
+    blocks = 1 + hashes.count() // BLOCK
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.select("doc_id", F.xxhash64("text").alias("text_key"), _words(F.col("text")).alias("words"))
     texts = texts.withColumn("template", _template(F.col("words")))
@@ -100,14 +101,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = texts.withColumn("hashes", _keys(F.col("words"), F.col("template")))
     rows = texts.select("doc_id", "text_key", "words", "template",
                         F.posexplode(F.slice("hashes", 1, 2**31 - 1)).alias("at", "hash"))
-    met = None
-    for block in range(blocks):
-        some = F.broadcast(known.where(F.col("block") % blocks == block).drop("block"))  # about BLOCK windows
-        part = rows.join(some, "hash").select(
-            "doc_id", "text_key", "item_id", "n_windows", "n_templates", "verbatim", "of", (F.col("at") - F.col("of")).alias("shift"), "of_words",
-            "of_template", _cut(F.col("words"), F.col("at")).alias("words"),
-            _cut(F.col("template"), F.col("at")).alias("template"))
-        met = part if met is None else met.union(part)
+    held = None
+    for block in range(blocks):  # each by a pass of its own, so that one block is held at a time
+        some = hashes.where(F.pmod(F.xxhash64("hash"), F.lit(blocks)) == block)  # about BLOCK hashes at most
+        part = saved(rows.join(F.broadcast(some), "hash", "left_semi").select(
+            "doc_id", "text_key", "at", "hash", _cut(F.col("words"), F.col("at")).alias("words"),
+            _cut(F.col("template"), F.col("at")).alias("template")), "held-windows")
+        held = part if held is None else held.union(part)
+    met = held.join(known, "hash").select(
+        "doc_id", "text_key", "item_id", "n_windows", "n_templates", "verbatim", "of", (F.col("at") - F.col("of")).alias("shift"),
+        "of_words", "of_template", "words", "template")
     met = met.where(F.when(F.col("verbatim"), F.col("words") == F.col("of_words"))
                     .otherwise(F.col("template") == F.col("of_template")))
     slots = F.filter(

@@ -6,7 +6,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
-from leadflow.llm import line_dedup, ngram_join, suffix_tree
+from leadflow.llm import decontaminate, line_dedup, ngram_join, suffix_tree
 from leadflow.llm.common import split_by
 
 
@@ -57,6 +57,22 @@ def test_one_of_each_moves_texts_once(spark, few_copies):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in left.collect()) == [(False, i) for i in range(40)] + [(False, 101), (False, 102)]
 
 
+@pytest.mark.parametrize("block", [decontaminate.BLOCK, 7])
+def test_decontamination_broadcasts_hashes_alone(spark, monkeypatch, block):
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(12))) for i in range(8)]
+    bench = spark.createDataFrame([*items, (20, items[3][1]), (21, None), (22, "short one")], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"before {text} behind") for i, text in items[:5]] + [(9, "nothing of it"), (10, None)],
+                                 "doc_id long, text string")
+    broadcast, sent = decontaminate.F.broadcast, []
+    monkeypatch.setattr(decontaminate.F, "broadcast", lambda df: sent.append((df.columns, df.count())) or broadcast(df))
+    monkeypatch.setattr(decontaminate, "BLOCK", block)
+    got = {r.doc_id: (r.item_ids, r.n_windows) for r in decontaminate.contamination(docs, bench).collect()}
+    assert got == {0: ([0], 5), 1: ([1], 5), 2: ([2], 5), 3: ([3, 20], 10), 4: ([4], 5), 9: ([], 0), 10: ([], 0)}
+    assert {tuple(columns) for columns, _ in sent} == {("hash",)}
+    assert sum(n for _, n in sent) == 40  # equal windows of two items are one hash
+    assert len(sent) == 1 + 40 // block
+
+
 @pytest.mark.parametrize("values", [
     np.array([], np.uint64), np.array([7], np.uint64), np.array([5, 4, 5, 2**64 - 1, 0, 4], np.uint64),
     np.array([9, 8, 9, 8, 3], np.uint32), np.array([1, 0, 1, 0, 3, 2], np.uint64) + np.uint64(1 << 60),
