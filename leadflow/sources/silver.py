@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import to_day
 from ..operators.attribution import PROBE, probe_of_lead, probe_of_prospect
+from ..session import shuffles_dropped
 
 MONTH = "month"
 
@@ -55,14 +56,22 @@ def write_silver(df: DataFrame, folder: str, layout: Silver, mode: str = "overwr
     or day is split, and so are the rows without a day."""
     rows = typed(df, layout)
     (rows.repartitionByRange(F.col(MONTH), F.col(layout.main), _spread(df)).sortWithinPartitions(MONTH, layout.main)
-     .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(folder))
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(MONTH).parquet(folder))
+
+
+def write_silver_parts(parts: Iterable[DataFrame], folder: str, layout: Silver) -> None:
+    """``write_silver`` of a table that comes in parts, each added to the months of those before: a month has the files of
+    each part, and on disk are the shuffle files of one part at a time."""
+    for n, part in enumerate(parts):
+        with shuffles_dropped(part.sparkSession):
+            write_silver(part, folder, layout, "append" if n else "overwrite")
 
 
 def write_bucketed(df: DataFrame, table: str, folder: str, role: str, buckets: int) -> None:
     """A catalog table over ``folder``, bucketed by its join key; each task writes one bucket's file."""
     keyed = df.withColumn(PROBE, BUCKETED[role]())
     (keyed.repartition(buckets, PROBE).write.mode("overwrite").bucketBy(buckets, PROBE).sortBy(PROBE)
-     .format("parquet").option("path", folder).saveAsTable(table))
+     .format("parquet").option("compression", "zstd").option("path", folder).saveAsTable(table))
 
 
 class SilverTables:
