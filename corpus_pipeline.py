@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadflow.llm import decontaminate, line_dedup, ngram_join, pieces, toxicity
-from leadflow.llm.common import WORD, saved, table
+from leadflow.llm.common import WORD, saved, settle, table
 from leadflow.llm.queries import ship
 
 
@@ -19,6 +19,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     document goes.  Without labels of both kinds nothing goes.  Columns of any name pass through.
     """
     ship(spark)
+    settle(spark)
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
@@ -29,6 +30,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     one of the smallest id stays.  Columns of any name pass through; ``n_chars`` follows the text.
     """
     ship(spark)
+    settle(spark)
     kept = line_dedup.cut_lines(docs).where((F.col("n_dropped") == 0) | F.col("text").rlike(WORD))
     changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
@@ -43,6 +45,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Null and empty texts all stay; a null id counts as the largest.  Columns of any name pass through.
     """
     ship(spark)
+    settle(spark)
     return ngram_join.one_of_each(docs, words=5, percent=80)
 
 
@@ -53,6 +56,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     empty benchmark takes nothing.  Columns of any name pass through.
     """
     ship(spark)
+    settle(spark)
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -62,6 +66,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have no ids; repeated rows are encoded each time; other columns are not read.
     """
     ship(spark)
+    settle(spark)
     return pieces.encode_texts(docs, verify=True).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "round_trip", "parity")
 

@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from leadflow.llm import line_dedup, ngram_join, pieces, rarity, toxicity
+import corpus_pipeline
+from leadflow.llm import decontaminate, line_dedup, ngram_join, pieces, rarity, toxicity
 from leadflow.llm.common import thrifty
 
 
@@ -56,3 +57,27 @@ def test_tokenizer_remembers_few_words():
     assert len(tool.known) + len(tool.older) <= (1 << 18) + 100_000  # and the words of one group
     first = tool.encode(tool.cut(texts[:1]))
     assert tool.tokenizer.decode(np.frombuffer(first[0], "<i4").tolist()).strip() == texts[0]
+
+
+def _full_collections(spark):
+    """Of this JVM, which is the executor too."""
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    return sum(b.getCollectionCount() for b in beans if not any(x in b.getName() for x in ("Young", "Copy", "Scavenge", "Concurrent")))
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
+def test_a_step_begins_with_a_collected_heap(spark, monkeypatch, stage):
+    began = []
+
+    def stopped(*args, **kwargs):
+        began.append(_full_collections(spark))
+        raise InterruptedError
+
+    for module, job in ((toxicity, "without_toxic"), (line_dedup, "cut_lines"), (ngram_join, "one_of_each"),
+                        (decontaminate, "without_leaks"), (pieces, "encode_texts")):
+        monkeypatch.setattr(module, job, stopped)
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *args: None)
+    before = _full_collections(spark)
+    with pytest.raises(InterruptedError):
+        dict(corpus_pipeline.STAGES)[stage](spark, None, "")
+    assert began[0] > before
